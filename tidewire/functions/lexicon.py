@@ -58,7 +58,9 @@ def contains_any(text: Column | str, keywords: Sequence[str], *, case_sensitive:
         found = reduce(lambda a, b: a | b, (F.contains(text, F.lit(word)) for word in keywords))
     else:
         words = F.array(*[F.lit(word) for word in keywords])
-        found = F.exists(words, lambda word: F.contains(text, word))
+        # the one-element array keeps the lowered text from being computed again per keyword
+        found = F.get(F.transform(F.array(text), lambda body: F.exists(
+            words, lambda word: F.contains(body, word))), F.lit(0))
     return F.coalesce(found, F.lit(False))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.operators.dedup import known_ids
+from tidewire.session import ensure_checkpoint_dir
 
 
 class ArchiveMove(NamedTuple):
@@ -15,18 +16,27 @@ class ArchiveMove(NamedTuple):
     remaining: DataFrame
 
 
+def fix_snapshot(live: DataFrame, id: str = "event_id") -> DataFrame:
+    """The ids that are live now, written down so that later arrivals do not join them."""
+    ensure_checkpoint_dir(live.sparkSession)
+    return known_ids(live, id).checkpoint()
+
+
 def archive_move(live: DataFrame, archived: DataFrame, snapshot: DataFrame,
                  id: str = "event_id") -> ArchiveMove:
     """Rows to append to the archive and rows that stay live, for a fixed snapshot of ids.
 
     Only snapshot ids move and only those not archived yet, so messages that arrive meanwhile stay
-    and a rerun with the same snapshot moves nothing twice.
+    and a rerun with the same snapshot moves nothing twice. Which ids move is decided on ids alone
+    and written down first; the rows then meet them in a single join, in which AQE can split an id
+    that has a great many copies.
     """
-    fixed_ids = known_ids(snapshot, id)
-    chosen = live.join(fixed_ids, id, "left_semi")
+    ensure_checkpoint_dir(live.sparkSession)
+    chosen = known_ids(snapshot, id).checkpoint()
+    moving = chosen.join(known_ids(archived, id), id, "left_anti").checkpoint()
     return ArchiveMove(
-        moved=chosen.join(known_ids(archived, id), id, "left_anti").select(*live.columns),
-        remaining=live.join(fixed_ids, id, "left_anti").select(*live.columns),
+        moved=live.join(moving, id, "left_semi").select(*live.columns),
+        remaining=live.join(chosen, id, "left_anti").select(*live.columns),
     )
 
 

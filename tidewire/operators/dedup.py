@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed
-from tidewire.operators.places import MAX_BROADCAST_ROWS
-from tidewire.operators.recent import at_or_after
+from tidewire.operators.recent import cutoff
+from tidewire.session import MAX_BROADCAST_ROWS
 
 
 def one_per_id(df: DataFrame, id: str, order: str | None = None) -> DataFrame:
@@ -41,15 +41,20 @@ def retain_latest(incoming: DataFrame, target: DataFrame | None = None,
                   id: str = "event_id") -> DataFrame:
     """The n newest distinct messages among stored and incoming ones.
 
-    The n ids are found on (id, time) alone; only then are whole rows fetched, by a broadcast of
-    at most n keys.
+    Sketches of the ids per hour, which need no shuffle of ids, give a time by which n distinct
+    ones should be reached. An exact count confirms it when this is called; if it falls short, all
+    times are searched. The n ids are then found on (id, time) alone, and whole rows fetched last.
     """
     everything = incoming if target is None else target.unionByName(incoming)
-    stamped = everything.groupBy(id).agg(F.max(ts).alias(ts))
+    keys = everything.select(id, ts)
+    start = cutoff(keys, 2 * n, ts, "1 hour", F.approx_count_distinct(id))
+    if start is not None:
+        near = keys.filter(F.col(ts) >= start)
+        if near.agg(F.count_distinct(id)).first()[0] >= n:
+            keys, everything = near, everything.filter(F.col(ts) >= start)
+    stamped = keys.groupBy(id).agg(F.max(ts).alias(ts))
     newest = stamped.orderBy(F.col(ts).desc_nulls_last(), F.col(id).desc_nulls_last()).limit(n)
-    keys = newest.select(id)
-    # the time of the n-th goes to the scan as a filter (NULL where there are rows without time)
-    floor = newest.agg(F.when(F.count(ts) == F.count(F.lit(1)), F.min(ts)).alias("_floor"))
-    recent = everything.filter(at_or_after(ts, floor.scalar(), dict(everything.dtypes)[ts]))
-    rows = recent.join(F.broadcast(keys) if n <= MAX_BROADCAST_ROWS else keys, id, "left_semi")
+    chosen = newest.select(id)
+    rows = everything.join(F.broadcast(chosen) if n <= MAX_BROADCAST_ROWS else chosen, id,
+                           "left_semi")
     return one_per_id(rows, id).select(*everything.columns)

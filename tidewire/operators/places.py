@@ -4,24 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewire import fixed_values as fixed
-
-# A lookup handed over as Python rows is counted before it is broadcast.
-MAX_BROADCAST_ROWS = 100_000
+from tidewire.session import small_table
 
 Points = Sequence[tuple[str, float, float]]
 
+PLACE = StructType([
+    StructField("place", StringType(), False),
+    StructField("lat", DoubleType(), False),
+    StructField("lon", DoubleType(), False),
+])
+
 
-def places_table(spark, points: Points = fixed.COUNTRY_POINTS) -> DataFrame:
-    """The lookup as a table, marked for broadcast while it is small."""
+def places_table(spark: SparkSession, points: Points = fixed.COUNTRY_POINTS) -> DataFrame:
     names = [name for name, _, _ in points]
     if len(set(names)) != len(names):
         raise ValueError("a place is listed twice")
-    table = spark.createDataFrame(list(points), "place string, lat double, lon double")
-    return F.broadcast(table) if len(names) <= MAX_BROADCAST_ROWS else table
+    return small_table(spark, points, PLACE)
 
 
 def geo_lookup(df: DataFrame, points: Points = fixed.COUNTRY_POINTS, *, country: str = "country",

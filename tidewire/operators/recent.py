@@ -9,51 +9,57 @@ from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed
 
-EARLIEST = "0001-01-01 00:00:00"
+def cutoff(df: DataFrame, n: int, ts: str, width: str, size: Column | None = None,
+           ) -> Column | None:
+    """Start of the time bucket by which ``n`` rows (or units of ``size``) are reached, counted
+    from the newest; None if there are not as many with a time.
 
-
-def _cutoff(df: DataFrame, n: int, ts: str, width: str) -> DataFrame:
-    """Start of the time bucket in which the n-th newest row lies (one row; NULL if fewer rows)."""
+    Reads the time column only and returns one value to the driver, so that all that is built on it
+    carries a plain literal to the scan.
+    """
     counts = df.groupBy(F.window(ts, width)["start"].alias("_start")).agg(
-        F.count(F.lit(1)).alias("_n"))
+        (F.count(F.lit(1)) if size is None else size).alias("_n"))
     # one row per bucket of the time span, whatever the number of messages
     running = F.sum("_n").over(Window.orderBy(F.col("_start").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
-    return counts.select("_start", running.alias("_newer")).agg(
-        F.max(F.when(F.col("_newer") >= n, F.col("_start"))).alias("_cutoff"))
-
-
-def at_or_after(ts: str, cutoff: Column, kind: str) -> Column:
-    """Not before the cutoff; a NULL cutoff keeps all rows, those without a time too."""
-    return (F.col(ts) >= F.coalesce(cutoff, F.lit(EARLIEST).cast(kind))) | F.col(ts).eqNullSafe(
-        cutoff)
+    reached = counts.select("_start", running.alias("_newer")).agg(
+        F.max(F.when(F.col("_newer") >= n, F.col("_start"))).alias("_start"))
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        found = reached.select(F.col("_start").cast("string")).first()[0]
+        return None if found is None else F.lit(found).cast("timestamp_ntz")
+    found = reached.select(F.unix_micros("_start")).first()[0]
+    return None if found is None else F.timestamp_micros(F.lit(found))
 
 
 def since_newest(df: DataFrame, n: int, ts: str = "ts",
                  widths: Sequence[str] = ("1 hour", "1 second")) -> DataFrame:
     """Rows that may be among the n newest, cut by time.
 
-    A first pass reads the time column only and counts per bucket; the cutoff then goes to the
-    scan as a filter, so the wide columns of older files are never read. Narrower buckets follow
-    within the rest, in case one hour holds a large share of the rows.
+    The cutoff goes to the scan as a filter, so the wide columns of older files are never read.
+    Narrower buckets follow within the rest, in case one hour holds a large share of the rows.
     """
-    kind = dict(df.dtypes)[ts]
-    kept = df
     for width in widths:
-        cutoff = _cutoff(kept.select(ts), n, ts, width).scalar()
-        kept = df.filter(at_or_after(ts, cutoff, kind))
-    return kept
+        start = cutoff(df.select(ts), n, ts, width)
+        if start is None:
+            break
+        df = df.filter(F.col(ts) >= start)
+    return df
 
 
-def latest_n(df: DataFrame, n: int = fixed.NEWEST_MESSAGES, *, ts: str | None = "ts",
-             id: str = "event_id") -> DataFrame:
+def newest_first(df: DataFrame, n: int, *, ts: str | None = "ts",
+                 id: str = "event_id") -> DataFrame:
     """The n newest rows, newest first; ties in time go to the larger id.
 
     ``ts=None`` orders by the id alone.
     """
     order = ([F.col(ts).desc_nulls_last()] if ts else []) + [F.col(id).desc_nulls_last()]
-    candidates = since_newest(df, n, ts) if ts else df
-    return candidates.orderBy(*order).limit(n)
+    return df.orderBy(*order).limit(n)
+
+
+def latest_n(df: DataFrame, n: int = fixed.NEWEST_MESSAGES, *, ts: str | None = "ts",
+             id: str = "event_id") -> DataFrame:
+    """The n newest rows of a large table, newest first. Looks up the cutoff when called."""
+    return newest_first(since_newest(df, n, ts) if ts else df, n, ts=ts, id=id)
 
 
 def oldest_first(df: DataFrame, *, ts: str | None = "ts", id: str = "event_id") -> DataFrame:

@@ -6,13 +6,25 @@ times buckets, whatever the traffic, and a busy series is no larger than a quiet
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewire import fixed_values as fixed
-from tidewire.session import ensure_checkpoint_dir
+from tidewire.session import ensure_checkpoint_dir, small_table
+
+# Rows of (id, time) that one task sorts for the ordinals.
+ROWS_PER_TASK = 4_000_000
+
+ADVICE_RULE = StructType([
+    StructField("rule_topic", StringType(), False),
+    StructField("threshold", LongType(), False),
+    StructField("addressee", StringType(), False),
+    StructField("warning", StringType(), False),
+])
 
 
 def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: str = "1 hour",
@@ -37,10 +49,18 @@ def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: s
         "series", grid["bucket_start"], F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
-def _newest(counts: DataFrame, points: int) -> DataFrame:
-    newest_first = Window.partitionBy("series").orderBy(F.col("bucket_start").desc())
-    return counts.withColumn("_age", F.row_number().over(newest_first)).filter(
+def _newest(counts: DataFrame, points: int, pad: int = 0) -> DataFrame:
+    """The newest points of each series with their age (1 is the newest) and their position from 0
+    in time order, behind ``_zeros`` leading zero points that the history has room for."""
+    by_series = Window.partitionBy("series")
+    newest_first = by_series.orderBy(F.col("bucket_start").desc())
+    kept = counts.withColumn("_age", F.row_number().over(newest_first)).filter(
         F.col("_age") <= points)
+    size = F.count(F.lit(1)).over(by_series).cast("int")
+    sized = kept.withColumn("_size", size)
+    zeros = F.least(F.lit(pad), F.lit(points) - F.col("_size"))
+    return sized.select("series", "bucket_start", "n", "_age", "_size", zeros.alias("_zeros"),
+                        (zeros + F.col("_size") - F.col("_age")).alias("position"))
 
 
 def series_history(counts: DataFrame, points: int = fixed.HISTORY_POINTS,
@@ -50,22 +70,21 @@ def series_history(counts: DataFrame, points: int = fixed.HISTORY_POINTS,
     ``pad`` puts that many zero points (bucket_start NULL) before the first, as far as the newest
     ``points`` reach.
     """
-    kept = _newest(counts, points)
-    oldest_first = Window.partitionBy("series").orderBy("bucket_start")
-    numbered = kept.withColumn("_rank", F.row_number().over(oldest_first))
-    zeros = F.least(F.lit(pad), F.lit(points) - F.count(F.lit(1)).over(
-        Window.partitionBy("series"))).cast("int")
-    placed = numbered.select("series", (F.col("_rank") - 1 + zeros).alias("position"),
-                             "bucket_start", "n", zeros.alias("_zeros"))
-    history = placed.drop("_zeros")
-    if pad:
-        padding = placed.filter(
-            (F.col("position") == F.col("_zeros")) & (F.col("_zeros") > 0)).select(
-            "series", F.explode(F.sequence(F.lit(0), F.col("_zeros") - 1)).alias("position"),
-            F.lit(None).cast(dict(counts.dtypes)["bucket_start"]).alias("bucket_start"),
-            F.lit(0).cast("bigint").alias("n"))
-        history = padding.unionByName(history)
-    return history
+    placed = _newest(counts, points, pad)
+    if not pad:
+        return placed.select("series", "position", "bucket_start", "n")
+
+    def point(position, start, n):
+        return F.struct(position.cast("int").alias("position"), start.alias("bucket_start"),
+                        n.cast("bigint").alias("n"))
+
+    itself = F.array(point(F.col("position"), F.col("bucket_start"), F.col("n")))
+    no_start = F.lit(None).cast(dict(counts.dtypes)["bucket_start"])
+    zeros = F.transform(F.sequence(F.lit(0), F.col("_zeros") - 1),
+                        lambda position: point(position, no_start, F.lit(0)))
+    oldest_with_room = (F.col("_age") == F.col("_size")) & (F.col("_zeros") > 0)
+    return placed.select("series", F.inline(
+        F.when(oldest_with_room, F.concat(zeros, itself)).otherwise(itself)))
 
 
 def spike_alerts(counts: DataFrame, factor: float = fixed.SPIKE_FACTOR,
@@ -88,29 +107,44 @@ def spike_alerts(counts: DataFrame, factor: float = fixed.SPIKE_FACTOR,
         "series", "bucket_start", "n", "mean_n", spike.alias("is_spike"))
 
 
+def _fit(m, total, moment, step):
+    """Whole messages on the least-squares line, ``step`` points after the last of ``m``.
+
+    Time runs from the middle of the points in half steps, 2x - (m - 1), so that all sums are whole
+    numbers: the projection is exact and truncates without rounding noise.
+    """
+    m = m.cast("bigint")
+    spread = F.call_function("div", m * (m * m - 1), F.lit(3))
+    line = F.call_function("div", total * spread + m * moment * (m - 1 + 2 * step), m * spread)
+    return F.when(m < 2, total).otherwise(F.greatest(F.lit(0).cast("bigint"), line))
+
+
+def _with_fit(placed: DataFrame, points: int) -> DataFrame:
+    """Adds the sums of the fit over the newest points; leading zeros only add to their number."""
+    by_series = Window.partitionBy("series")
+    fitted = F.col("_age") <= points
+    m = F.least(F.lit(points), F.col("_size") + F.col("_zeros"))
+    return placed.withColumn("_m", m).withColumns({
+        "_total": F.sum(F.when(fitted, F.col("n"))).over(by_series),
+        "_moment": F.sum(F.when(fitted, F.col("n") * (F.col("_m") + 1 - 2 * F.col("_age"))))
+        .over(by_series),
+    })
+
+
+def _projection(step):
+    return _fit(F.col("_m"), F.col("_total"), F.col("_moment"), step)
+
+
 def linear_forecast(counts: DataFrame, steps: int = fixed.FORECAST_STEPS,
-                    points: int = fixed.FIT_POINTS) -> DataFrame:
+                    points: int = fixed.FIT_POINTS, *, pad: int = 0) -> DataFrame:
     """Least-squares line through the newest points of each series, ``steps`` buckets ahead.
 
     Projections are truncated to whole messages and never negative. A series of one point repeats
     it. Points are taken as equally spaced, whatever their distance in time.
     """
-    kept = _newest(counts, points)
-    size = F.count(F.lit(1)).over(Window.partitionBy("series"))
-    # Time runs from the middle of the points in half steps, 2x - (m - 1), so that all sums are
-    # whole numbers: the projection is exact and truncates without rounding noise. _age 1 is the
-    # newest point.
-    centred = kept.withColumn("_m", size).withColumn("_x", F.expr("_m + 1 - 2 * _age"))
-    sums = centred.groupBy("series").agg(
-        F.max("_m").alias("_m"),
-        F.sum("n").alias("_total"),
-        F.sum(F.col("n") * F.col("_x")).alias("_moment"),
-        F.sum(F.col("_x") * F.col("_x")).alias("_spread"),
-    )
-    ahead = sums.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
-    line = F.expr("(_total * _spread + _m * _moment * (_m - 1 + 2 * step)) div (_m * _spread)")
-    forecast = F.when(F.col("_m") < 2, F.col("_total")).otherwise(F.greatest(F.lit(0), line))
-    return ahead.select("series", "step", forecast.cast("bigint").alias("forecast"))
+    last = _with_fit(_newest(counts, points, pad), points).filter(F.col("_age") == 1)
+    ahead = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+    return ahead.select("series", "step", _projection(F.col("step")).alias("forecast"))
 
 
 def forecast_series(counts: DataFrame, steps: int = fixed.FORECAST_STEPS,
@@ -119,24 +153,28 @@ def forecast_series(counts: DataFrame, steps: int = fixed.FORECAST_STEPS,
     """History and forecast as one line per series: (series, position, kind, n).
 
     The forecast starts with an anchor on the last actual point. ``drop_last`` leaves out the last
-    step, so that anchor and forecast together have ``steps`` points.
+    step, so that anchor and forecast together have ``steps`` points. Everything comes out of the
+    rows of the history, without joining it to itself.
     """
-    actual = series_history(counts, history, pad)
-    ends = actual.groupBy("series").agg(
-        F.max("position").alias("_end"), F.max_by("n", "position").alias("_last"))
-    fitted = actual.select("series", F.col("position").alias("bucket_start"), "n")
-    ahead = linear_forecast(fitted, steps, points)
-    if drop_last:
-        ahead = ahead.filter(F.col("step") < steps)
-    placed = ahead.join(ends.withColumnRenamed("series", "_series"),
-                        F.col("series").eqNullSafe(F.col("_series")))
-    return (
-        actual.select("series", "position", F.lit("actual").alias("kind"), "n")
-        .unionByName(ends.select("series", F.col("_end").alias("position"),
-                                 F.lit("anchor").alias("kind"), F.col("_last").alias("n")))
-        .unionByName(placed.select("series", (F.col("_end") + F.col("step")).alias("position"),
-                                   F.lit("forecast").alias("kind"), F.col("forecast").alias("n")))
-    )
+    fitted = _with_fit(_newest(counts, history, pad), points)
+
+    def point(position, kind, n):
+        return F.struct(position.cast("int").alias("position"), F.lit(kind).alias("kind"),
+                        n.cast("bigint").alias("n"))
+
+    actual = F.array(point(F.col("position"), "actual", F.col("n")))
+    anchor = F.array(point(F.col("position"), "anchor", F.col("n")))
+    ahead = F.transform(
+        F.sequence(F.lit(1), F.lit(steps - 1 if drop_last else steps)),
+        lambda step: point(F.col("position") + step, "forecast", _projection(step)))
+    zeros = F.transform(F.sequence(F.lit(0), F.col("_zeros") - 1),
+                        lambda position: point(position, "actual", F.lit(0)))
+    none = F.array().cast("array<struct<position:int,kind:string,n:bigint>>")
+    oldest_with_room = (F.col("_age") == F.col("_size")) & (F.col("_zeros") > 0)
+    return fitted.select("series", F.inline(F.concat(
+        F.when(oldest_with_room, zeros).otherwise(none),
+        actual,
+        F.when(F.col("_age") == 1, F.concat(anchor, ahead)).otherwise(none))))
 
 
 def cumulative_flow(df: DataFrame, ts: str = "ts", width: str = "1 hour",
@@ -169,7 +207,8 @@ def message_ordinals(df: DataFrame, ts: str = "ts", id: str = "event_id",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              math.ceil(df.count() / ROWS_PER_TASK))
     placed = (
         df.select(id, ts).repartitionByRange(width, F.col(ts), F.col(id))
         .sortWithinPartitions(ts, id)
@@ -181,7 +220,7 @@ def message_ordinals(df: DataFrame, ts: str = "ts", id: str = "event_id",
     starts = sizes.select("_part", F.coalesce(F.sum("_size").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_start"))
-    # one row per partition
+    # one row per task
     return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").select(
         id, F.date_format(ts, fixed.CLOCK_FORMAT).alias("clock"),
         (F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))).alias("ordinal"))
@@ -191,11 +230,12 @@ def threshold_advice(counts: DataFrame, rules: Sequence[tuple] = fixed.ADVICE_RU
                      topic: str = "topic", n: str = "n",
                      stable: str = fixed.STABLE_ADVICE) -> DataFrame:
     """One line per rule (topic, threshold, addressee, warning); a topic never seen counts 0."""
-    table = counts.sparkSession.createDataFrame(
-        [tuple(rule) for rule in rules],
-        "rule_topic string, threshold bigint, addressee string, warning string")
-    joined = F.broadcast(table).join(counts, F.col("rule_topic") == F.col(topic), "left")
-    count = F.coalesce(F.col(n), F.lit(0)).cast("bigint")
+    table = small_table(counts.sparkSession, rules, ADVICE_RULE)
+    # at most one row per rule: the counts of other topics are left behind by the broadcast semi join
+    named = counts.select(F.col(topic).alias("_topic"), F.col(n).alias("_n"))
+    ruled = named.join(table, F.col("_topic") == F.col("rule_topic"), "left_semi")
+    joined = table.join(ruled, F.col("rule_topic") == F.col("_topic"), "left")
+    count = F.coalesce("_n", F.lit(0)).cast("bigint")
     over = count > F.col("threshold")
     return joined.select(
         F.col("rule_topic").alias("topic"), count.alias("n"), "threshold", "addressee",

@@ -74,6 +74,6 @@ def message_board(stored: DataFrame, rules: prepare.MessageRules = prepare.Messa
         "categories": metrics.cross_distribution(messages),
         "cities": metrics.pivot_distribution(messages),
         "flow": series.cumulative_flow(messages, "timestamp", "1 second"),
-        "feed": prepare.enrich_message(recent.latest_n(kept, fixed.FEED_MESSAGES, ts=ts, id=id),
+        "feed": prepare.enrich_message(recent.newest_first(kept, fixed.FEED_MESSAGES, ts=ts, id=id),
                                        rules, id=id, timestamp=ts).select(*FEED_COLUMNS),
     }

@@ -5,8 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
+
+# A lookup handed over as Python rows is counted before it is broadcast.
+MAX_BROADCAST_ROWS = 100_000
 
 # Settings that hold at any size. Shuffle width is left to the cluster: AQE coalesces it down and
 # splits skewed join partitions.
@@ -53,3 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable where the session did not name a folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_folder(spark, "checkpoints"))
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
+    """A lookup held in the program as a local relation, whose exact size the optimizer knows.
+
+    It is marked for broadcast while its row count allows that, and joined by shuffle beyond.
+    """
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    arrow = pa.table({field.name: pa.array(list(values), to_arrow_type(field.dataType))
+                      for field, values in zip(schema.fields, columns)})
+    table = spark.createDataFrame(arrow, schema)
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
