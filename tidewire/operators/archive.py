@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewire.operators.dedup import known_ids
 from tidewire.session import ensure_checkpoint_dir
+from tidewire.sources.sinks import only_own_partitions
 
 
 class ArchiveMove(NamedTuple):
@@ -59,10 +60,9 @@ def archive_batches(spark: SparkSession, live: str, archive: str, snapshot: list
     if not batches:
         return []
     columns = spark.table(archive).columns
-    (
-        spark.table(live).filter(F.col(batch).isin(batches)).select(*columns)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(archive)
-    )
+    moving = spark.table(live).filter(F.col(batch).isin(batches)).select(*columns)
+    with only_own_partitions(spark):
+        moving.write.insertInto(archive, overwrite=True)
     dropped = ", ".join(f"PARTITION ({batch} = {value})" for value in batches)
     spark.sql(f"ALTER TABLE {live} DROP IF EXISTS {dropped}")
     return batches

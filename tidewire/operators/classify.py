@@ -66,7 +66,10 @@ def classify_with(df: DataFrame, scorer: Scorer, text: str = "text", *,
     ``scorer`` takes an iterator of text Series and yields frames with the columns ``label`` and
     ``confidence``. It loads its weights once before the loop, so once per task.
     """
-    scores = F.pandas_udf(scorer, "label string, confidence double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from scorer(texts)
+
+    scores = F.pandas_udf(score, "label string, confidence double")
     scored = df.withColumn("_score", scores(F.col(text)))
     return scored.select(*df.columns, F.col("_score.label").alias(label),
                          F.col("_score.confidence").alias(confidence))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewire.functions import polarity, text
 from tidewire.operators import archive, classify, dedup, places, prepare, recent
@@ -14,30 +15,28 @@ from tidewire.sources.sinks import encode_json
 
 # --- parsing and null handling ---------------------------------------------------------------
 
-_PAYLOAD = F.when(F.col("event_type") == "error", F.lit("not json")).when(
-    F.col("event_type") == "signup",
-    F.concat(F.lit('{"k": "'), F.col("user_id"), F.lit('x"}'))).otherwise(F.col("props"))
 _PAYLOAD_SQL = """
     CASE event_type WHEN 'error' THEN 'not json'
         WHEN 'signup' THEN '{"k": "' || user_id || 'x"}' ELSE props END"""
 
 
-def _payloads(spark, folder):
-    return table(spark, folder, "events").select("event_id", _PAYLOAD.alias("json"))
-
+_K = StructType([StructField("k", IntegerType(), True)])
 
-def _schema():
-    from pyspark.sql.types import IntegerType, StructField, StructType
 
-    return StructType([StructField("k", IntegerType(), True)])
+def _payloads(spark, folder):
+    """The numbers in props, with broken payloads and wrongly typed fields among them."""
+    wrong = F.concat(F.lit('{"k": "'), F.col("user_id"), F.lit('x"}'))
+    payload = F.when(F.col("event_type") == "error", "not json").when(
+        F.col("event_type") == "signup", wrong).otherwise(F.col("props"))
+    return table(spark, folder, "events").select("event_id", payload.alias("json"))
 
 
 def json_parse(spark, folder):
-    return prepare.json_parse(_payloads(spark, folder), _schema(), keep=["event_id"])
+    return prepare.json_parse(_payloads(spark, folder), _K, keep=["event_id"])
 
 
 def json_rejects(spark, folder):
-    parsed = prepare.json_parse(_payloads(spark, folder), _schema(), keep=["event_id"],
+    parsed = prepare.json_parse(_payloads(spark, folder), _K, keep=["event_id"],
                                 rejects="payload")
     return prepare.rejected(parsed, "payload", keep=["event_id"])
 

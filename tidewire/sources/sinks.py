@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -66,6 +67,21 @@ class BatchFolders:
          .save(self.folder(batch.sparkSession, batch_id)))
 
 
+@contextmanager
+def only_own_partitions(spark: SparkSession) -> Iterator[None]:
+    """Within this, overwriting a catalog table replaces just the partitions that are written.
+
+    ``insertInto`` takes this from the session only; as a writer option it is ignored.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """Batches as partitions of a catalog table; the form ``archive_batches`` moves."""
@@ -77,8 +93,9 @@ class BatchTable:
         spark = batch.sparkSession
         stamped = batch.withColumn(self.batch, F.lit(batch_id).cast("bigint"))
         if spark.catalog.tableExists(self.table):
-            (stamped.select(*spark.table(self.table).columns).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").insertInto(self.table))
+            with only_own_partitions(spark):
+                stamped.select(*spark.table(self.table).columns).write.insertInto(
+                    self.table, overwrite=True)
         else:
             stamped.write.partitionBy(self.batch).saveAsTable(self.table)
 
