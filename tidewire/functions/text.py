@@ -36,33 +36,34 @@ def normalize_text(text: Column | str) -> Column:
     return F.coalesce(F.btrim(undigited, F.lit(WHITESPACE_CHARACTERS)), F.lit(""))
 
 
+def _no_words() -> Column:
+    return F.array().cast("array<string>")
+
+
 def keywords(text: Column | str, stopwords: Sequence[str] = fixed.STOPWORDS,
              limit: int | None = fixed.KEYWORDS_PER_MESSAGE,
              longest_dropped: int = fixed.LONGEST_DROPPED_WORD) -> Column:
     """Distinct meaningful words in order of first occurrence, at most ``limit`` of them.
 
-    ``limit=None`` returns them all.
+    ``limit=None`` returns them all. The words are those of the normalised text: with the digits
+    gone, they are the runs between symbols and blanks, so one pass finds the long ones.
     """
-    words = F.split(normalize_text(text), f"[{WHITESPACE}]+")
-    stop = [F.lit(word) for word in stopwords]
-    kept = F.filter(
-        words,
-        lambda word: (F.length(word) > longest_dropped) & ~word.isin(*stop)
-        if stop else F.length(word) > longest_dropped,
-    )
-    distinct = F.array_distinct(kept)
+    undigited = F.regexp_replace(_column(text), DIGIT_RUNS, "")
+    longer = f"[{WORD_CHARACTERS}]{{{longest_dropped + 1},}}"
+    words = F.regexp_extract_all(undigited, F.lit(longer), F.lit(0))
+    if stopwords:
+        distinct = F.array_except(words, F.array(*[F.lit(word) for word in stopwords]))
+    else:
+        distinct = F.array_distinct(words)
+    distinct = F.coalesce(distinct, _no_words())
     return distinct if limit is None else F.slice(distinct, 1, limit)
 
 
 def tokens(text: Column | str) -> Column:
     """Runs of letters, numbers and underscores; NULL gives an empty array."""
-    found = F.regexp_extract_all(_column(text), F.lit(WORDS), F.lit(0))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    return F.coalesce(F.regexp_extract_all(_column(text), F.lit(WORDS), F.lit(0)), _no_words())
 
 
 def clean_tokens(text: Column | str) -> Column:
     """Space-separated tokens with symbols removed, case kept; tokens left empty are dropped."""
-    parts = F.regexp_extract_all(_column(text), F.lit(NON_SPACE_RUNS), F.lit(0))
-    cleaned = F.transform(parts, lambda part: F.regexp_replace(part, SYMBOLS, ""))
-    kept = F.filter(cleaned, lambda part: part != "")
-    return F.coalesce(kept, F.array().cast("array<string>"))
+    return tokens(F.regexp_replace(_column(text), f"{SYMBOLS}+", ""))

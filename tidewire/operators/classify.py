@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.text import WORDS
 
+# A classifier keeps weights per class, and the class sizes go to the driver.
+MAX_CLASSES = 1000
+
 Scorer = Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]
 
 
 def train_classifier(examples: DataFrame, text: str = "text", target: str = "target", *,
-                     features: int = 1 << 18, iterations: int = 20,
+                     features: int = 1 << 16, iterations: int = 20,
                      regularization: float = 0.01) -> PipelineModel:
     """Fit the default model on (text, integer target) rows.
 
@@ -26,13 +29,16 @@ def train_classifier(examples: DataFrame, text: str = "text", target: str = "tar
     and only gradient sums travel to the driver. Frequent classes are weighted down by the inverse
     of their share.
     """
-    # One small count per class; NULL targets carry no information for the fit.
     known = examples.filter(F.col(target).isNotNull()).select(text, target)
-    sizes = known.groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
-    totals = sizes.agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_classes"))
-    weights = sizes.join(F.broadcast(totals)).select(
-        F.col(target), (F.col("_all") / (F.col("_n") * F.col("_classes"))).alias("_weight"))
-    weighted = known.join(weights, target)
+    sizes = known.groupBy(target).count().limit(MAX_CLASSES + 1).collect()
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    total = sum(row["count"] for row in sizes)
+    weight = F.lit(None).cast("double")
+    for row in sizes:
+        share = row["count"] * len(sizes) / total
+        weight = F.when(F.col(target) == row[target], F.lit(1 / share)).otherwise(weight)
+    weighted = known.withColumn("_weight", weight)
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORDS, gaps=False,
                        toLowercase=True),

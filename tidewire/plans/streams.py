@@ -1,12 +1,13 @@
-"""The three streaming jobs: from payloads to the rows that are stored."""
+"""The three streaming jobs: from payloads to the rows that are stored, and how they are run."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewire import fixed_values as fixed
 from tidewire import schemas
@@ -14,6 +15,8 @@ from tidewire.functions.polarity import lexicon_sentiment
 from tidewire.operators.classify import classify_text
 from tidewire.operators.prepare import json_parse, null_fill, stamp
 from tidewire.sources.messages import KafkaTopic, decode
+from tidewire.sources.sinks import BatchWriter
+from tidewire.streaming.queries import fan_out, for_each_batch
 
 
 def social_source(servers: str, **options: str) -> KafkaTopic:
@@ -47,3 +50,25 @@ def tagged_surveys(messages: DataFrame, positive: Sequence[str] = fixed.POSITIVE
 def indicators(messages: DataFrame) -> DataFrame:
     """Employment indicators with their map of sectors."""
     return json_parse(decode(messages), schemas.EMPLOYMENT_INDICATOR)
+
+
+def run_social(messages: DataFrame, model: PipelineModel, labels: Sequence[str],
+               writers: Sequence[BatchWriter], checkpoint: str,
+               trigger: Mapping | None = None) -> StreamingQuery:
+    """Score social messages once per batch and hand them to every writer (store, console)."""
+    return fan_out(scored_messages(messages, model, labels), writers, checkpoint,
+                   name="social", trigger=trigger)
+
+
+def run_surveys(messages: DataFrame, write: BatchWriter, checkpoint: str,
+                positive: Sequence[str] = fixed.POSITIVE_WORDS,
+                negative: Sequence[str] = fixed.NEGATIVE_WORDS,
+                trigger: Mapping | None = None) -> StreamingQuery:
+    return for_each_batch(tagged_surveys(messages, positive, negative), write, checkpoint,
+                          name="surveys", trigger=trigger)
+
+
+def run_indicators(messages: DataFrame, write: BatchWriter, checkpoint: str,
+                   trigger: Mapping | None = None) -> StreamingQuery:
+    return for_each_batch(indicators(messages), write, checkpoint, name="indicators",
+                          trigger=trigger)

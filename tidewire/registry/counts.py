@@ -42,28 +42,33 @@ def geo_density(spark, folder):
     return places.geo_density(tagged(spark, folder), given.POINTS, step=2.5, default="en")
 
 
-def _stored(spark, folder):
-    """Events as stored messages: the type is the text, the number in props the rating."""
-    return table(spark, folder, "events").select(
+EVENT_RULES = boards.SituationRules(topics=given.EVENT_TOPICS)
+
+
+def _situation(spark, folder):
+    """Events as stored messages: the type is the text, the user's number makes the rating."""
+    stored = table(spark, folder, "events").select(
         "event_id", "ts", F.col("event_type").alias("text"),
         F.concat(F.col("user_id") % 6, F.lit(" stars")).alias("sentiment_label"))
+    return boards.Situation(stored, EVENT_RULES, id="event_id")
 
 
-EVENT_RULES = boards.SituationRules(topics=given.EVENT_TOPICS)
+def situation_board(spark, folder):
+    """Topic counts of the newest 10,000 messages beside the total of all."""
+    board = _situation(spark, folder)
+    return board.topics().withColumn("total", board.total().scalar())
 
 
-def situation_board(spark, folder):
-    """Counts and advice over the newest 10,000 messages, with the total of all."""
-    board = boards.situation(_stored(spark, folder), EVENT_RULES, id="event_id")
-    levels = board["advice"].agg(
-        F.max(F.when(F.col("topic") == "Unemployment", F.col("advice"))).alias("labor_advice"),
-        F.max(F.when(F.col("topic") == "Anxiety", F.col("advice"))).alias("health_advice"))
-    # three frames of one row each
-    return board["total"].join(F.broadcast(board["topics"])).join(F.broadcast(levels))
+def situation_advice(spark, folder):
+    return _situation(spark, folder).advice()
 
 
 def situation_map(spark, folder):
-    return boards.situation(_stored(spark, folder), EVENT_RULES, id="event_id")["density"]
+    return _situation(spark, folder).density()
+
+
+def situation_forecast(spark, folder):
+    return _situation(spark, folder).forecast()
 
 
 def _board(spark, folder):
@@ -71,19 +76,19 @@ def _board(spark, folder):
         "event_id", "ts", F.concat_ws(" ", "event_type", "props").alias("text"),
         polarity.lexicon_sentiment("event_type", ("purchase", "signup"), ("error",))
         .alias("sentiment"), F.col("event_type").alias("country"))
-    return boards.message_board(messages, _RULES, id="event_id")
+    return boards.MessageBoard(messages, _RULES, id="event_id")
 
 
 def message_board(spark, folder):
-    return _board(spark, folder)["kpis"]
+    return _board(spark, folder).kpis()
 
 
 def message_board_flow(spark, folder):
-    return _board(spark, folder)["flow"].withColumnRenamed("bucket_start", "second")
+    return _board(spark, folder).flow().withColumnRenamed("bucket_start", "second")
 
 
 def message_board_feed(spark, folder):
-    return _board(spark, folder)["feed"]
+    return _board(spark, folder).feed()
 
 
 _TAGGED = f"""(SELECT doc_id, lang AS country, {given.SENTIMENT_SQL} AS sentiment,
@@ -95,6 +100,10 @@ _KPIS = """count(*) AS total,
     round(CASE WHEN count(*) > 0 THEN 100::DOUBLE * count(*) FILTER (sentiment = 'positive')
         / count(*) ELSE 0 END, 1) AS positivity_index"""
 _NEWEST = "(SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT {})"
+_EVENT_TOPICS = f"""(
+    SELECT count(*) FILTER (topic = 'Unemployment') AS unemployment,
+        count(*) FILTER (topic = 'Anxiety') AS anxiety, count(*) FILTER (topic = 'Economy') AS economy
+    FROM (SELECT {given.EVENT_TOPIC_SQL} AS topic FROM {_NEWEST.format(10000)}))"""
 _EVENT_SENTIMENT = """CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
     WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END"""
 
@@ -124,19 +133,42 @@ ENTRIES = {
             FROM {_TAGGED} WHERE sentiment = 'negative')
         GROUP BY 1, 2"""),
     "situation_board": Entry(situation_board, f"""
-        SELECT (SELECT count(*) FROM events) AS total,
-            unemployment, anxiety, economy,
+        SELECT (SELECT count(*) FROM events) AS total, * FROM {_EVENT_TOPICS}"""),
+    "situation_advice": Entry(situation_advice, f"""
+        SELECT 'Unemployment' AS topic, unemployment AS n, 10::BIGINT AS threshold,
+            'Labor Ministry' AS addressee,
+            CASE WHEN unemployment > 10 THEN 'alert' ELSE 'stable' END AS level,
             CASE WHEN unemployment > 10 THEN 'High unemployment mentions detected.'
-                ELSE 'Stable.' END AS labor_advice,
+                ELSE 'Stable.' END AS advice FROM {_EVENT_TOPICS}
+        UNION ALL
+        SELECT 'Anxiety', anxiety, 10::BIGINT, 'Health Ministry',
+            CASE WHEN anxiety > 10 THEN 'alert' ELSE 'stable' END,
             CASE WHEN anxiety > 10 THEN 'Anxiety levels rising.' ELSE 'Stable.' END
-                AS health_advice
-        FROM (SELECT count(*) FILTER (topic = 'Unemployment') AS unemployment,
-                count(*) FILTER (topic = 'Anxiety') AS anxiety,
-                count(*) FILTER (topic = 'Economy') AS economy
-            FROM (SELECT {given.EVENT_TOPIC_SQL} AS topic FROM {_NEWEST.format(10000)}))"""),
+        FROM {_EVENT_TOPICS}"""),
     "situation_map": Entry(situation_map, f"""
         SELECT CAST(31 AS BIGINT) AS lat_cell, CAST(35 AS BIGINT) AS lon_cell, count(*) AS n
         FROM {_NEWEST.format(10000)} WHERE user_id % 6 IN (1, 2) HAVING count(*) > 0"""),
+    "situation_forecast": Entry(situation_forecast, f"""
+        WITH hourly AS (
+            SELECT {given.EVENT_TOPIC_SQL} AS series, date_trunc('hour', ts) AS h, count(*) AS n
+            FROM events GROUP BY 1, 2),
+        aged AS (
+            SELECT series, n, row_number() OVER (PARTITION BY series ORDER BY h DESC) AS age
+            FROM hourly WHERE series <> 'General'),
+        placed AS (
+            SELECT *, count(*) OVER (PARTITION BY series) - age AS position FROM aged
+            WHERE age <= 50),
+        line AS (
+            SELECT series, count(*) AS m, any_value(n) AS one, regr_slope(n, position) AS slope,
+                regr_intercept(n, position) AS intercept, max(position) AS last
+            FROM placed WHERE age <= 15 GROUP BY series)
+        SELECT series, CAST(position AS INTEGER) AS position, 'actual' AS kind, n FROM placed
+        UNION ALL
+        SELECT series, CAST(position AS INTEGER), 'anchor', n FROM placed WHERE age = 1
+        UNION ALL
+        SELECT series, CAST(last + step AS INTEGER), 'forecast', CASE WHEN m < 2 THEN one ELSE
+            CAST(trunc(greatest(0, round(intercept + slope * (last + step), 9))) AS BIGINT) END
+        FROM line, (SELECT unnest(generate_series(1, 10)) AS step)"""),
     "message_board": Entry(message_board, f"""
         SELECT {_KPIS} FROM (SELECT {_EVENT_SENTIMENT} AS sentiment FROM {_NEWEST.format(500)})"""),
     "message_board_flow": Entry(message_board_flow, f"""

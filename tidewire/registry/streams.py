@@ -120,10 +120,11 @@ def survey_stream(spark, folder):
     messages = encode_json(_stream(spark, folder, "documents").select(
         F.col("lang").alias("country"), F.lit(2024).alias("year"), "text",
         (F.col("n_chars") % 90).cast("int").alias("age"), F.col("source").alias("gender")))
-    df = plans.tagged_surveys(messages, given.GLAD, given.SAD)
-    queries.run_to_end(queries.for_each_batch(
-        df, BatchFolders(f"{base}/out"), f"{base}/checkpoint", trigger=ONCE))
-    stored = read_batches(spark, f"{base}/out", df.schema)
+    queries.run_to_end(plans.run_surveys(
+        messages, queries.Watched(BatchFolders(f"{base}/out")), f"{base}/checkpoint", given.GLAD,
+        given.SAD, trigger=ONCE))
+    schema = plans.tagged_surveys(messages).schema
+    stored = read_batches(spark, f"{base}/out", schema)
     return stored.filter(F.col("processed_time").isNotNull()).drop("processed_time")
 
 
@@ -136,9 +137,9 @@ def indicator_stream(spark, folder):
         F.create_map("c_mktsegment", "c_acctbal", F.lit("nation"),
                      F.col("c_nationkey").cast("double")).alias("sector_employment")))
     base = scratch_folder(spark, "indicators")
-    df = plans.indicators(messages)
-    queries.run_to_end(queries.for_each_batch(
-        df, BatchFolders(f"{base}/out"), f"{base}/checkpoint", trigger=ONCE))
+    queries.run_to_end(plans.run_indicators(
+        messages, queries.Watched(BatchFolders(f"{base}/out")), f"{base}/checkpoint",
+        trigger=ONCE))
     stored = read_batches(spark, f"{base}/out", schemas.EMPLOYMENT_INDICATOR)
     return stored.select("country", "year", "unemployment_rate", "youth_unemployment",
                          F.explode("sector_employment").alias("sector", "employment"))
@@ -149,8 +150,11 @@ def scored_stream(spark, folder):
     messages = encode_json(_stream(spark, folder, "documents").select(
         "text", "source", F.col("lang").alias("country"),
         F.lit("2024-01-01 00:00:00").alias("timestamp")))
-    scored = plans.scored_messages(messages, quality_model(spark, folder), QUALITY_NAMES)
-    return _appended(spark, scored, "scored")
+    base = scratch_folder(spark, "social")
+    queries.run_to_end(plans.run_social(
+        messages, quality_model(spark, folder), QUALITY_NAMES, [BatchFolders(f"{base}/out")],
+        f"{base}/checkpoint", trigger=ONCE))
+    return read_batches(spark, f"{base}/out", schemas.SCORED_MESSAGE)
 
 
 _SENTIMENT = """CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
