@@ -49,6 +49,9 @@ def test_newest_equals_plain_sort_with_a_crowded_hour(spark, kind):
     for n in (10, 700, 1900, 6000):
         wanted = df.orderBy(F.desc("ts"), F.desc("event_id")).limit(n)
         assert ids(recent.latest_n(df, n)) == ids(wanted)
+        finer = recent.since_newest(df, n, refine_above=1)
+        assert finer.count() == min(n, 5000)
+        assert ids(recent.newest_first(finer, n)) == ids(wanted)
 
 
 def test_cutoff_reaches_the_scan(spark, tmp_path):

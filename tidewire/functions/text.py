@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidewire import fixed_values as fixed
 from tidewire.functions.lexicon import WORD_CHARACTERS, _column
 
-WHITESPACE = r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Few members: a class is tested one by one for every character.
+WHITESPACE = r"\p{IsWhite_Space}\x{1c}-\x{1f}"
 WHITESPACE_CHARACTERS = "".join(
     chr(code)
     for first, last in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
@@ -26,7 +27,6 @@ WHITESPACE_CHARACTERS = "".join(
 SYMBOLS = f"[^{WORD_CHARACTERS}{WHITESPACE}]"
 DIGIT_RUNS = r"\p{Nd}+"
 WORDS = f"[{WORD_CHARACTERS}]+"
-NON_SPACE_RUNS = f"[^{WHITESPACE}]+"
 
 
 def normalize_text(text: Column | str) -> Column:

@@ -47,11 +47,11 @@ def retain_latest(incoming: DataFrame, target: DataFrame | None = None,
     """
     everything = incoming if target is None else target.unionByName(incoming)
     keys = everything.select(id, ts)
-    start = cutoff(keys, 2 * n, ts, "1 hour", F.approx_count_distinct(id))
-    if start is not None:
-        near = keys.filter(F.col(ts) >= start)
+    guess = cutoff(keys, 2 * n, ts, "1 hour", F.approx_count_distinct(id))
+    if guess is not None:
+        near = keys.filter(F.col(ts) >= guess.start)
         if near.agg(F.count_distinct(id)).first()[0] >= n:
-            keys, everything = near, everything.filter(F.col(ts) >= start)
+            keys, everything = near, everything.filter(F.col(ts) >= guess.start)
     stamped = keys.groupBy(id).agg(F.max(ts).alias(ts))
     newest = stamped.orderBy(F.col(ts).desc_nulls_last(), F.col(id).desc_nulls_last()).limit(n)
     chosen = newest.select(id)

@@ -69,9 +69,14 @@ TOPIC_SQL = first_of("lower(text)", TOPICS, "General")
 CATEGORY_SQL = first_of("text", CATEGORIES, "other")
 EVENT_TOPIC_SQL = first_of("lower(event_type)", EVENT_TOPICS, "General")
 
+# RE2 has no class for all white space
+_SPACE_CLASS = (r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+                r"\x{202f}\x{205f}\x{3000}")
+SYMBOLS_RE2 = rf"[^\p{{L}}\p{{N}}_{_SPACE_CLASS}]"
+NON_SPACE_RE2 = f"[^{_SPACE_CLASS}]+"
 _SPACES = " || ".join(f"chr({ord(c)})" for c in text_functions.WHITESPACE_CHARACTERS)
 NORMALIZED_SQL = (
-    f"trim(regexp_replace(regexp_replace(text, '{text_functions.SYMBOLS}', ' ', 'g'), "
+    f"trim(regexp_replace(regexp_replace(text, '{SYMBOLS_RE2}', ' ', 'g'), "
     f"'{text_functions.DIGIT_RUNS}', '', 'g'), {_SPACES})"
 )
 _STOP = ", ".join(quoted(word) for word in STOPWORDS)
@@ -79,7 +84,7 @@ _STOP = ", ".join(quoted(word) for word in STOPWORDS)
 WORDS_SQL = f"""
     SELECT doc_id, word, min(place) AS place FROM (
         SELECT doc_id, unnest(parts) AS word, generate_subscripts(parts, 1) AS place FROM (
-            SELECT doc_id, string_split_regex({NORMALIZED_SQL}, '[{text_functions.WHITESPACE}]+')
+            SELECT doc_id, string_split_regex({NORMALIZED_SQL}, '[{_SPACE_CLASS}]+')
                 AS parts
             FROM documents))
     WHERE length(word) > 2 AND word NOT IN ({_STOP})

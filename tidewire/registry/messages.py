@@ -290,8 +290,8 @@ ENTRIES = {
         FROM documents"""),
     "token_clean": Entry(token_clean, f"""
         SELECT doc_id, array_to_string(list_filter(list_transform(
-            regexp_extract_all(text, '{text.NON_SPACE_RUNS}'),
-            lambda t: regexp_replace(t, '{text.SYMBOLS}', '', 'g')), lambda t: t <> ''), ' ')
+            regexp_extract_all(text, '{given.NON_SPACE_RE2}'),
+            lambda t: regexp_replace(t, '{given.SYMBOLS_RE2}', '', 'g')), lambda t: t <> ''), ' ')
             AS normalized FROM documents"""),
     "filter_negative": Entry(filter_negative, f"""
         SELECT doc_id, lang AS country FROM documents
