@@ -38,6 +38,18 @@ def _kind(value):
     return type(value).__name__
 
 
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+def type_differences(connection, sql, df) -> dict[str, tuple]:
+    """Columns whose declared types differ between a frame and its SQL."""
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    theirs = {row[0]: row[1] for row in described}
+    return {name: (kind, theirs.get(name)) for name, kind in df.dtypes
+            if SAME_TYPE.get(kind) != theirs.get(name)}
+
+
 def spark_rows(df):
     names = sorted(df.columns)
     return names, [tuple(_plain(row[name]) for name in names) for row in df.collect()]
@@ -91,9 +103,14 @@ def main(folder: str, wanted: list[str]) -> int:
             continue
         start = time.time()
         try:
-            ours = spark_rows(query(spark, folder))
+            df = query(spark, folder)
+            ours = spark_rows(df)
             took = time.time() - start
-            verdict = difference(ours, sql_rows(connection, sql[name])) if name in sql else None
+            verdict = None
+            if name in sql:
+                types = type_differences(connection, sql[name], df)
+                verdict = f"types {types}" if types else difference(
+                    ours, sql_rows(connection, sql[name]))
         except Exception as error:  # report all, stop at none
             took, verdict, ours = time.time() - start, f"{type(error).__name__} {error}"[:900], ([], [])
         bad += verdict is not None

@@ -24,7 +24,9 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, connection, name):
-    ours = compare.spark_rows(contract.queries()[name](spark, FOLDER))
+    df = contract.queries()[name](spark, FOLDER)
+    assert compare.type_differences(connection, SQL[name], df) == {}
+    ours = compare.spark_rows(df)
     assert compare.difference(ours, compare.sql_rows(connection, SQL[name])) is None
 
 

@@ -27,14 +27,19 @@ from tidewire.streaming import queries, stateful
 ONCE = {"availableNow": True}
 
 
-def _stream(spark, folder, name):
+# Stateless queries take a large table in steps. Those with a watermark take it in one, since its
+# files may come in any order of time.
+STEP = {"maxBytesPerTrigger": str(512 << 30)}
+
+
+def _stream(spark, folder, name, options=STEP):
     schema = table(spark, folder, name).schema
-    return read_table_stream(spark, TableFiles(stream_path(folder, name), schema))
+    return read_table_stream(spark, TableFiles(stream_path(folder, name), schema, options=options))
 
 
 def _events(spark, folder):
-    """Event times as instants, which watermarks need."""
-    return _stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    """All events in one batch, their times as instants, which watermarks need."""
+    return _stream(spark, folder, "events", {}).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _appended(spark, df, purpose):
@@ -60,7 +65,7 @@ def stream_ingest(spark, folder):
 
 
 def _typed(spark, folder):
-    return _events(spark, folder).select(
+    return _stream(spark, folder, "events").select(
         "event_id", "event_type",
         polarity.lexicon_sentiment("event_type", ("purchase", "signup"), ("error",))
         .alias("sentiment"))
