@@ -236,3 +236,34 @@ def test_dead_letters_beside_the_good_rows(spark, folder):
         lambda batch, i: bad(prepare.rejected(batch, "payload"), i)], f"{folder}/c", trigger=ONCE))
     assert spark.read.parquet(f"{folder}/good").count() == 2
     assert [r.payload for r in spark.read.parquet(f"{folder}/bad").collect()] == ["broken"]
+
+
+@pytest.mark.parametrize("limits", [{}, {"ts": "ts", "horizon": "1 day"}])
+def test_only_new_messages_are_stored_even_on_replay(spark, folder, limits):
+    write_events(spark, f"{folder}/in", 0, 40)
+    schema = spark.read.parquet(f"{folder}/in").schema
+    new = queries.NewOnly(sinks.BatchFolders(f"{folder}/out"), schema, **limits)
+    broken = [True]
+
+    def flaky(batch, batch_id):
+        new(batch, batch_id)
+        if batch_id == 1 and broken[0]:
+            broken[0] = False
+            raise RuntimeError("lost after the write")
+
+    def run():
+        queries.run_to_end(queries.for_each_batch(
+            stream(spark, f"{folder}/in"), flaky, f"{folder}/c", trigger=ONCE))
+
+    run()
+    write_events(spark, f"{folder}/in", 20, 60)  # half of them again
+    with pytest.raises(StreamingQueryException):
+        run()
+    run()
+    rows = sinks.read_batches(spark, f"{folder}/out", schema).orderBy("event_id").collect()
+    assert [r.event_id for r in rows] == list(range(60))
+
+
+def test_a_horizon_needs_a_time(spark):
+    with pytest.raises(ValueError):
+        queries.NewOnly(sinks.BatchFolders("x"), schemas.SURVEY_MESSAGE, horizon="1 day")

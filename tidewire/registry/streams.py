@@ -112,6 +112,16 @@ def stream_dedup(spark, folder):
         "ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def stream_new_only(spark, folder):
+    """Two full deliveries, one after the other, into the same folders."""
+    base = scratch_folder(spark, "new")
+    df = _stream(spark, folder, "events")
+    write = queries.NewOnly(BatchFolders(f"{base}/out"), df.schema)
+    for delivery in ("first", "second"):
+        queries.run_to_end(queries.for_each_batch(df, write, f"{base}/{delivery}", trigger=ONCE))
+    return read_batches(spark, f"{base}/out", df.schema)
+
+
 def stream_topic_window(spark, folder):
     topic = polarity.topic_priority("event_type", given.EVENT_TOPICS)
     windows = stateful.topic_windows(_events(spark, folder), topic)
@@ -178,6 +188,8 @@ ENTRIES = {
         FROM events, (VALUES ('first'), ('second')) AS s(sink) GROUP BY ALL"""),
     "stream_dedup": Entry(stream_dedup, """
         SELECT event_id, ts, user_id, event_type, value, props FROM events"""),
+    "stream_new_only": Entry(stream_new_only, """
+        SELECT event_id, ts, user_id, event_type, value, props FROM events"""),
     "stream_topic_window": Entry(stream_topic_window, f"""
         SELECT date_trunc('hour', ts) AS window_start,
             date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,

@@ -9,9 +9,17 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewire import fixed_values as fixed
-from tidewire.sources.sinks import BATCH_METRICS, BatchFolders, BatchWriter
+from tidewire.operators.dedup import dedup_new
+from tidewire.sources.sinks import (
+    BATCH_METRICS,
+    BatchFolders,
+    BatchWriter,
+    query_id,
+    read_batches,
+)
 
 log = logging.getLogger("tidewire")
 
@@ -91,6 +99,39 @@ class Watched:
             self.metrics(spark.createDataFrame([(batch_id, rows)], BATCH_METRICS), batch_id)
 
 
+class NewOnly:
+    """A writer that leaves out messages whose id is already in its folders, and copies.
+
+    A replayed batch does not take its own earlier attempt for stored messages. All stored ids are
+    read for each batch; ``horizon`` limits that to messages no older than the batch's oldest by
+    more than this interval, for stores whose copies come within it.
+    """
+
+    def __init__(self, write: BatchFolders, schema: StructType, id: str = "event_id", *,
+                 ts: str | None = None, horizon: str | None = None):
+        if horizon and not ts:
+            raise ValueError("a horizon needs the name of the time column")
+        self.write, self.schema, self.id, self.ts, self.horizon = write, schema, id, ts, horizon
+
+    def _stored(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        everything = read_batches(spark, self.write.path, StructType([
+            *self.schema.fields,
+            StructField("query_id", StringType(), True),
+            StructField("batch_id", LongType(), True),
+        ]), self.write.format)
+        own = ((F.col("query_id") == F.lit(query_id(spark) or "none"))
+               & (F.col("batch_id") == batch_id))
+        stored = everything.filter(~own)
+        if self.horizon:
+            oldest = batch.agg(F.min(self.ts) - F.expr(f"interval {self.horizon}")).scalar()
+            stored = stored.filter(F.col(self.ts) >= oldest)
+        return stored
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.write(dedup_new(batch, self._stored(batch, batch_id), self.id), batch_id)
+
+
 def run_to_end(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query; raises what stopped it."""
     query.awaitTermination()
