@@ -49,7 +49,9 @@ def _situation(spark, folder):
     """Events as stored messages: the type is the text, the user's number makes the rating."""
     stored = table(spark, folder, "events").select(
         "event_id", "ts", F.col("event_type").alias("text"),
-        F.concat(F.col("user_id") % 6, F.lit(" stars")).alias("sentiment_label"))
+        F.concat(F.col("user_id") % 6, F.lit(" stars")).alias("sentiment_label"),
+        F.when(F.col("event_type") == "view", "Egypt").when(
+            F.col("event_type") == "click", "Kuwait").alias("country"))
     return boards.Situation(stored, EVENT_RULES, id="event_id")
 
 
@@ -146,8 +148,13 @@ ENTRIES = {
             CASE WHEN anxiety > 10 THEN 'Anxiety levels rising.' ELSE 'Stable.' END
         FROM {_EVENT_TOPICS}"""),
     "situation_map": Entry(situation_map, f"""
-        SELECT CAST(31 AS BIGINT) AS lat_cell, CAST(35 AS BIGINT) AS lon_cell, count(*) AS n
-        FROM {_NEWEST.format(10000)} WHERE user_id % 6 IN (1, 2) HAVING count(*) > 0"""),
+        SELECT CAST(floor(lat) AS BIGINT) AS lat_cell, CAST(floor(lon) AS BIGINT) AS lon_cell,
+            count(*) AS n
+        FROM (SELECT CASE event_type WHEN 'view' THEN 26.82 WHEN 'click' THEN 29.37 ELSE 31.95 END
+                AS lat, CASE event_type WHEN 'view' THEN 30.8 WHEN 'click' THEN 47.97 ELSE 35.91 END
+                AS lon
+            FROM {_NEWEST.format(10000)} WHERE user_id % 6 IN (1, 2))
+        GROUP BY 1, 2"""),
     "situation_forecast": Entry(situation_forecast, f"""
         WITH hourly AS (
             SELECT {given.EVENT_TOPIC_SQL} AS series, date_trunc('hour', ts) AS h, count(*) AS n
