@@ -14,7 +14,7 @@ def one_per_id(df: DataFrame, id: str, order: str | None = None) -> DataFrame:
     """One row per id: the first by ``order``, or any of identical copies.
 
     Copies collapse in the map tasks before the shuffle, so a much-repeated id costs no more than
-    others.
+    others. Rows without an id count as copies of one another.
     """
     if order is None:
         return df.dropDuplicates([id])
