@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, fixity, mixing, quality, toxicity
+from tidewire.llm import chat, fixity, mixing, near_dedup, quality, toxicity
 from tidewire.registry import Entry
 from tidewire.registry.inputs import table
 
@@ -73,6 +73,10 @@ def _op3(spark: SparkSession, folder: str) -> DataFrame:
                             threshold=0.3)
 
 
+def _op4(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=2)
+
+
 def _op8(spark: SparkSession, folder: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
@@ -132,6 +136,7 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 ENTRIES: dict[str, Entry] = {
     "op1_mixing": Entry(_op1, _OP1_SQL),
     "op3_quality": Entry(_op3),
+    "op4_near_dedup": Entry(_op4),
     "op8_chat": Entry(_op8, _OP8_SQL),
     "op9_toxicity": Entry(_op9),
     "op10_fixity": Entry(_op10),

@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.words import VALUE_OF_LOWER, blocks, prefix_hashes, run_hashes
+from tidewire.llm.words import VALUE_OF_LOWER, blocks, mix, prefix_hashes, run_hashes
 
 BUCKET_BITS = 18
 GRAM_BYTES = (4, 6)
+PREFIX_BYTES = (3, 4, 5, 6, 7, 8)
 #: Bounds of the fit: labelled rows from which features are chosen and weights are learned,
 #: features kept, and the evidence (log-likelihood ratio) that a feature needs.
 MAX_EXAMPLES = 200_000
@@ -21,6 +22,8 @@ MAX_BAGS = 50_000
 MAX_FEATURES = 2_000
 LEAST_EVIDENCE = 20.0
 
+#: Set whole words and beginnings apart from runs of the same bytes elsewhere.
+_WHOLE, _PREFIX = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _CODE = np.arange(256)
 _WORD_BYTE = (((_CODE >= 48) & (_CODE <= 57)) | ((_CODE >= 65) & (_CODE <= 90))
               | ((_CODE >= 97) & (_CODE <= 122)) | (_CODE >= 128))
@@ -40,7 +43,8 @@ class Grams(NamedTuple):
 
 
 def grams_of(texts: list[bytes]) -> Grams:
-    """Words, and runs of 4 and 6 bytes within words, of every sentence; A-Z count as a-z."""
+    """Words, their beginnings, and runs of bytes within words, of every sentence; A-Z count as
+    a-z."""
     lengths = np.fromiter((len(text) + 1 for text in texts), np.int64, len(texts))
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     text_start = np.concatenate(([0], np.cumsum(lengths)))
@@ -52,7 +56,11 @@ def grams_of(texts: list[bytes]) -> Grams:
     edges = np.flatnonzero(np.diff(inside))
     word_start, word_end = edges[::2], edges[1::2]
     sums = prefix_hashes(VALUE_OF_LOWER[data])
-    begin, hashes = [word_start], [run_hashes(sums, word_start, word_end) + np.uint64(1)]
+    begin, hashes = [word_start], [mix(run_hashes(sums, word_start, word_end) ^ _WHOLE)]
+    for n in PREFIX_BYTES:
+        at = word_start[word_end - word_start >= n]
+        begin.append(at)
+        hashes.append(mix(run_hashes(sums, at, at + n) ^ _PREFIX))
     outside = np.concatenate(([0], np.cumsum(inside[1:-1] == 0)))
     for n in GRAM_BYTES:
         if len(data) > n:
