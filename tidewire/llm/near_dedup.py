@@ -17,8 +17,8 @@ from tidewire.session import ensure_checkpoint_dir
 SKETCH = 48
 #: Wanted documents up to which their ids are sent to all tasks rather than joined by a shuffle.
 MAX_WANTED = 1_000_000
-#: Rounds in which only one member of a list is compared with the others.
-STAR_ROUNDS = 2
+#: Members of a list with which all others are compared first.
+STARS = 4
 
 
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -63,7 +63,7 @@ def _share_needed(similarity: float) -> float:
 
 
 def inverted_lists(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(value, node, n): the retained values by which similar sets can meet.
+    """(value, node, n, place): the retained values by which similar sets can meet.
 
     Sketches that agree in a needed number o of their values must already agree among the
     k - o + 1 rarest, so common values are left to documents that hold little else. Values of one
@@ -77,7 +77,7 @@ def inverted_lists(nodes: DataFrame, similarity: float) -> DataFrame:
         "n_shared": F.count(F.lit(1)).over(Window.partitionBy("node"))})
     needed = F.ceil(F.col("k") * _share_needed(similarity))
     prefix = F.col("k") - needed + 1 - (F.col("k") - F.col("n_shared"))
-    return ranked.filter(F.col("place") <= prefix).select("value", "node", "n")
+    return ranked.filter(F.col("place") <= prefix).select("value", "node", "n", "place")
 
 
 def _alike_in_size(one: Column, other: Column, similarity: float) -> Column:
@@ -140,49 +140,70 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(check, "a binary, b binary")
 
 
+def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, *, percent: int,
+               shingle_words: int, id: str, text: str, size: int) -> DataFrame | None:
+    """The links among candidate pairs (a, b): first by estimate, then on the full sets."""
+    pairs = _estimated(pairs.distinct(), nodes, percent / 100, size).checkpoint()
+    if pairs.isEmpty():
+        return None
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _full_sets(docs, wanted.join(nodes.select("node", "_id"), "node"), shingle_words, id,
+                      text)
+    return _verified(pairs, sets, percent).checkpoint()
+
+
+def _star_pairs(postings: DataFrame, similarity: float) -> DataFrame:
+    """Every member of a list with a few of them, chosen by hash."""
+    pivots = postings.groupBy("value").agg(
+        F.count(F.lit(1)).alias("members"),
+        *[F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(star))).alias(f"p{star}")
+          for star in range(STARS)]).filter("members > 1")
+    met = postings.join(pivots, "value").select(
+        "node", "n", F.explode(F.array_distinct(F.array(*[f"p{star}" for star in range(STARS)])))
+        .alias("pivot"))
+    met = met.filter((F.col("node") != F.col("pivot.node"))
+                     & _alike_in_size(F.col("n"), F.col("pivot.n"), similarity))
+    return met.select(F.least("node", "pivot.node").alias("a"),
+                      F.greatest("node", "pivot.node").alias("b"))
+
+
+def _open_pairs(postings: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of one list in different components, each at the first list they share."""
+    lists = postings.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    open_values = lists.groupBy("value").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")).filter(
+        "least != most").select("value")
+    before = Window.partitionBy("node").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1)
+    members = lists.join(open_values, "value", "left_semi").withColumn(
+        "earlier", F.collect_list("value").over(before))
+    others = members.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"),
+                            F.col("component").alias("of_b"), F.col("earlier").alias("earlier_b"))
+    return members.join(others, "value").filter(
+        (F.col("node") < F.col("b")) & (F.col("component") != F.col("of_b"))
+        & _alike_in_size(F.col("n"), F.col("n_b"), similarity)
+        & ~F.arrays_overlap("earlier", "earlier_b")).select(F.col("node").alias("a"), "b")
+
+
 def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_words: int, id: str,
                   text: str, size: int = SKETCH) -> DataFrame | None:
     """(node, component) of all nodes linked with another, or None if there are none.
 
-    A list is first compared with one member chosen by hash, twice, which connects a large group
-    of copies with as many comparisons as it has members. What then remains are pairs of one list
-    in different components; all of these are compared.
+    The members of a list are first compared with a few of them, which connects a large group of
+    copies with a number of comparisons that grows with its members only. What then remains are
+    pairs of one list in different components; all of these are compared.
     """
+    given = dict(percent=percent, shingle_words=shingle_words, id=id, text=text, size=size)
     similarity = percent / 100
     postings = inverted_lists(nodes, similarity).checkpoint()
-    links, labels = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        lists = postings.withColumn("component", F.col("node")) if labels is None else (
-            postings.join(labels, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")))
-        open_values = lists.groupBy("value").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"),
-            F.min_by(F.struct("node", "component", "n"),
-                     F.xxhash64("node", F.lit(turn))).alias("pivot")).filter("least != most")
-        if turn < STAR_ROUNDS:
-            met = lists.join(open_values, "value").filter(
-                F.col("component") != F.col("pivot.component")).filter(
-                _alike_in_size(F.col("n"), F.col("pivot.n"), similarity))
-            pairs = met.select(F.least("node", "pivot.node").alias("a"),
-                               F.greatest("node", "pivot.node").alias("b"))
-        else:
-            members = lists.join(open_values.select("value"), "value", "left_semi")
-            others = members.select("value", F.col("node").alias("b"),
-                                    F.col("n").alias("n_b"), F.col("component").alias("of_b"))
-            met = members.join(others, "value").filter(
-                (F.col("node") < F.col("b")) & (F.col("component") != F.col("of_b"))
-                & _alike_in_size(F.col("n"), F.col("n_b"), similarity))
-            pairs = met.select(F.col("node").alias("a"), "b")
-        pairs = _estimated(pairs.distinct(), nodes, similarity, size).checkpoint()
-        if pairs.isEmpty():
-            continue
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        sets = _full_sets(docs, wanted.join(nodes.select("node", "_id"), "node"), shingle_words,
-                          id, text)
-        found = _verified(pairs, sets, percent).checkpoint()
-        links = found if links is None else links.union(found)
-        labels = components(links)
-    return labels
+    links = _confirmed(docs, nodes, _star_pairs(postings, similarity), **given)
+    alone = nodes.select("node", F.col("node").alias("component"))
+    labels = alone if links is None else components(links)
+    more = _confirmed(docs, nodes, _open_pairs(postings, labels, similarity), **given)
+    if more is None:
+        return None if links is None else labels
+    return components(more if links is None else links.union(more))
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
