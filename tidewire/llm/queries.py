@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import chat, fixity, mixing, near_dedup, quality, toxicity
+from tidewire.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    fixity,
+    licenses,
+    mixing,
+    near_dedup,
+    passages,
+    quality,
+    toxicity,
+)
 from tidewire.registry import Entry
 from tidewire.registry.inputs import table
 
@@ -67,6 +78,11 @@ LEFT JOIN limits l ON s.source IS NOT DISTINCT FROM l.source
 """
 
 
+def _op2(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"),
+                                      table(spark, folder, "benchmark"))
+
+
 def _op3(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     return quality.classify(docs, labels, held_out=lambda id: remainder(id, 5) == 0,
@@ -77,6 +93,18 @@ def _op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=2)
 
 
+def _op5(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_and_next(table(spark, folder, "documents"))
+
+
+def _op6(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, folder, "documents"))
+
+
+def _op7(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def _op8(spark: SparkSession, folder: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(
@@ -135,8 +163,12 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 
 ENTRIES: dict[str, Entry] = {
     "op1_mixing": Entry(_op1, _OP1_SQL),
+    "op2_decontamination": Entry(_op2),
     "op3_quality": Entry(_op3),
     "op4_near_dedup": Entry(_op4),
+    "op5_fingerprints": Entry(_op5),
+    "op6_passages": Entry(_op6),
+    "op7_licenses": Entry(_op7),
     "op8_chat": Entry(_op8, _OP8_SQL),
     "op9_toxicity": Entry(_op9),
     "op10_fixity": Entry(_op10),
