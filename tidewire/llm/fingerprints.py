@@ -72,7 +72,8 @@ def with_fingerprints(rows: DataFrame, keys: list[str], texts: list[str]) -> Dat
     bins = hashes.groupBy(*keys, "_name", F.shiftrightunsigned(
         "_h", 64 - BINS_LOG2).cast("int").alias("_bin")).agg(
         F.min(F.col("_h").bitwiseAND((1 << (64 - BINS_LOG2)) - 1)).alias("_least"))
-    low = F.col("_least").bitwiseAND((1 << BITS) - 1).cast("int")
+    # kept as a signed byte
+    low = (F.col("_least").bitwiseAND((1 << BITS) - 1) - (1 << (BITS - 1))).cast("tinyint")
     filled = bins.groupBy(*keys, "_name").agg(F.map_from_entries(F.collect_list(F.struct(
         "_bin", low.alias("_low")))).alias("_filled"))
     packed = filled.withColumn("_fp", _densified(F.col("_filled")))
@@ -84,7 +85,8 @@ def with_fingerprints(rows: DataFrame, keys: list[str], texts: list[str]) -> Dat
 def packed(fingerprint: Column) -> Column:
     """Two hexadecimal digits a bin; the empty string for a text without words."""
     return F.coalesce(F.array_join(F.transform(
-        fingerprint, lambda byte: F.lpad(F.lower(F.hex(byte)), BITS // 4, "0")), ""), F.lit(""))
+        fingerprint, lambda byte: F.lpad(F.lower(F.hex(byte + F.lit(1 << (BITS - 1)))),
+                                         BITS // 4, "0")), ""), F.lit(""))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -134,26 +136,24 @@ def edited_and_next(docs: DataFrame, *, id: str = "doc_id", text: str = "text")
     table gives an empty result; other columns are ignored.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    whole = keyed(docs, id, text).groupBy(*KEY).agg(
-        F.first("_id").alias("_id"), F.first("_text").alias("_text"),
-        F.count(F.lit(1)).alias("_copies"))
-    sizes = keyed(docs, id, text).select("_id", *KEY).distinct()
+    rows = keyed(docs, id, text)
+    sizes = rows.select("_id", *KEY, F.char_length("_text").cast("long").alias("n")).groupBy(
+        "_id", *KEY, "n").agg(F.count(F.lit(1)).alias("_copies")).checkpoint()
     order = following(sizes).checkpoint()
-    half = F.floor(F.char_length("_text") / 2).cast("int")
-    lengths = whole.join(order, KEY).select(*KEY, "next_a", "next_b", half.alias("_half"))
-    wanted = lengths.select(F.col("_a").alias("of_a"), F.col("_b").alias("of_b"),
-                            F.col("next_a").alias("_a"), F.col("next_b").alias("_b"), "_half")
+    # copies collapse before the texts move; both joins below use the one exchange of them
+    whole = rows.groupBy(*KEY).agg(F.first("_text").alias("_text"))
+    wanted = sizes.join(order, KEY).select(
+        F.col("_a").alias("of_a"), F.col("_b").alias("of_b"), F.col("next_a").alias("_a"),
+        F.col("next_b").alias("_b"), F.floor(F.col("n") / 2).cast("int").alias("_half"))
     heads = whole.join(wanted, KEY).select(
         F.col("of_a").alias("_a"), F.col("of_b").alias("_b"),
         F.expr("substring(_text, 1, _half)").alias("_head"))
-    edited = whole.join(heads, KEY).withColumn("_edited", F.concat(
+    edited = whole.join(heads, KEY).select(*KEY, "_text", F.concat(
         F.expr("substring(_text, 1, char_length(_text) - cast(floor(char_length(_text) / 2)"
-               " as int))"), "_head"))
-    rows = edited.select("_id", *KEY, "_copies", F.char_length("_text").cast("long").alias("n"),
-                         F.sha2("_edited", 256).alias("sha"), "_text", "_edited")
-    facts = rows.select("_id", *KEY, "_copies", "n", "sha")
-    prints = with_fingerprints(rows, KEY, ["_text", "_edited"])
-    known = facts.join(prints, KEY, "left").checkpoint()
+               " as int))"), "_head").alias("_edited"))
+    shas = edited.select(*KEY, F.sha2("_edited", 256).alias("sha"))
+    prints = with_fingerprints(edited, KEY, ["_text", "_edited"])
+    known = sizes.join(shas.join(prints, KEY, "left"), KEY).checkpoint()
     others = known.select(F.col("_a").alias("next_a"), F.col("_b").alias("next_b"),
                           F.col("fp__text").alias("fp_next"))
     result = known.join(order, KEY).join(others, ["next_a", "next_b"])
