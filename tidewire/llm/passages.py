@@ -42,9 +42,7 @@ def seed_places(words: np.ndarray, seed: int = SEED_WORDS, window: int = WINDOW,
 
 
 def seeds(rows: DataFrame, least_words: int) -> DataFrame:
-    """_id, KEY, at, seed of every text that could hold a passage."""
-    kinds = dict(rows.dtypes)
-
+    """no (whether the id is null), KEY, at and seed of every text that could hold a passage."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "_text"):
             words = words_of(texts)
@@ -58,13 +56,14 @@ def seeds(rows: DataFrame, least_words: int) -> DataFrame:
             if text_of:
                 take = pa.array(np.concatenate(text_of))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(name).take(take) for name in ("_id", *KEY)),
+                    [*(batch.column(name).take(take) for name in ("no", *KEY)),
                      pa.array(np.concatenate(at), pa.int32()), pa.array(np.concatenate(hashes))],
-                    ["_id", *KEY, "at", "seed"])
+                    ["no", *KEY, "at", "seed"])
 
-    selected = rows.select("_id", *KEY, F.col("_text").cast("binary").alias("_text"))
+    selected = rows.select(F.col("_id").isNull().alias("no"), *KEY,
+                           F.col("_text").cast("binary").alias("_text"))
     return selected.mapInArrow(
-        found, f"_id {kinds['_id']}, _a {kinds['_a']}, _b long, at int, seed long")
+        found, f"no boolean, _a {dict(rows.dtypes)['_a']}, _b long, at int, seed long")
 
 
 class _Prefixes:
@@ -120,7 +119,7 @@ def chains(matches: Sequence[tuple[int, int]], weight: float = SEED_WORDS,
     return result
 
 
-def _resync(x: np.ndarray, y: np.ndarray, i: int, j: int, step: int) -> tuple[int, int] | None:
+def _resync(x: list[int], y: list[int], i: int, j: int, step: int) -> tuple[int, int] | None:
     """The fewest words to skip on either side until ``RESYNC`` equal ones follow."""
     for total in range(1, 2 * MOST_EDIT + 1):
         for skip in range(max(0, total - MOST_EDIT), min(total, MOST_EDIT) + 1):
@@ -131,7 +130,7 @@ def _resync(x: np.ndarray, y: np.ndarray, i: int, j: int, step: int) -> tuple[in
     return None
 
 
-def _extend(x: np.ndarray, y: np.ndarray, i: int, j: int, step: int) -> tuple[int, int, int]:
+def _extend(x: list[int], y: list[int], i: int, j: int, step: int) -> tuple[int, int, int]:
     """Aligns from (i, j) in one direction; ends and equal words behind the last equal word."""
     equal, end = 0, (i, j)
     while 0 <= i < len(x) and 0 <= j < len(y):
@@ -147,7 +146,7 @@ def _extend(x: np.ndarray, y: np.ndarray, i: int, j: int, step: int) -> tuple[in
     return (*end, equal)
 
 
-def _between(x: np.ndarray, y: np.ndarray) -> int:
+def _between(x: list[int], y: list[int]) -> int:
     """Equal words in order of two short runs: a longest common subsequence."""
     row = [0] * (len(y) + 1)
     for word in x:
@@ -158,15 +157,15 @@ def _between(x: np.ndarray, y: np.ndarray) -> int:
     return row[-1]
 
 
-def align(x: np.ndarray, y: np.ndarray, chain: Sequence[tuple[int, int]], seed: int = SEED_WORDS,
-          ) -> tuple[int, int, int, int, int] | None:
+def align(x: list[int], y: list[int], chain: Sequence[tuple[int, int]],
+          seed: int = SEED_WORDS) -> tuple[int, int, int, int, int] | None:
     """Begin and end in both texts, and equal words, of the passage around a chain.
 
     The words between seeds are compared by longest common subsequence, those beside the chain as
     far as they keep agreeing.
     """
     (i, j), equal = chain[0], 0
-    if not np.array_equal(x[i:i + seed], y[j:j + seed]):
+    if x[i:i + seed] != y[j:j + seed]:
         return None
     left_x, left_y, more = _extend(x, y, i - 1, j - 1, -1)
     equal += more + seed
@@ -176,11 +175,10 @@ def align(x: np.ndarray, y: np.ndarray, chain: Sequence[tuple[int, int]], seed:
         if overlap >= seed:
             continue
         a, b, n = a + overlap, b + overlap, seed - overlap
-        if not np.array_equal(x[a:a + n], y[b:b + n]):
+        if x[a:a + n] != y[b:b + n]:
             continue
         gap_x, gap_y = x[i:a], y[j:b]
-        equal += len(gap_x) if np.array_equal(gap_x, gap_y) else _between(
-            gap_x.tolist(), gap_y.tolist())
+        equal += len(gap_x) if gap_x == gap_y else _between(gap_x, gap_y)
         equal += n
         i, j = a + n, b + n
     end_x, end_y, more = _extend(x, y, i, j, 1)
@@ -190,41 +188,41 @@ def align(x: np.ndarray, y: np.ndarray, chain: Sequence[tuple[int, int]], seed:
 def _chained(matches: DataFrame) -> DataFrame:
     """A row per chain: both texts, the regions to compare, and the chain in region places."""
     kind = dict(matches.dtypes)["_a"]
-    per_text = matches.groupBy(*KEY).agg(F.collect_set(F.struct(
-        "src_a", "src_b", "at", "src_at")).alias("matches"))
+    # as many as a text has seeds, at most
+    per_text = matches.groupBy("no", *KEY).agg(F.collect_set(F.struct(
+        "src_no", "src_a", "src_b", "at", "src_at")).alias("matches"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[dict] = []
-            for a, b, found in zip(*(batch.column(name).to_pylist()
-                                     for name in (*KEY, "matches"))):
+            row_of, out = [], []
+            for row, found in enumerate(batch.column("matches").to_pylist()):
                 by_source: dict[tuple, list] = {}
                 for m in found:
-                    by_source.setdefault((m["src_a"], m["src_b"]), []).append(
+                    by_source.setdefault((m["src_no"], m["src_a"], m["src_b"]), []).append(
                         (m["at"], m["src_at"]))
-                for (src_a, src_b), pairs in by_source.items():
+                for (src_no, src_a, src_b), pairs in by_source.items():
                     for chain in chains(pairs):
                         (here, there), (here2, there2) = chain[0], chain[-1]
                         begin, src_begin = (max(0, p - MARGIN) // GRID * GRID
                                             for p in (here, there))
                         end, src_end = (-(-(p + SEED_WORDS + MARGIN) // GRID) * GRID
                                         for p in (here2, there2))
-                        out.append({"_a": a, "_b": b, "src_a": src_a, "src_b": src_b,
-                                    "begin": begin, "end": end, "src_begin": src_begin,
-                                    "src_end": src_end,
-                                    "here": [p - begin for p, _ in chain],
-                                    "there": [p - src_begin for _, p in chain]})
+                        row_of.append(row)
+                        out.append((src_no, src_a, src_b, begin, end, src_begin, src_end,
+                                    [p - begin for p, _ in chain],
+                                    [p - src_begin for _, p in chain]))
             if out:
-                yield pa.RecordBatch.from_pylist(out, schema)
+                key = [batch.column(name).take(pa.array(row_of)) for name in ("no", *KEY)]
+                values = [pa.array(column, type_) for column, type_ in zip(zip(*out), (
+                    pa.bool_(), batch.column("_a").type, pa.int64(), *[pa.int32()] * 4,
+                    pa.list_(pa.int32()), pa.list_(pa.int32())))]
+                yield pa.RecordBatch.from_arrays([*key, *values], [
+                    "no", *KEY, "src_no", "src_a", "src_b", "begin", "end", "src_begin",
+                    "src_end", "here", "there"])
 
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())
-    schema = pa.schema([("_a", id_type), ("_b", pa.int64()), ("src_a", id_type),
-                        ("src_b", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()),
-                        ("src_begin", pa.int32()), ("src_end", pa.int32()),
-                        ("here", pa.list_(pa.int32())), ("there", pa.list_(pa.int32()))])
     return per_text.mapInArrow(
-        rows, f"_a {kind}, _b long, src_a {kind}, src_b long, begin int, end int, src_begin int, "
-              "src_end int, here array<int>, there array<int>")
+        rows, f"no boolean, _a {kind}, _b long, src_no boolean, src_a {kind}, src_b long, begin "
+              "int, end int, src_begin int, src_end int, here array<int>, there array<int>")
 
 
 def _regions(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -257,64 +255,84 @@ def _regions(rows: DataFrame, found: DataFrame) -> DataFrame:
     return texts.mapInArrow(cut, f"_a {kind}, _b long, begin int, end int, words binary")
 
 
+def _best_first(chains: list[dict], regions: dict[tuple[int, int], list[int]],
+                least_words: int, least_similarity: float) -> Iterator[tuple]:
+    """Passages of one text: its chains, most seeds first, are aligned unless they lie within a
+    passage that is already found."""
+    spans: list[tuple[int, int]] = []
+    order = sorted(chains, key=lambda c: (-len(c["here"]), c["src_no"], c["src_a"], c["src_b"],
+                                          c["begin"], c["here"], c["there"]))
+    for chain in order:
+        begin, src_begin = chain["begin"], chain["src_begin"]
+        first, last = begin + chain["here"][0], begin + chain["here"][-1] + SEED_WORDS
+        if any(a <= first and last <= b for a, b in spans):
+            continue
+        found = align(regions[begin, chain["end"]], memoryview(chain["y"]).cast("I").tolist(),
+                      list(zip(chain["here"], chain["there"])))
+        if found is None:
+            continue
+        a, b, c, d, equal = found
+        similarity = equal / max(b - a, d - c)
+        if min(b - a, d - c) >= least_words and similarity >= least_similarity:
+            spans.append((begin + a, begin + b))
+            yield (chain["src_no"], chain["src_a"], chain["src_b"], begin + a, begin + b,
+                   src_begin + c, src_begin + d, similarity)
+
+
 def _aligned(found: DataFrame, regions: DataFrame, least_words: int,
              least_similarity: float) -> DataFrame:
     """Chains whose alignment is long and alike enough, as spans of words."""
-    here = regions.withColumnRenamed("words", "x")
     there = regions.select(F.col("_a").alias("src_a"), F.col("_b").alias("src_b"),
                            F.col("begin").alias("src_begin"), F.col("end").alias("src_end"),
                            F.col("words").alias("y"))
-    both = found.join(here, [*KEY, "begin", "end"]).join(
-        there, ["src_a", "src_b", "src_begin", "src_end"]).select(
-        *KEY, "src_a", "src_b", "begin", "src_begin", "here", "there", "x", "y")
+    chained = found.join(there, ["src_a", "src_b", "src_begin", "src_end"]).groupBy(
+        "no", *KEY).agg(F.collect_list(F.struct(
+            "src_no", "src_a", "src_b", "begin", "end", "src_begin", "here", "there", "y"))
+            .alias("chains"))
+    own = regions.groupBy(*KEY).agg(F.collect_list(F.struct("begin", "end", "words"))
+                                    .alias("regions"))
+    both = chained.join(own, KEY)
     kind = dict(both.dtypes)["_a"]
-    carried = [*KEY, "src_a", "src_b"]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, spans = [], []
-            columns = [batch.column(name).to_pylist() for name in (
-                "begin", "src_begin", "here", "there", "x", "y")]
-            for row, (begin, src_begin, at, src_at, x, y) in enumerate(zip(*columns)):
-                found = align(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32),
-                              list(zip(at, src_at)))
-                if found is None:
-                    continue
-                a, b, c, d, equal = found
-                similarity = equal / max(b - a, d - c)
-                if min(b - a, d - c) >= least_words and similarity >= least_similarity:
-                    kept.append(row)
-                    spans.append((begin + a, begin + b, src_begin + c, src_begin + d, similarity))
-            if kept:
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(name).take(pa.array(kept)) for name in carried),
-                     *(pa.array([s[n] for s in spans], pa.int64()) for n in range(4)),
-                     pa.array([s[4] for s in spans])],
-                    [*carried, "start_word", "end_word", "source_start", "source_end",
-                     "similarity"])
+            row_of, out = [], []
+            for row in range(batch.num_rows):
+                own = {(r["begin"], r["end"]): memoryview(r["words"]).cast("I").tolist()
+                       for r in batch.column("regions")[row].as_py()}
+                for passage in _best_first(batch.column("chains")[row].as_py(), own, least_words,
+                                           least_similarity):
+                    row_of.append(row)
+                    out.append(passage)
+            if out:
+                key = [batch.column(name).take(pa.array(row_of)) for name in ("no", *KEY)]
+                values = [pa.array(column, type_) for column, type_ in zip(zip(*out), (
+                    pa.bool_(), batch.column("_a").type, *[pa.int64()] * 5, pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*key, *values], [
+                    "no", *KEY, "src_no", "src_a", "src_b", "start_word", "end_word",
+                    "source_start", "source_end", "similarity"])
 
     return both.mapInArrow(
-        rows, f"_a {kind}, _b long, src_a {kind}, src_b long, start_word long, end_word long, "
-              "source_start long, source_end long, similarity double").distinct()
+        rows, f"no boolean, _a {kind}, _b long, src_no boolean, src_a {kind}, src_b long, "
+              "start_word long, end_word long, source_start long, source_end long, "
+              "similarity double")
 
 
 def _passages(rows: DataFrame, least_words: int, least_similarity: float) -> DataFrame:
-    """KEY and source KEY of aligned passages, with _id and source_id."""
-    sown = seeds(rows, least_words).checkpoint()
-    place = F.struct(F.col("_id").isNull().alias("no"), "_id", *KEY)
-    first = sown.groupBy("seed").agg(F.min(place).alias("src"), F.max(place).alias("last"))
-    shared = first.filter(F.col("src") != F.col("last")).select(
-        "seed", F.col("src._id").alias("source_id"), F.col("src._a").alias("src_a"),
-        F.col("src._b").alias("src_b"))
-    met = sown.join(shared, "seed")
+    """KEY, source and spans of the passages, with _id and source_id."""
+    sown = seeds(rows, least_words)
+    first = sown.groupBy("seed").agg(F.min(F.struct("no", *KEY, "at")).alias("src"),
+                                     F.max(F.struct("no", *KEY)).alias("last"))
+    # written, so that the join below can split a seed that very many texts hold
+    shared = first.filter((F.col("src._a") != F.col("last._a"))
+                          | (F.col("src._b") != F.col("last._b"))).select(
+        "seed", F.col("src.no").alias("src_no"), F.col("src._a").alias("src_a"),
+        F.col("src._b").alias("src_b"), F.col("src.at").alias("src_at")).checkpoint()
     own = (F.col("_a") == F.col("src_a")) & (F.col("_b") == F.col("src_b"))
-    at_source = met.filter(own).groupBy("seed").agg(F.min("at").alias("src_at"))
-    matches = met.filter(~own).join(at_source, "seed").checkpoint()
-    found = _chained(matches).checkpoint()
+    found = _chained(sown.join(shared, "seed").filter(~own)).checkpoint()
     spans = _aligned(found, _regions(rows, found), least_words, least_similarity)
-    sources = matches.select(F.col("src_a"), F.col("src_b"), "source_id").distinct()
-    ids = matches.select("_id", *KEY).distinct()
-    return spans.join(ids, KEY).join(sources, ["src_a", "src_b"])
+    return spans.withColumns({"_id": F.when(~F.col("no"), F.col("_a")),
+                              "source_id": F.when(~F.col("src_no"), F.col("src_a"))})
 
 
 def repeated_passages(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
@@ -326,7 +344,8 @@ def repeated_passages(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
     the first document that holds it, so a passage in many documents makes one match each, not one
     for every pair. Matches of two documents are chained and the chains aligned; passages of at
     least ``least_words`` words on both sides with at least ``least_similarity`` of them equal in
-    order remain. Words are runs of anything but ASCII white space with A-Z as a-z.
+    order remain. A chain within a passage that is already found is not aligned again, so a passage
+    has one source. Words are runs of anything but ASCII white space with A-Z as a-z.
 
     Returns id, source_id, start_word, end_word (from 0, end exclusive), source_start, source_end
     and similarity. Null, empty and short texts hold no passage; repeats inside one text are not
