@@ -121,13 +121,20 @@ def chains(matches: Sequence[tuple[int, int]], weight: float = SEED_WORDS,
 
 def _resync(x: list[int], y: list[int], i: int, j: int, step: int) -> tuple[int, int] | None:
     """The fewest words to skip on either side until ``RESYNC`` equal ones follow."""
-    for total in range(1, 2 * MOST_EDIT + 1):
-        for skip in range(max(0, total - MOST_EDIT), min(total, MOST_EDIT) + 1):
-            a, b = i + step * (total - skip), j + step * skip
-            if all(0 <= a + step * n < len(x) and 0 <= b + step * n < len(y)
-                   and x[a + step * n] == y[b + step * n] for n in range(RESYNC)):
-                return a, b
-    return None
+    reach = MOST_EDIT + RESYNC
+    if step > 0:
+        xs, ys = x[i:i + reach], y[j:j + reach]
+    else:
+        xs, ys = x[max(0, i + 1 - reach):i + 1][::-1], y[max(0, j + 1 - reach):j + 1][::-1]
+    places: dict[tuple, int] = {}
+    for q in range(len(ys) - RESYNC + 1):
+        places.setdefault(tuple(ys[q:q + RESYNC]), q)
+    best: tuple[int, int, int] | None = None
+    for p in range(len(xs) - RESYNC + 1):
+        q = places.get(tuple(xs[p:p + RESYNC]))
+        if q is not None and (best is None or p + q < best[0]):
+            best = (p + q, p, q)
+    return None if best is None else (i + step * best[1], j + step * best[2])
 
 
 def _extend(x: list[int], y: list[int], i: int, j: int, step: int) -> tuple[int, int, int]:
@@ -384,7 +391,7 @@ def drop_repeated(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     rows = keyed(docs, id, text)
     spans = _passages(rows, least_words, least_similarity).groupBy(
         F.col("_a").alias("_sa"), F.col("_b").alias("_sb")).agg(F.collect_set(
-            F.struct("start_word", "end_word")).alias("_spans"))
+            F.struct("start_word", "end_word")).alias("_spans")).checkpoint()
     body = F.coalesce(F.col(text), F.lit(""))
     kind = dict(docs.dtypes)[id]
     marked = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),

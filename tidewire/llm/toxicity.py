@@ -18,9 +18,11 @@ PREFIX_BYTES = (3, 4, 5, 6, 7, 8)
 #: Bounds of the fit: labelled rows from which features are chosen and weights are learned,
 #: features kept, and the evidence (log-likelihood ratio) that a feature needs.
 MAX_EXAMPLES = 200_000
-MAX_BAGS = 50_000
-MAX_FEATURES = 2_000
+MAX_BAGS = 12_000
+MAX_FEATURES = 1_000
 LEAST_EVIDENCE = 20.0
+#: Times as often among bad documents as among good ones.
+LEAST_LIFT = 4.0
 
 #: Set whole words and beginnings apart from runs of the same bytes elsewhere.
 _WHOLE, _PREFIX = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -143,7 +145,7 @@ def choose_features(examples: DataFrame, most: int, least: float) -> np.ndarray:
     share = (n0 + n1) / (all0 + all1)
     ratio = 2 * (part(n0, all0 * share) + part(n1, all1 * share)
                  + part(all0 - n0, all0 * (1 - share)) + part(all1 - n1, all1 * (1 - share)))
-    ratio[n1 <= all1 * share] = 0
+    ratio[n1 * all0 <= LEAST_LIFT * n0 * all1] = 0
     best = np.argsort(-ratio, kind="stable")[:most]
     return rows.bucket.to_numpy()[best[ratio[best] >= least]].astype(np.int64)
 
@@ -216,12 +218,12 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
             hit = np.bincount(grams.text_of_sentence[np.unique(sentences)], minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_label"), pa.array(worded - hit, pa.int64()),
-                 pa.ListArray.from_arrays(offsets, pa.array(sentences, pa.int64())),
-                 pa.ListArray.from_arrays(offsets, pa.array(buckets, pa.int64()))],
+                 pa.ListArray.from_arrays(offsets, pa.array(sentences, pa.int32())),
+                 pa.ListArray.from_arrays(offsets, pa.array(buckets, pa.int32()))],
                 ["label", "others", "sentences", "buckets"])
 
     rows = _labelled(docs, labels, id, text, label, max_bags).mapInArrow(
-        bags, "label int, others long, sentences array<long>, buckets array<long>")
+        bags, "label int, others long, sentences array<int>, buckets array<int>")
     return learn(rows.toArrow(), chosen)
 
 
