@@ -12,8 +12,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -105,10 +106,10 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str,
            ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches with about ``BLOCK_BYTES`` of whole texts each; null counts as empty."""
     for batch in batches:
-        texts = [value or b"" for value in batch.column(column).to_pylist()]
-        begin = size = 0
-        for place, text in enumerate(texts):
-            size += len(text) + 1
-            if size >= BLOCK_BYTES or place == len(texts) - 1:
-                yield batch.slice(begin, place + 1 - begin), texts[begin:place + 1]
-                begin, size = place + 1, 0
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        block = (np.cumsum(sizes + 1) - 1) // BLOCK_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(block)) + 1), len(sizes)]
+        for begin, end in zip(edges[:-1], edges[1:]):
+            if end > begin:
+                part = batch.slice(begin, end - begin)
+                yield part, [value or b"" for value in part.column(column).to_pylist()]
