@@ -127,11 +127,41 @@ def test_archiving_whole_batches(spark):
     assert spark.table("live_messages").count() == 12
     stored(events(spark, [(0, 99)]), 900)
     snapshot = archive.live_batches(spark, "live_messages")
-    assert snapshot == [0, 1, 2]
+    assert snapshot == [("none", 0), ("none", 1), ("none", 2)]
     live(events(spark, [(9, 777)]), 3)  # arrives after the snapshot
-    assert archive.archive_batches(spark, "live_messages", "archived_messages", snapshot) == [
-        0, 1, 2]
+    assert archive.archive_batches(
+        spark, "live_messages", "archived_messages", snapshot) == snapshot
     assert ids(spark.table("live_messages")) == [777]
     assert spark.table("archived_messages").count() == 13
     assert archive.archive_batches(spark, "live_messages", "archived_messages", snapshot) == []
     assert spark.table("archived_messages").count() == 13
+
+
+def test_batches_of_two_queries_stay_apart(spark):
+    live = BatchTable("live_two")
+    key = "sql.streaming.queryId"
+    before = spark.sparkContext.getLocalProperty(key)
+    try:
+        for query, rows in (("q1", 30), ("q2", 10)):
+            spark.sparkContext.setLocalProperty(key, query)
+            live(events(spark, [(0, k) for k in range(rows)]), 0)
+    finally:
+        spark.sparkContext.setLocalProperty(key, before)
+    assert spark.table("live_two").count() == 40
+    BatchTable("archived_two")(events(spark, [(0, 99)]), 900)
+    assert archive.archive_batches(spark, "live_two", "archived_two") == [("q1", 0), ("q2", 0)]
+    assert spark.table("archived_two").count() == 41 and spark.table("live_two").isEmpty()
+
+
+def test_exact_cut_keeps_rows_without_id(spark):
+    rows = events(spark, [(5, 1), (5, None), (5, None), (4, 2)])
+    for n in (1, 2, 3):
+        left = recent.since_newest(rows, n, "ts", "event_id", refine_above=0)
+        assert recent.newest_first(left, n).count() == n
+
+
+def test_rows_without_id_are_not_copies(spark):
+    incoming = events(spark, [(1, None), (2, None), (3, 7), (3, 7)])
+    assert dedup.dedup_new(incoming, events(spark, [])).count() == 3
+    assert ids(dedup.retain_latest(incoming.unionByName(events(spark, [(1, 1), (0, 2)])), n=3)) == [
+        1, 2, 7]

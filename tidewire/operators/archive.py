@@ -41,28 +41,40 @@ def archive_move(live: DataFrame, archived: DataFrame, snapshot: DataFrame,
     )
 
 
-def live_batches(spark: SparkSession, table: str, batch: str = "batch_id") -> list:
-    """The batch partitions of a live table, from the catalog alone."""
-    names = [row["partition"] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return sorted(int(name.split("=", 1)[1]) for name in names if name.startswith(f"{batch}="))
+def live_batches(spark: SparkSession, table: str, batch: str = "batch_id",
+                 query: str = "query_id") -> list[tuple[str, int]]:
+    """(query, batch) of the partitions of a live table, from the catalog alone."""
+    found = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        values = dict(part.split("=", 1) for part in row["partition"].split("/"))
+        found.append((values[query], int(values[batch])))
+    return sorted(found)
 
 
 def archive_batches(spark: SparkSession, live: str, archive: str, snapshot: list | None = None,
-                    batch: str = "batch_id") -> list:
-    """Move whole batches between two tables partitioned by batch id; returns those moved.
+                    batch: str = "batch_id", query: str = "query_id") -> list[tuple[str, int]]:
+    """Move whole batches between two tables partitioned by query and batch; returns those moved.
 
     The copy overwrites its own partitions of the archive and the drop names its partitions, so
     neither needs a join or a rewrite of the rest, batches written meanwhile stay live, and a run
-    that stopped half-way can be repeated.
+    that stopped half-way can be repeated. Batches of one number from two queries are two.
     """
-    batches = live_batches(spark, live, batch) if snapshot is None else sorted(
-        set(snapshot) & set(live_batches(spark, live, batch)))
+    batches = live_batches(spark, live, batch, query)
+    if snapshot is not None:
+        batches = sorted({tuple(one) for one in snapshot} & set(batches))
     if not batches:
         return []
+    numbers: dict[str, list[int]] = {}
+    for name, number in batches:
+        numbers.setdefault(name, []).append(number)
+    chosen = F.lit(False)
+    for name, own in numbers.items():
+        chosen = chosen | ((F.col(query) == name) & F.col(batch).isin(own))
     columns = spark.table(archive).columns
-    moving = spark.table(live).filter(F.col(batch).isin(batches)).select(*columns)
+    moving = spark.table(live).filter(chosen).select(*columns)
     with only_own_partitions(spark):
         moving.write.insertInto(archive, overwrite=True)
-    dropped = ", ".join(f"PARTITION ({batch} = {value})" for value in batches)
+    dropped = ", ".join(f"PARTITION ({query} = '{name}', {batch} = {number})"
+                        for name, number in batches)
     spark.sql(f"ALTER TABLE {live} DROP IF EXISTS {dropped}")
     return batches

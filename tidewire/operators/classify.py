@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.text import WORDS
 
-# A classifier keeps weights per class, and the class sizes go to the driver.
-MAX_CLASSES = 1000
-
 Scorer = Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]
 
 
@@ -30,15 +27,10 @@ def train_classifier(examples: DataFrame, text: str = "text", target: str = "tar
     of their share.
     """
     known = examples.filter(F.col(target).isNotNull()).select(text, target)
-    sizes = known.groupBy(target).count().limit(MAX_CLASSES + 1).collect()
-    if len(sizes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    total = sum(row["count"] for row in sizes)
-    weight = F.lit(None).cast("double")
-    for row in sizes:
-        share = row["count"] * len(sizes) / total
-        weight = F.when(F.col(target) == row[target], F.lit(1 / share)).otherwise(weight)
-    weighted = known.withColumn("_weight", weight)
+    sizes = known.groupBy(target).agg(F.count(F.lit(1)).alias("_size"))
+    classes, total = sizes.agg(F.count(F.lit(1)), F.sum("_size")).first()
+    weighted = known.join(sizes, target).withColumn(
+        "_weight", F.lit(total) / (F.col("_size") * F.lit(classes))).drop("_size")
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORDS, gaps=False,
                        toLowercase=True),

@@ -14,14 +14,16 @@ def one_per_id(df: DataFrame, id: str, order: str | None = None) -> DataFrame:
     """One row per id: the first by ``order``, or any of identical copies.
 
     Copies collapse in the map tasks before the shuffle, so a much-repeated id costs no more than
-    others. Rows without an id count as copies of one another.
+    others. Rows without an id are no copies of one another: all are kept.
     """
+    without = df.filter(F.col(id).isNull())
+    df = df.filter(F.col(id).isNotNull())
     if order is None:
-        return df.dropDuplicates([id])
+        return df.dropDuplicates([id]).unionByName(without)
     rest = [F.col(name) for name in df.columns if name != id]
     first = df.groupBy(id).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
     return first.select(*[F.col(id) if name == id else F.col(f"_first.{name}").alias(name)
-                          for name in df.columns])
+                          for name in df.columns]).unionByName(without)
 
 
 def known_ids(target: DataFrame, id: str) -> DataFrame:
@@ -46,6 +48,8 @@ def retain_latest(incoming: DataFrame, target: DataFrame | None = None,
     times are searched. The n ids are then found on (id, time) alone, and whole rows fetched last.
     """
     everything = incoming if target is None else target.unionByName(incoming)
+    # messages are told apart by id: one without is none of the distinct ones and takes no place
+    everything = everything.filter(F.col(id).isNotNull())
     keys = everything.select(id, ts)
     guess = cutoff(keys, 2 * n, ts, "1 hour", F.approx_count_distinct(id))
     if guess is not None:

@@ -62,10 +62,13 @@ def _from_nth(df: DataFrame, n: int, ts: str, id: str) -> DataFrame:
     ranked = df.filter(F.col(ts).isNotNull()).select(ts, id).withColumn(
         "_rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
     newest = ranked.filter(F.col("_rank") <= n).orderBy(*order).limit(n)
+    # the smallest pair, an id that is null before all others, as in the order above
     last = newest.agg(F.min(F.struct(ts, id)).alias("_last")).select("_last.*")
     when, which = last.select(_as_value(ts, kind), id).first()
     at = _as_literal(when, kind)
-    return df.filter((F.col(ts) > at) | ((F.col(ts) == at) & (F.col(id) >= F.lit(which))))
+    # rows without an id come last in their instant: the n-th may be one of them
+    same = F.lit(True) if which is None else F.col(id) >= F.lit(which)
+    return df.filter((F.col(ts) > at) | ((F.col(ts) == at) & same))
 
 
 def since_newest(df: DataFrame, n: int, ts: str = "ts", id: str = "event_id",

@@ -23,14 +23,14 @@ class SituationRules:
     advice: tuple = fixed.ADVICE_RULES
     points: tuple = fixed.COUNTRY_POINTS
     default_country: str = fixed.DEFAULT_COUNTRY
-    working_set: int = fixed.NEWEST_MESSAGES
+    working_set: int | None = None  # all that is stored, or the newest so many
 
 
 @dataclass(frozen=True)
 class Situation:
     """Topics, advice, density, series, alerts and forecasts of stored scored messages.
 
-    Counts, advice and density are those of the newest messages; the series are counted over all
+    Counts, advice and density are those of the working set; the series are counted over all
     that is stored, per event-time bucket.
     """
 
@@ -46,8 +46,9 @@ class Situation:
 
     @cached_property
     def current(self) -> DataFrame:
-        """The newest messages with polarity and topic."""
-        newest = recent.latest_n(self.stored, self.rules.working_set, ts=self.ts, id=self.id)
+        """The working set with polarity and topic."""
+        newest = self.stored if self.rules.working_set is None else recent.latest_n(
+            self.stored, self.rules.working_set, ts=self.ts, id=self.id)
         filled = prepare.ensure_columns(newest, {"country": self.rules.default_country})
         return filled.withColumns({
             "sentiment": polarity.rating_polarity("sentiment_label"),

@@ -105,7 +105,7 @@ _NEWEST = "(SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT {})"
 _EVENT_TOPICS = f"""(
     SELECT count(*) FILTER (topic = 'Unemployment') AS unemployment,
         count(*) FILTER (topic = 'Anxiety') AS anxiety, count(*) FILTER (topic = 'Economy') AS economy
-    FROM (SELECT {given.EVENT_TOPIC_SQL} AS topic FROM {_NEWEST.format(10000)}))"""
+    FROM (SELECT {given.EVENT_TOPIC_SQL} AS topic FROM {_NEWEST.format('ALL')}))"""
 _EVENT_SENTIMENT = """CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
     WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END"""
 
@@ -153,7 +153,7 @@ ENTRIES = {
         FROM (SELECT CASE event_type WHEN 'view' THEN 26.82 WHEN 'click' THEN 29.37 ELSE 31.95 END
                 AS lat, CASE event_type WHEN 'view' THEN 30.8 WHEN 'click' THEN 47.97 ELSE 35.91 END
                 AS lon
-            FROM {_NEWEST.format(10000)} WHERE user_id % 6 IN (1, 2))
+            FROM {_NEWEST.format('ALL')} WHERE user_id % 6 IN (1, 2))
         GROUP BY 1, 2"""),
     "situation_forecast": Entry(situation_forecast, f"""
         WITH hourly AS (

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -47,13 +45,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name for one run, under the folder that every executor can reach.
 
-    On a cluster that is ``spark.checkpoint.dir``. Only a local session may go without it.
+    That is ``spark.checkpoint.dir``, or a folder beside the warehouse where it is not set.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = os.path.join(tempfile.gettempdir(), "tidewire-scratch")
+        # the warehouse is shared on a cluster
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -84,20 +84,26 @@ def only_own_partitions(spark: SparkSession) -> Iterator[None]:
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Batches as partitions of a catalog table; the form ``archive_batches`` moves."""
+    """Batches as partitions of a catalog table; the form ``archive_batches`` moves.
+
+    Batch numbers start again with a new checkpoint, so a partition is named after the query too.
+    """
 
     table: str
     batch: str = "batch_id"
+    query: str = "query_id"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = batch.withColumn(self.batch, F.lit(batch_id).cast("bigint"))
+        stamped = batch.withColumns({
+            self.query: F.lit(query_id(spark) or "none"),
+            self.batch: F.lit(batch_id).cast("bigint")})
         if spark.catalog.tableExists(self.table):
             with only_own_partitions(spark):
                 stamped.select(*spark.table(self.table).columns).write.insertInto(
                     self.table, overwrite=True)
         else:
-            stamped.write.partitionBy(self.batch).saveAsTable(self.table)
+            stamped.write.partitionBy(self.query, self.batch).saveAsTable(self.table)
 
 
 @dataclass(frozen=True)
