@@ -63,42 +63,53 @@ def _share_needed(similarity: float) -> float:
 
 
 def inverted_lists(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(value, node, n, place): the retained values by which similar sets can meet.
+    """(value, node, n, place, weight): the retained values by which similar sets can meet.
 
     Sketches that agree in a needed number o of their values must already agree among the
     k - o + 1 rarest, so common values are left to documents that hold little else. Values of one
-    document only lead nowhere and are dropped.
+    document only lead nowhere and are dropped. The weight of a node says how often others hold
+    its values: it is large for the text that copies were made of.
     """
     values = nodes.select("node", "n", F.size("sketch").alias("k"),
                           F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     ranked = values.join(shared, "value").withColumns({
         "place": F.row_number().over(Window.partitionBy("node").orderBy("df", "value")),
-        "n_shared": F.count(F.lit(1)).over(Window.partitionBy("node"))})
+        "n_shared": F.count(F.lit(1)).over(Window.partitionBy("node")),
+        "weight": F.sum("df").over(Window.partitionBy("node"))})
     needed = F.ceil(F.col("k") * _share_needed(similarity))
     prefix = F.col("k") - needed + 1 - (F.col("k") - F.col("n_shared"))
-    return ranked.filter(F.col("place") <= prefix).select("value", "node", "n", "place")
+    return ranked.filter(F.col("place") <= prefix).select("value", "node", "n", "place", "weight")
 
 
 def _alike_in_size(one: Column, other: Column, similarity: float) -> Column:
     return F.least(one, other) >= similarity * F.greatest(one, other)
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, similarity: float, size: int) -> DataFrame:
-    """Pairs whose similarity, estimated on the sketch of their union, is not far too low.
+def _sketched(nodes: DataFrame, size: int) -> DataFrame:
+    """node, sketch and the value up to which the sketch holds all values of the set."""
+    return nodes.select("node", "sketch", F.when(
+        F.size("sketch") < size, F.lit((1 << 63) - 1)).otherwise(
+        F.element_at("sketch", -1)).alias("reach"))
+
+
+def _estimated(similarity: float) -> Column:
+    """Whether the similarity, estimated on the sketch of the union, is not far too low.
 
     The union of two sketches holds all small values of the union of the sets, up to the largest
     value of the shorter-reaching one; the share of these that both have estimates the similarity.
     """
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(
-            F.col("node").alias(side), F.col("sketch").alias(f"s{side}"),
-            F.when(F.size("sketch") < size, F.lit((1 << 63) - 1)).otherwise(
-                F.element_at("sketch", -1)).alias(f"to_{side}")), side)
-    reach = F.least("to_a", "to_b")
-    union = F.size(F.filter(F.array_union("sa", "sb"), lambda x: x <= reach))
-    both = F.size(F.filter(F.array_intersect("sa", "sb"), lambda x: x <= reach))
-    return pairs.filter(both >= 0.65 * similarity * union).select("a", "b")
+    reach = F.least("reach", "reach_b")
+    union = F.size(F.filter(F.array_union("sketch", "sketch_b"), lambda x: x <= reach))
+    both = F.size(F.filter(F.array_intersect("sketch", "sketch_b"), lambda x: x <= reach))
+    return both >= 0.65 * similarity * union
+
+
+def _estimated_pairs(pairs: DataFrame, sketched: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) with a high enough estimate."""
+    others = sketched.select(*[F.col(name).alias(f"{name}_b") for name in sketched.columns])
+    return pairs.join(sketched, F.col("a") == F.col("node")).join(
+        others, F.col("b") == F.col("node_b")).filter(_estimated(similarity)).select("a", "b")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, id: str,
@@ -123,41 +134,44 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, id: str,
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union."""
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The size of the intersection of the full sets of each pair (a, b), as common."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = np.zeros(batch.num_rows, bool)
-            for row, (one, other) in enumerate(zip(batch.column("_a"), batch.column("_b"))):
-                x, y = (side.values.to_numpy(zero_copy_only=False) for side in (one, other))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                kept[row] = 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(kept))
+            common = [len(np.intersect1d(one.values.to_numpy(zero_copy_only=False),
+                                         other.values.to_numpy(zero_copy_only=False),
+                                         assume_unique=True))
+                      for one, other in zip(batch.column("_a"), batch.column("_b"))]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in ("a", "b", "n_a", "n_b")),
+                 pa.array(common, pa.int64())], ["a", "b", "n_a", "n_b", "common"])
 
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side),
-                                       F.col("shingles").alias(f"_{side}")), side)
-    return pairs.mapInArrow(check, "a binary, b binary")
+        pairs = pairs.join(sets.select(
+            F.col("node").alias(side), F.size("shingles").cast("long").alias(f"n_{side}"),
+            F.col("shingles").alias(f"_{side}")), side)
+    return pairs.mapInArrow(count, "a binary, b binary, n_a long, n_b long, common long")
 
 
-def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, *, percent: int,
-               shingle_words: int, id: str, text: str, size: int) -> DataFrame | None:
-    """The links among candidate pairs (a, b): first by estimate, then on the full sets."""
-    pairs = _estimated(pairs.distinct(), nodes, percent / 100, size).checkpoint()
-    if pairs.isEmpty():
-        return None
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _full_sets(docs, wanted.join(nodes.select("node", "_id"), "node"), shingle_words, id,
-                      text)
-    return _verified(pairs, sets, percent).checkpoint()
+def _linked(compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union."""
+    return compared.filter(_reaches("common", "n_a", "n_b", percent)).select("a", "b")
+
+
+def _reaches(common: Column | str, n_a: str, n_b: str, percent: int) -> Column:
+    """Whether sets of these sizes with so much in common are similar enough."""
+    common = F.col(common) if isinstance(common, str) else common
+    return (100 + percent) * common >= percent * (F.col(n_a) + F.col(n_b))
 
 
 def _star_pairs(postings: DataFrame, similarity: float) -> DataFrame:
-    """Every member of a list with a few of them, chosen by hash."""
+    """Every member of a list with a few of them: the one that shares most with others, and some
+    chosen by hash."""
     pivots = postings.groupBy("value").agg(
         F.count(F.lit(1)).alias("members"),
+        F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("p0"),
         *[F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(star))).alias(f"p{star}")
-          for star in range(STARS)]).filter("members > 1")
+          for star in range(1, STARS)]).filter("members > 1")
     met = postings.join(pivots, "value").select(
         "node", "n", F.explode(F.array_distinct(F.array(*[f"p{star}" for star in range(STARS)])))
         .alias("pivot"))
@@ -167,23 +181,69 @@ def _star_pairs(postings: DataFrame, similarity: float) -> DataFrame:
                       F.greatest("node", "pivot.node").alias("b"))
 
 
-def _open_pairs(postings: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of one list in different components, each at the first list they share."""
-    lists = postings.join(labels, "node", "left").withColumn(
+def _open_members(postings: DataFrame, labels: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Members of lists that hold more than one component, with the values of their lists before
+    and a pivot for the list: the node with the most links so far that is met in it or in another
+    list of its members, so that the lists of one group of copies have the same."""
+    lists = postings.drop("weight").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
+    if links is None:
+        lists = lists.withColumn("weight", F.lit(0))
+    else:
+        degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
+            F.count(F.lit(1)).alias("weight"))
+        lists = lists.join(degrees, "node", "left").fillna(0, ["weight"])
     open_values = lists.groupBy("value").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")).filter(
-        "least != most").select("value")
-    before = Window.partitionBy("node").orderBy("place").rowsBetween(
-        Window.unboundedPreceding, -1)
-    members = lists.join(open_values, "value", "left_semi").withColumn(
-        "earlier", F.collect_list("value").over(before))
-    others = members.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"),
-                            F.col("component").alias("of_b"), F.col("earlier").alias("earlier_b"))
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.max(F.struct("weight", "node")).alias("heaviest")).filter(
+        "least != most").select("value", "heaviest")
+    own = Window.partitionBy("node")
+    before = own.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    members = lists.join(open_values, "value").withColumns({
+        "earlier": F.collect_list("value").over(before),
+        "heaviest": F.max("heaviest").over(own)}).drop("place", "weight").checkpoint()
+    pivots = members.groupBy("value").agg(F.max("heaviest")["node"].alias("pivot"))
+    return members.drop("heaviest").join(pivots, "value")
+
+
+def _bounded(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members with what limits their intersection with other members.
+
+    ``most``: shingles that some other member of any open list holds. ``inside``: shingles that
+    the list's pivot holds, with which every member is compared; ``outside``: the rest of ``most``.
+    Members of which too little is held by others are similar to none and go.
+    """
+    own = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("holders")).filter(
+        "holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    members = members.join(own, "node", "left").withColumn(
+        "most", F.col("n") - F.coalesce("own", F.lit(0))).drop("own").filter(
+        100 * F.col("most") >= percent * F.col("n"))
+    ends = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    met = _compared(members.filter("node != pivot").select(*ends).distinct(), sets)
+    members = members.select("*", *ends).join(met.select("a", "b", "common"), ["a", "b"], "left")
+    inside = F.coalesce("common", F.col("n"))
+    return members.withColumn("inside", inside).withColumn(
+        "outside", F.greatest(F.col("most") - F.col("inside"), F.lit(0))).select(
+        "value", "node", "n", "component", "earlier", "most", "inside", "outside")
+
+
+def _open_pairs(members: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list in different components, each at the first list they share, unless what
+    is known of both shows that their intersection is too small: it is at most the smaller
+    ``most``, and at most what both can share inside the list's pivot and outside of it. Of the
+    rest, those with a high enough estimate."""
+    members = members.join(sketched, "node")
+    others = members.select("value", *[F.col(name).alias(f"{name}_b") for name in (
+        "node", "n", "component", "earlier", "most", "inside", "outside",
+        "sketch", "reach")])
+    largest = F.least("most", "most_b",
+                      F.least("inside", "inside_b") + F.least("outside", "outside_b"))
     return members.join(others, "value").filter(
-        (F.col("node") < F.col("b")) & (F.col("component") != F.col("of_b"))
-        & _alike_in_size(F.col("n"), F.col("n_b"), similarity)
-        & ~F.arrays_overlap("earlier", "earlier_b")).select(F.col("node").alias("a"), "b")
+        (F.col("node") < F.col("node_b")) & (F.col("component") != F.col("component_b"))
+        & _reaches(largest, "n", "n_b", percent)
+        & ~F.arrays_overlap("earlier", "earlier_b") & _estimated(percent / 100)).select(
+        F.col("node").alias("a"), F.col("node_b").alias("b"))
 
 
 def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_words: int, id: str,
@@ -192,18 +252,33 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_wo
 
     The members of a list are first compared with a few of them, which connects a large group of
     copies with a number of comparisons that grows with its members only. What then remains are
-    pairs of one list in different components; all of these are compared.
+    pairs of one list in different components. Of these all are compared but those of which the
+    sizes, the shingles that no other member holds, and the comparison with the list's pivot show
+    that they cannot be similar.
     """
-    given = dict(percent=percent, shingle_words=shingle_words, id=id, text=text, size=size)
     similarity = percent / 100
+
+    def sets_of(chosen: DataFrame) -> DataFrame:
+        named = chosen.join(nodes.select("node", "_id"), "node")
+        return _full_sets(docs, named, shingle_words, id, text)
+
+    sketched = _sketched(nodes, size)
     postings = inverted_lists(nodes, similarity).checkpoint()
-    links = _confirmed(docs, nodes, _star_pairs(postings, similarity), **given)
-    alone = nodes.select("node", F.col("node").alias("component"))
-    labels = alone if links is None else components(links)
-    more = _confirmed(docs, nodes, _open_pairs(postings, labels, similarity), **given)
-    if more is None:
-        return None if links is None else labels
-    return components(more if links is None else links.union(more))
+    links, labels = None, nodes.select("node", F.col("node").alias("component"))
+    pairs = _estimated_pairs(_star_pairs(postings, similarity).distinct(), sketched,
+                             similarity).checkpoint()
+    if not pairs.isEmpty():
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        links = _linked(_compared(pairs, sets_of(ends)), percent).checkpoint()
+        labels = components(links)
+    members = _open_members(postings, labels, links)
+    if not members.isEmpty():
+        sets = sets_of(members.select("node").distinct()).checkpoint()
+        pairs = _open_pairs(_bounded(members, sets, percent), sketched, percent).checkpoint()
+        more = _linked(_compared(pairs, sets), percent).checkpoint()
+        if not more.isEmpty():
+            return components(more if links is None else links.union(more))
+    return None if links is None else labels
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
