@@ -30,6 +30,12 @@ def test_better_than_the_majority(spark, model):
     assert 0.5 <= bounds[0] <= bounds[1] <= 1
 
 
+def test_every_class_needs_a_label(spark, model):
+    fitted, examples = model
+    with pytest.raises(ValueError, match="2 classes"):
+        classify.classify_text(examples, fitted, NAMES[:1])
+
+
 def test_scored_stream(spark, model, tmp_path):
     folder = str(tmp_path)
     rows = [("good news", "web", None, "2024-01-01 00:00:00"), (None, None, "Egypt", None)]

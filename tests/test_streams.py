@@ -158,6 +158,17 @@ def test_watched_batches(spark, folder, caplog):
     assert sum("Row(" in record.getMessage() for record in caplog.records) == 9
 
 
+def test_watched_writer_without_folders(spark, folder, caplog):
+    write_events(spark, f"{folder}/in", 0, 20, 1)
+    counts = []
+    watched = queries.Watched(lambda batch, batch_id: counts.append(batch.count()), sample=2)
+    with caplog.at_level(logging.INFO, logger="tidewire"):
+        queries.run_to_end(queries.for_each_batch(
+            stream(spark, f"{folder}/in"), watched, f"{folder}/c", trigger=ONCE))
+    assert counts == [20]
+    assert sum("Row(" in record.getMessage() for record in caplog.records) == 2
+
+
 def test_fan_out_computes_each_batch_once(spark, folder, capsys):
     write_events(spark, f"{folder}/in", 0, 60, 2)
     seen = spark.sparkContext.accumulator(0)

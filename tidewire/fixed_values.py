@@ -53,7 +53,6 @@ COUNTRY_POINTS = (
     ("Kuwait", 29.37, 47.97),
 )
 DEFAULT_COUNTRY = "Jordan"
-JITTER_DEGREES = 1.0
 
 # --- Message defaults.
 UNSPECIFIED = "غير محدد"
@@ -62,7 +61,6 @@ ENGINE_TAG = "Spark NLP"
 
 # --- Working sets, series and rules.
 NEWEST_MESSAGES = 10_000
-POLL_MESSAGES = 50
 RETAINED_MESSAGES = 500
 FEED_MESSAGES = 5
 SAMPLE_ROWS = 3

@@ -46,8 +46,12 @@ def classify_text(df: DataFrame, model: PipelineModel, labels: Sequence[str], *,
                   label: str = "sentiment_label", confidence: str = "confidence") -> DataFrame:
     """Add the model's label and its probability, on a table or a stream.
 
-    The model was fitted on a static frame; ``labels[k]`` names its class k.
+    The model was fitted on a static frame; ``labels[k]`` names its class k. A model with more
+    classes than ``labels`` raises a ValueError.
     """
+    classes = max((getattr(stage, "numClasses", 0) for stage in model.stages), default=0)
+    if classes > len(labels):
+        raise ValueError(f"the model has {classes} classes, of which {len(labels)} have labels")
     scored = model.transform(df)
     names = F.array(*[F.lit(name) for name in labels])
     return scored.select(

@@ -23,16 +23,6 @@ SOCIAL_MESSAGE = _struct(
     manual_sentiment=StringType(),
 )
 
-# The second generator labels its messages under other names.
-LABELLED_MESSAGE = _struct(
-    text=StringType(),
-    source=StringType(),
-    country=StringType(),
-    timestamp=StringType(),
-    sentiment=StringType(),
-    manual_label=StringType(),
-)
-
 SURVEY_MESSAGE = _struct(
     country=StringType(),
     year=IntegerType(),

@@ -77,10 +77,11 @@ class Watched:
     """A writer that also logs the row count and a few rows of each batch.
 
     The count is observed while the batch is written and the sample is read from what was written,
-    so the batch is computed once. ``metrics`` keeps one row per batch.
+    so the batch is computed once. A writer without batch folders has its sample taken from the
+    batch, of which a few rows are computed again. ``metrics`` keeps one row per batch.
     """
 
-    def __init__(self, write: BatchFolders, metrics: BatchFolders | None = None,
+    def __init__(self, write: BatchWriter, metrics: BatchFolders | None = None,
                  sample: int = fixed.SAMPLE_ROWS):
         self.write, self.metrics, self.sample = write, metrics, sample
 
@@ -91,8 +92,10 @@ class Watched:
         rows = seen.get["row_count"]
         log.info("batch %s: %s rows", batch_id, rows)
         if self.sample and log.isEnabledFor(logging.INFO):
-            written = spark.read.format(self.write.format).load(
-                self.write.folder(spark, batch_id))
+            written = batch
+            if hasattr(self.write, "folder"):
+                written = spark.read.format(self.write.format).load(
+                    self.write.folder(spark, batch_id))
             for row in written.limit(self.sample).collect():
                 log.info("batch %s: %s", batch_id, row)
         if self.metrics:
