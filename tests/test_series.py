@@ -163,3 +163,14 @@ def test_busy_series_is_counted_before_it_is_shuffled(spark):
     assert plan.index("Exchange") < plan.index("partial_count")
     hot = series.spike_alerts(series.bucket_counts(df)).filter("series = 'hot'").first()
     assert hot.n == 33334
+
+
+def test_gap_filling_over_several_stretches(spark):
+    df = spark.sql("""SELECT 'a' AS topic, timestamp'2024-01-01 00:00:30' AS ts
+        UNION ALL SELECT 'a', timestamp'2024-01-01 00:00:30' + interval 25000 minutes
+        UNION ALL SELECT NULL, timestamp'2024-01-01 00:00:30'""")
+    filled = series.bucket_counts(df, width="1 minute", fill_gaps=True)
+    found = filled.groupBy("series").agg(
+        F.count(F.lit(1)).alias("buckets"), F.countDistinct("bucket_start").alias("different"),
+        F.sum("n").alias("n")).collect()
+    assert {tuple(row) for row in found} == {("a", 25001, 25001, 2), (None, 1, 1, 1)}

@@ -27,6 +27,10 @@ ADVICE_RULE = StructType([
 ])
 
 
+# Buckets of a filled history that one row of the grid stands for before they are rows themselves.
+GRID_STRETCH = 10_000
+
+
 def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: str = "1 hour",
                   fill_gaps: bool = False) -> DataFrame:
     """(series, bucket_start, n) per tumbling window.
@@ -41,8 +45,12 @@ def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: s
         return counts
     spans = counts.groupBy("series").agg(F.min("bucket_start").alias("_from"),
                                          F.max("bucket_start").alias("_to"))
-    grid = spans.select("series", F.explode(F.expr(
-        f"sequence(_from, _to, interval {width})")).alias("bucket_start"))
+    # in two steps, so that no row holds more than a stretch of a long grid
+    stretches = spans.select("series", "_to", F.explode(F.expr(
+        f"sequence(_from, _to, interval {width} * {GRID_STRETCH})")).alias("_at"))
+    grid = stretches.select("series", F.explode(F.expr(
+        f"sequence(_at, least(_to, _at + interval {width} * {GRID_STRETCH - 1}), "
+        f"interval {width})")).alias("bucket_start"))
     return grid.join(counts.withColumnRenamed("series", "_series"),
                      F.col("series").eqNullSafe(F.col("_series"))
                      & (grid["bucket_start"] == counts["bucket_start"]), "left").select(
