@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,10 @@ SKETCH = 48
 MAX_WANTED = 1_000_000
 #: Members of a list with which all others are compared first.
 STARS = 4
+#: Members from which an open list is compared in cells; those of a shorter one are joined.
+LONG_LIST = 64
+#: Retained values that a cell compares, and members on a side of it.
+FINE_SKETCH, CELL = 512, 256
 
 
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -101,9 +107,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, similarity: float, size: int)
     return pairs.filter(both >= 0.65 * similarity * union).select("a", "b")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, id: str,
-               text: str) -> DataFrame:
-    """(node, shingles) of the wanted nodes (node, _id), from the whole texts."""
+def _sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, id: str, text: str,
+          most: int | None = None) -> DataFrame:
+    """(node, n, shingles) of the wanted nodes (node, _id), from the whole texts: all shingles, or
+    the ``most`` smallest."""
     ids = wanted.select(F.col("_id").alias("_wanted")).distinct()
     if ids.count() <= MAX_WANTED:
         ids = F.broadcast(ids)
@@ -111,15 +118,17 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int, id: str,
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "_text"):
             sets = list(shingle_sets(texts, shingle_words))
-            offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            held = [s[:most] for s in sets]
+            offsets = np.cumsum([0, *map(len, held)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([signature(s) for s in sets], pa.binary()),
-                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets), pa.int64()))],
-                ["node", "shingles"])
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(held), pa.int64()))],
+                ["node", "n", "shingles"])
 
     texts = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text")).join(
         ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
-    found = texts.mapInArrow(rows, "node binary, shingles array<long>")
+    found = texts.mapInArrow(rows, "node binary, n long, shingles array<long>")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -147,8 +156,7 @@ def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, *, percent:
     if pairs.isEmpty():
         return None
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _full_sets(docs, wanted.join(nodes.select("node", "_id"), "node"), shingle_words, id,
-                      text)
+    sets = _sets(docs, wanted.join(nodes.select("node", "_id"), "node"), shingle_words, id, text)
     return _verified(pairs, sets, percent).checkpoint()
 
 
@@ -167,17 +175,25 @@ def _star_pairs(postings: DataFrame, similarity: float) -> DataFrame:
                       F.greatest("node", "pivot.node").alias("b"))
 
 
-def _open_pairs(postings: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of one list in different components, each at the first list they share."""
+def _open_lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings of lists with several components, with the component of each, the members of
+    the list, those outside its largest component, and whether that holds this one."""
     lists = postings.join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    open_values = lists.groupBy("value").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")).filter(
-        "least != most").select("value")
+    parts = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
+    open_ = parts.groupBy("value").agg(
+        F.sum("size").alias("members"), F.max("size").alias("largest"),
+        F.max_by("component", F.struct("size", "component")).alias("major"),
+        F.count(F.lit(1)).alias("parts")).filter("parts > 1").select(
+        "value", "members", (F.col("members") - F.col("largest")).alias("minors"), "major")
+    return lists.join(open_, "value").withColumn("minor", F.col("component") != F.col("major"))
+
+
+def _open_pairs(lists: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of one list in different components, each at the first list they share."""
     before = Window.partitionBy("node").orderBy("place").rowsBetween(
         Window.unboundedPreceding, -1)
-    members = lists.join(open_values, "value", "left_semi").withColumn(
-        "earlier", F.collect_list("value").over(before))
+    members = lists.withColumn("earlier", F.collect_list("value").over(before))
     others = members.select("value", F.col("node").alias("b"), F.col("n").alias("n_b"),
                             F.col("component").alias("of_b"), F.col("earlier").alias("earlier_b"))
     return members.join(others, "value").filter(
@@ -186,13 +202,111 @@ def _open_pairs(postings: DataFrame, labels: DataFrame, similarity: float) -> Da
         & ~F.arrays_overlap("earlier", "earlier_b")).select(F.col("node").alias("a"), "b")
 
 
+def _common(ones: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``ones`` has in common with each of ``others``."""
+    both = np.intersect1d(np.unique(np.concatenate(ones)), np.unique(np.concatenate(others)))
+    found = np.zeros((len(ones), len(others)), np.float32)
+
+    def held(sketches: list[np.ndarray], values: np.ndarray) -> np.ndarray:
+        marks = np.zeros((len(sketches), len(values)), np.float32)
+        for row, sketch in enumerate(sketches):
+            places = np.minimum(np.searchsorted(values, sketch), len(values) - 1)
+            marks[row, places[values[places] == sketch]] = 1
+        return marks
+
+    for begin in range(0, len(both), 4096):
+        values = both[begin:begin + 4096]
+        found += held(ones, values) @ held(others, values).T
+    return found
+
+
+def compared(ones: dict[str, list], others: dict[str, list], percent: int,
+             size: int = FINE_SKETCH) -> list[tuple[int, int, bool]]:
+    """(place in ones, place in others, whether it is certain) of links between components.
+
+    Both sides hold n, component and shingles (the ``size`` smallest) of their members. Where both
+    sets are whole the link is certain, and one is given for a member and a component; else pairs
+    are given whose similarity on the sketch of the union is at most five standard deviations
+    below ``percent``.
+    """
+    similarity = percent / 100
+    n, m = (np.array(side["n"])[:, None] for side in (ones, others))
+    m = m.T
+    x, y = ones["shingles"], others["shingles"]
+    common = _common(x, y)
+    last = np.iinfo(np.int64).max
+    to_x, to_y = (np.array([last if len(s) == k else s[-1] for s, k in zip(side["shingles"],
+                                                                           side["n"])])
+                  for side in (ones, others))
+    # each side's values up to the nearer of both reaches
+    of_x = np.minimum(np.array([np.searchsorted(s, to_y, "right") for s in x]),
+                      np.array([len(s) for s in x])[:, None])
+    of_y = np.minimum(np.array([np.searchsorted(s, to_x, "right") for s in y]).T,
+                      np.array([len(s) for s in y])[None])
+    union = of_x + of_y - common
+    whole = (to_x == last)[:, None] & (to_y == last)[None]
+    slack = 5 * math.sqrt(similarity * (1 - similarity) / size)
+    alike = np.where(whole, 100 * common >= percent * union, common >= (similarity - slack) * union)
+    parts = {part: place for place, part in enumerate({*ones["component"], *others["component"]})}
+    own, their = (np.array([parts[part] for part in side["component"]])
+                  for side in (ones, others))
+    alike &= (own[:, None] != their[None]) & (np.minimum(n, m) >= similarity * np.maximum(n, m))
+    found, known = [], set()
+    for i, j in np.argwhere(alike).tolist():
+        if not whole[i, j]:
+            found.append((i, j, False))
+        elif (i, their[j]) not in known:
+            known.add((i, their[j]))
+            found.append((i, j, True))
+    return found
+
+
+def _cell_pairs(lists: DataFrame, docs: DataFrame, nodes: DataFrame, *, percent: int,
+                shingle_words: int, id: str, text: str) -> DataFrame:
+    """(a, b, certain) from long lists: members outside a list's largest component meet all others.
+
+    Both sides are dealt into blocks of about ``CELL`` members by hash, and each pair of blocks is
+    one small task of its own, which gives back links only.
+    """
+    fine = _sets(docs, lists.select("node").distinct().join(nodes.select("node", "_id"), "node"),
+                 shingle_words, id, text, FINE_SKETCH).select("node", "shingles")
+    hashed = F.xxhash64("node")
+    wide = F.ceil(F.col("members") / CELL).cast("long")
+    high = F.ceil(F.col("minors") / CELL).cast("long")
+    row, column = F.pmod(hashed, high), F.pmod(hashed, wide)
+    side = lists.select(
+        "value", "node", "n", "component", F.explode(F.concat(
+            F.when(F.col("minor"), F.transform(F.sequence(F.lit(0), wide - 1), lambda j: F.struct(
+                row.alias("i"), j.alias("j"), F.lit(True).alias("one")))).otherwise(F.array()),
+            F.transform(F.sequence(F.lit(0), high - 1), lambda i: F.struct(
+                i.alias("i"), column.alias("j"), F.lit(False).alias("one"))))).alias("cell"))
+    cells = side.select("value", "cell.*", "node", "n", "component").join(fine, "node")
+
+    def links(table: pa.Table) -> pa.Table:
+        held = [{name: part.column(name).to_pylist() for name in ("node", "n", "component")}
+                | {"shingles": [s.values.to_numpy(zero_copy_only=False) for chunk in
+                                part.column("shingles").chunks for s in chunk]}
+                for part in (table.filter(table.column("one")),
+                             table.filter(pc.invert(table.column("one"))))]
+        ones, others = held
+        found = compared(ones, others, percent) if ones["n"] and others["n"] else []
+        ends = [sorted((ones["node"][i], others["node"][j])) for i, j, _ in found]
+        return pa.table({"a": pa.array([a for a, _ in ends], pa.binary()),
+                         "b": pa.array([b for _, b in ends], pa.binary()),
+                         "certain": pa.array([sure for *_, sure in found], pa.bool_())})
+
+    return cells.groupBy("value", "i", "j").applyInArrow(
+        links, "a binary, b binary, certain boolean")
+
+
 def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_words: int, id: str,
                   text: str, size: int = SKETCH) -> DataFrame | None:
     """(node, component) of all nodes linked with another, or None if there are none.
 
     The members of a list are first compared with a few of them, which connects a large group of
     copies with a number of comparisons that grows with its members only. What then remains are
-    pairs of one list in different components; all of these are compared.
+    pairs of one list in different components; all of these are compared, those of long lists in
+    cells that give back links only.
     """
     given = dict(percent=percent, shingle_words=shingle_words, id=id, text=text, size=size)
     similarity = percent / 100
@@ -200,10 +314,19 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_wo
     links = _confirmed(docs, nodes, _star_pairs(postings, similarity), **given)
     alone = nodes.select("node", F.col("node").alias("component"))
     labels = alone if links is None else components(links)
-    more = _confirmed(docs, nodes, _open_pairs(postings, labels, similarity), **given)
-    if more is None:
-        return None if links is None else labels
-    return components(more if links is None else links.union(more))
+    lists = _open_lists(postings, labels).checkpoint()
+    crowded = lists.filter(F.col("members") > LONG_LIST)
+    pairs = _open_pairs(lists.filter(F.col("members") <= LONG_LIST), similarity)
+    found = [] if links is None else [links]
+    if not crowded.isEmpty():
+        cells = _cell_pairs(crowded, docs, nodes, percent=percent, shingle_words=shingle_words,
+                            id=id, text=text).distinct().checkpoint()
+        found.append(cells.filter("certain").select("a", "b"))
+        pairs = pairs.union(cells.filter("NOT certain").select("a", "b"))
+    more = _confirmed(docs, nodes, pairs, **given)
+    if more is not None:
+        found.append(more)
+    return components(reduce(DataFrame.union, found)) if found else None
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
