@@ -119,6 +119,40 @@ def test_near_duplicates_equal_brute_force(spark):
         assert found == brute_components(texts, size, 80)
 
 
+def test_long_lists_in_cells_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 3)
+    monkeypatch.setattr(near_dedup, "CELL", 5)
+    rng = np.random.default_rng(5)
+    base, texts = [f"b{n}" for n in range(80)], {}
+    for n in range(60):
+        w = list(base)
+        for _ in range(int(rng.integers(0, 13))):
+            w[int(rng.integers(80))] = f"e{rng.integers(999)}"
+        texts[n] = " ".join(w)
+    docs = spark.createDataFrame([row(n, t) for n, t in texts.items()], SCHEMA)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+             for r in near_dedup.near_duplicates(docs, shingle_words=2).collect()}
+    assert found == brute_components(texts, 2, 80)
+    assert 1 < len({component for _, component in found.values()}) < 60
+
+
+def test_cells_give_certain_links_once_and_estimated_pairs_all():
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 1 << 62, 400))
+    near, far = np.sort(base[rng.permutation(400)[:350]]), np.sort(base[rng.permutation(400)[:200]])
+
+    def side(sets, parts, size):
+        return {"n": [len(s) for s in sets], "component": parts, "shingles": [s[:size] for s in sets]}
+
+    ones, others = [base], [near, far, near]
+    assert near_dedup.compared(side(ones, [b"a"], 500), side(others, [b"b"] * 3, 500), 80,
+                               500) == [(0, 0, True)]
+    assert near_dedup.compared(side(ones, [b"a"], 100), side(others, [b"b", b"b", b"a"], 100), 80,
+                               100) == [(0, 0, False)]
+    two = near_dedup.compared(side(ones, [b"a"], 100), side([near, near], [b"b", b"b"], 100), 80, 100)
+    assert two == [(0, 0, False), (0, 1, False)]
+
+
 def test_near_duplicates_edges(odd, empty):
     found = near_dedup.near_duplicates(odd, shingle_words=2).collect()
     assert len(found) == odd.count()
