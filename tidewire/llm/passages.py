@@ -202,9 +202,9 @@ def _chained(matches: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row_of, out = [], []
-            for row, found in enumerate(batch.column("matches").to_pylist()):
+            for row, found in enumerate(batch.column("matches")):
                 by_source: dict[tuple, list] = {}
-                for m in found:
+                for m in found.as_py():
                     by_source.setdefault((m["src_no"], m["src_a"], m["src_b"]), []).append(
                         (m["at"], m["src_at"]))
                 for (src_no, src_a, src_b), pairs in by_source.items():
