@@ -215,6 +215,35 @@ def test_passages_equal_brute_force_on_exact_repeats(spark):
         assert " ".join(here) == shared[r["doc_id"] % 5] and r["source_id"] == r["doc_id"] % 5
 
 
+def test_passages_of_one_pair_are_found_at_any_gap(spark):
+    texts, wanted = {}, {}
+    for k, (size, gap) in enumerate((size, gap) for size in (60, 120) for gap in (
+            0, 1, 5, 10, 20, 30, 50, 100, 150, 250, 400)):
+        own, other = ([f"{side}{k}_{n}" for n in range(gap + 40)] for side in "xy")
+        one, two = ([f"{side}{k}_{n}" for n in range(size)] for side in "pq")
+        texts[k] = own[:20] + one + own[20:20 + gap] + two + own[20 + gap:]
+        texts[100 + k] = other[:20] + one + other[20:20 + gap] + two + other[20 + gap:]
+        ends = (20, 20 + size), (20 + size + gap, 20 + 2 * size + gap)
+        wanted[100 + k] = [(20, 20 + 2 * size + gap)] if gap <= 5 else list(ends)
+    found = {}
+    for r in passages.repeated_passages(spark.createDataFrame(
+            [row(n, " ".join(t)) for n, t in texts.items()], SCHEMA)).collect():
+        assert r["source_id"] == r["doc_id"] - 100
+        found.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"]))
+    assert {id: sorted(spans) for id, spans in found.items()} == wanted
+
+
+def test_stretches_keep_what_only_a_whole_chain_makes_long_enough():
+    parts = list(range(30)), list(range(100, 130))
+    x, y = (parts[0] + [own + n for n in range(10)] + parts[1] for own in (1000, 2000))
+    chain = [(n, n) for n in (0, 10, 20, 42, 52, 60)]
+    assert passages.stretches(x, y, chain) == [(0, 70, 0, 70, 60)]
+    assert passages.stretches(x, y, chain, least_similarity=0.9) == []
+    x, y = (list(range(60)) + [own + n for n in range(90)] + parts[1] for own in (1000, 2000))
+    chain = [(n, n) for n in (5, 30, 50, 152)]
+    assert passages.stretches(x, y, chain) == [(0, 60, 0, 60, 60)]
+
+
 def test_passages_edges_and_cut(odd, empty):
     found = {(r["doc_id"], r["source_id"]) for r in passages.repeated_passages(odd).collect()}
     assert found == {(7, 6), (11, 10)}

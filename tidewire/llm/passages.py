@@ -154,42 +154,95 @@ def _extend(x: list[int], y: list[int], i: int, j: int, step: int) -> tuple[int,
 
 
 def _between(x: list[int], y: list[int]) -> int:
-    """Equal words in order of two short runs: a longest common subsequence."""
-    row = [0] * (len(y) + 1)
-    for word in x:
-        diagonal = 0
-        for place, other in enumerate(y, 1):
-            diagonal, row[place] = row[place], (
-                diagonal + 1 if word == other else max(row[place], row[place - 1]))
-    return row[-1]
-
-
-def align(x: list[int], y: list[int], chain: Sequence[tuple[int, int]],
-          seed: int = SEED_WORDS) -> tuple[int, int, int, int, int] | None:
-    """Begin and end in both texts, and equal words, of the passage around a chain.
-
-    The words between seeds are compared by longest common subsequence, those beside the chain as
-    far as they keep agreeing.
-    """
-    (i, j), equal = chain[0], 0
-    if x[i:i + seed] != y[j:j + seed]:
-        return None
-    left_x, left_y, more = _extend(x, y, i - 1, j - 1, -1)
-    equal += more + seed
-    i, j = i + seed, j + seed
-    for a, b in chain[1:]:
-        overlap = max(i - a, j - b, 0)
-        if overlap >= seed:
-            continue
-        a, b, n = a + overlap, b + overlap, seed - overlap
-        if x[a:a + n] != y[b:b + n]:
+    """Equal words in order of two runs: a longest common subsequence, a row of bits at a time."""
+    places: dict[int, int] = {}
+    for place, word in enumerate(x):
+        places[word] = places.get(word, 0) | 1 << place
+    every = (1 << len(x)) - 1
+    open_ = every
+    for word in y:
+        met = open_ & places.get(word, 0)
+        open_ = ((open_ + met) | (open_ - met)) & every
+    return len(x) - open_.bit_count()
+
+
+def _blocks(x: list[int], y: list[int], chain: Sequence[tuple[int, int]],
+            seed: int) -> list[list[int]]:
+    """Begin and end in both texts of runs that are equal word for word, along a chain."""
+    found: list[list[int]] = []
+    for a, b in chain:
+        n = seed
+        if found:
+            i, j = found[-1][2:]
+            overlap = max(i - a, j - b, 0)
+            a, b, n = a + overlap, b + overlap, seed - overlap
+        if n <= 0 or x[a:a + n] != y[b:b + n]:
             continue
+        if found and x[i:a] == y[j:b]:
+            found[-1][2:] = a + n, b + n
+        else:
+            found.append([a, b, a + n, b + n])
+    return found
+
+
+def stretches(x: list[int], y: list[int], chain: Sequence[tuple[int, int]],
+              least_words: int = LEAST_WORDS, least_similarity: float = LEAST_SIMILARITY,
+              seed: int = SEED_WORDS) -> list[tuple[int, int, int, int, int]]:
+    """Begin and end in both texts, and equal words, of the passages along a chain.
+
+    The words between seeds are compared by longest common subsequence, those beside a passage as
+    far as they keep agreeing. The chain is cut into stretches that are long and alike enough so
+    that equal words less others, and less ``MOST_EDIT`` for every stretch, are most: it is cut
+    where more words differ than that, unless a side would be too short or too different alone.
+    """
+    blocks = _blocks(x, y, chain, seed)
+    if not blocks:
+        return []
+    a, b = blocks[0][:2]
+    begins = [_extend(x, y, a - 1, b - 1, -1)]
+    ends, between, agreed = [], [], True
+    for (*_, i, j), (a, b, *_) in zip(blocks, blocks[1:]):
         gap_x, gap_y = x[i:a], y[j:b]
-        equal += len(gap_x) if gap_x == gap_y else _between(gap_x, gap_y)
-        equal += n
-        i, j = a + n, b + n
-    end_x, end_y, more = _extend(x, y, i, j, 1)
-    return left_x + 1, end_x, left_y + 1, end_y, equal + more
+        p, q, after = _extend(gap_x, gap_y, 0, 0, 1)
+        ends.append((i + p, j + q, after))
+        p2, q2, before = _extend(gap_x, gap_y, a - i - 1, b - j - 1, -1)
+        begins.append((i + p2, j + q2, before))
+        between.append(_between(gap_x, gap_y))
+        inner_x, inner_y = gap_x[p:max(p, p2 + 1)], gap_y[q:max(q, q2 + 1)]
+        agreed &= (max(len(inner_x), len(inner_y)) - 2 * _between(inner_x, inner_y)) <= MOST_EDIT
+    ends.append(_extend(x, y, *blocks[-1][2:], 1))
+    size = np.array([c - a for a, _, c, _ in blocks])
+    upto = np.cumsum(size) + np.cumsum([0, *between])
+    from_x, from_y, before = (np.array(column) for column in zip(*begins))
+
+    def value(first: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Equal words of the stretches between blocks, and their worth, -1 if they are none."""
+        to_x, to_y, after = ends[last]
+        wide, high = to_x - from_x[first] - 1, to_y - from_y[first] - 1
+        long = np.maximum(wide, high)
+        equal = upto[last] - upto[first] + size[first] + before[first] + after
+        enough = (np.minimum(wide, high) >= least_words) & (equal / long >= least_similarity)
+        return equal, np.where(enough, 2 * equal - long - MOST_EDIT, -1)
+
+    chosen = []
+    if agreed and value(np.array([0]), len(ends) - 1)[1][0] >= 0:
+        chosen.append((0, len(ends) - 1))
+    else:
+        best, cut = np.zeros(len(ends) + 1, np.int64), []
+        for last in range(len(ends)):
+            gain = value(np.arange(last + 1), last)[1]
+            total = np.where(gain < 0, -1, best[:last + 1] + gain)
+            first = int(total.argmax())  # the longest of several that are as good
+            cut.append(first if total[first] > best[last] else -1)
+            best[last + 1] = max(best[last], total[first])
+        last = len(ends) - 1
+        while last >= 0:
+            if cut[last] >= 0:
+                chosen.append((cut[last], last))
+                last = cut[last]
+            last -= 1
+    return [(int(from_x[first]) + 1, ends[last][0], int(from_y[first]) + 1, ends[last][1],
+             int(value(np.array([first]), last)[0][0])) for first, last in chosen[::-1]]
 
 
 def _chained(matches: DataFrame) -> DataFrame:
@@ -264,8 +317,8 @@ def _regions(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def _best_first(chains: list[dict], regions: dict[tuple[int, int], list[int]],
                 least_words: int, least_similarity: float) -> Iterator[tuple]:
-    """Passages of one text: its chains, most seeds first, are aligned unless they lie within a
-    passage that is already found."""
+    """Passages of one text: its chains, most seeds first, are aligned and cut into stretches that
+    are passages, unless they lie within a passage that is already found."""
     spans: list[tuple[int, int]] = []
     order = sorted(chains, key=lambda c: (-len(c["here"]), c["src_no"], c["src_a"], c["src_b"],
                                           c["begin"], c["here"], c["there"]))
@@ -274,21 +327,18 @@ def _best_first(chains: list[dict], regions: dict[tuple[int, int], list[int]],
         first, last = begin + chain["here"][0], begin + chain["here"][-1] + SEED_WORDS
         if any(a <= first and last <= b for a, b in spans):
             continue
-        found = align(regions[begin, chain["end"]], memoryview(chain["y"]).cast("I").tolist(),
-                      list(zip(chain["here"], chain["there"])))
-        if found is None:
-            continue
-        a, b, c, d, equal = found
-        similarity = equal / max(b - a, d - c)
-        if min(b - a, d - c) >= least_words and similarity >= least_similarity:
-            spans.append((begin + a, begin + b))
-            yield (chain["src_no"], chain["src_a"], chain["src_b"], begin + a, begin + b,
-                   src_begin + c, src_begin + d, similarity)
+        for a, b, c, d, equal in stretches(
+                regions[begin, chain["end"]], memoryview(chain["y"]).cast("I").tolist(),
+                list(zip(chain["here"], chain["there"])), least_words, least_similarity):
+            if not any(low <= begin + a and begin + b <= high for low, high in spans):
+                spans.append((begin + a, begin + b))
+                yield (chain["src_no"], chain["src_a"], chain["src_b"], begin + a, begin + b,
+                       src_begin + c, src_begin + d, equal / max(b - a, d - c))
 
 
 def _aligned(found: DataFrame, regions: DataFrame, least_words: int,
              least_similarity: float) -> DataFrame:
-    """Chains whose alignment is long and alike enough, as spans of words."""
+    """Stretches of chains whose alignment is long and alike enough, as spans of words."""
     there = regions.select(F.col("_a").alias("src_a"), F.col("_b").alias("src_b"),
                            F.col("begin").alias("src_begin"), F.col("end").alias("src_end"),
                            F.col("words").alias("y"))
@@ -349,7 +399,8 @@ def repeated_passages(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
 
     Seeds are runs of words that any two equal stretches of 23 words share. A seed is matched with
     the first document that holds it, so a passage in many documents makes one match each, not one
-    for every pair. Matches of two documents are chained and the chains aligned; passages of at
+    for every pair. Matches of two documents are chained and the chains aligned, and cut
+    where more than ``MOST_EDIT`` words differ if that leaves passages on both sides; passages of at
     least ``least_words`` words on both sides with at least ``least_similarity`` of them equal in
     order remain. A chain within a passage that is already found is not aligned again, so a passage
     has one source. Words are runs of anything but ASCII white space with A-Z as a-z.
