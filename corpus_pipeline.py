@@ -23,9 +23,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
-    ids = near_dedup.near_duplicates(docs, shingle_words=5).filter("NOT kept").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return near_dedup.drop_near_duplicates(docs, shingle_words=5)
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,6 +164,30 @@ def test_near_duplicates_edges(odd, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_dedup_stage_keeps_one_row_of_each_group_whatever_the_ids(spark, odd, empty):
+    import corpus_pipeline
+
+    def text(k, more=""):
+        return " ".join(f"t{k}_{n}" for n in range(60)) + more
+
+    rows = [row(1, text(1)), row(None, text(1, " x")), row(None, text(2)), row(None, text(3)),
+            row(None, text(3, " y")), row(5, text(1, " z")), row(5, text(4)), row(6, text(5)),
+            row(6, text(5), "other"), row(None, text(6)), row(None, text(6)), row(None, None),
+            row(None, ""), row(8, text(7)), row(7, text(7, " w")), row(None, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert left.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in left.collect()]
+    third = [t for id, t in kept if (t or "").startswith("t3_")]
+    assert len(third) == 1 and third[0] in (text(3), text(3, " y"))
+    assert sorted(map(str, kept)) == sorted(map(str, [
+        (1, text(1)), (None, text(2)), (None, third[0]), (5, text(4)), (6, text(5)),
+        (None, text(6)), (None, None), (None, ""), (None, ""), (7, text(7, " w"))]))
+    assert (None, "other words") in {(r["doc_id"], r["text"]) for r in
+                                     corpus_pipeline.near_dedup_stage(spark, odd, "").collect()}
+    assert corpus_pipeline.near_dedup_stage(spark, empty, "").count() == 0
+
+
 def test_components_follow_long_chains(spark):
     links = spark.createDataFrame([(n, n + 1) for n in range(60)] + [(100, 101)], "a int, b int")
     found = {r["node"]: r["component"] for r in graph.components(links).collect()}

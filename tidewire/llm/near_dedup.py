@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.graph import components
+from tidewire.llm.keys import KEY, keyed
 from tidewire.llm.words import blocks, mix, shingle_hashes, words_of
 from tidewire.session import ensure_checkpoint_dir
 
@@ -44,20 +45,22 @@ def signature(shingles: np.ndarray) -> bytes:
 
 def sketches(docs: DataFrame, shingle_words: int, *, id: str, text: str,
              size: int = SKETCH) -> DataFrame:
-    """_id, n_shingles, signature and the ``size`` smallest shingle hashes of each whole text."""
+    """_id, KEY, n_shingles, signature and the ``size`` smallest shingle hashes of each whole text."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "_text"):
             sets = list(shingle_sets(texts, shingle_words))
             offsets = np.cumsum([0, *(min(size, len(s)) for s in sets)], dtype=np.int32)
             smallest = np.concatenate([s[:size] for s in sets])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [*(batch.column(name) for name in ("_id", *KEY)),
+                 pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([signature(s) for s in sets], pa.binary()),
                  pa.ListArray.from_arrays(offsets, pa.array(smallest, pa.int64()))],
-                ["_id", "n_shingles", "signature", "sketch"])
+                ["_id", *KEY, "n_shingles", "signature", "sketch"])
 
-    selected = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
-    return selected.mapInArrow(rows, f"_id {dict(selected.dtypes)['_id']}, n_shingles long, "
+    selected = keyed(docs, id, text).withColumn("_text", F.col("_text").cast("binary"))
+    kind = dict(selected.dtypes)["_id"]
+    return selected.mapInArrow(rows, f"_id {kind}, _a {kind}, _b long, n_shingles long, "
                                      "signature binary, sketch array<long>")
 
 
@@ -329,6 +332,29 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_wo
     return components(reduce(DataFrame.union, found)) if found else None
 
 
+def _labelled(docs: DataFrame, *, id: str, text: str, shingle_words: int,
+              percent: int) -> DataFrame:
+    """_id, KEY and n_shingles of each row; _first: the smallest id of its component, and _kept: no
+    (whether the id is null), _id and _b of its first row. Both are null for texts without words."""
+    rows = sketches(docs, shingle_words, id=id, text=text).checkpoint()
+    nodes = rows.filter("n_shingles > 0").groupBy(F.col("signature").alias("node")).agg(
+        F.min("_id").alias("_id"),
+        F.min(F.struct(F.col("_id").isNull().alias("no"), "_id", "_b")).alias("_kept"),
+        F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")).checkpoint()
+    labels = similar_nodes(docs, nodes, percent=percent, shingle_words=shingle_words, id=id,
+                           text=text)
+    named = nodes.select("node", "_id", "_kept")
+    if labels is not None:
+        named = named.join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node"))
+        first = named.groupBy("component").agg(F.min("_id").alias("_id"),
+                                               F.min("_kept").alias("_kept"))
+        named = named.select("node", "component").join(first, "component").select(
+            "node", "_id", "_kept")
+    named = named.select(F.col("node").alias("signature"), F.col("_id").alias("_first"), "_kept")
+    return rows.select("_id", *KEY, "n_shingles", "signature").join(named, "signature", "left")
+
+
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
                     shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents whose word shingle sets are similar, directly or through others.
@@ -348,20 +374,31 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     ignored.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = sketches(docs, shingle_words, id=id, text=text).checkpoint()
-    nodes = rows.filter("n_shingles > 0").groupBy(F.col("signature").alias("node")).agg(
-        F.min("_id").alias("_id"), F.first("n_shingles").alias("n"),
-        F.first("sketch").alias("sketch")).checkpoint()
-    labels = similar_nodes(docs, nodes, percent=percent, shingle_words=shingle_words, id=id,
-                           text=text)
-    named = nodes.select("node", "_id")
-    if labels is not None:
-        named = named.join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        first = named.groupBy("component").agg(F.min("_id").alias("_id"))
-        named = named.select("node", "component").join(first, "component").select("node", "_id")
-    named = named.select(F.col("node").alias("signature"), F.col("_id").alias("_first"))
-    found = rows.select("_id", "n_shingles", "signature").join(named, "signature", "left")
+    found = _labelled(docs, id=id, text=text, shingle_words=shingle_words, percent=percent)
     component = F.when(F.col("n_shingles") == 0, F.col("_id")).otherwise(F.col("_first"))
     return found.select(F.col("_id").alias(id), "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("_id") == component, component.isNull()).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
+                         shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near duplicates, with all columns: the one with the smallest id.
+
+    Ids may be null (last) or repeated; texts tell their rows apart. Of rows equal in id and text
+    any one stays. Null texts and texts without words are no duplicates of anything.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    found = _labelled(docs, id=id, text=text, shingle_words=shingle_words, percent=percent).filter(
+        "n_shingles > 0").withColumn(
+        "stays", F.struct(F.col("_id").isNull().alias("no"), "_id", "_b") == F.col("_kept"))
+    fates = found.groupBy(*KEY).agg(F.first("stays").alias("stays"),
+                                    F.count(F.lit(1)).alias("rows")).filter(
+        "NOT stays OR rows > 1").select(F.col("_a").alias("_sa"), F.col("_b").alias("_sb"),
+                                        "stays").checkpoint()
+    same = (F.coalesce(F.col(id), F.lit(0).cast(dict(docs.dtypes)[id])) == F.col("_sa")) & (
+        F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit(""))) == F.col("_sb"))
+    kept, repeated = docs.join(fates, same, "left_anti"), fates.filter("stays")
+    if repeated.isEmpty():
+        return kept
+    once = docs.join(repeated, same).dropDuplicates(["_sa", "_sb"])
+    return kept.unionByName(once.select(*[F.col(f"`{name}`") for name in docs.columns]))
