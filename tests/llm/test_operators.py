@@ -257,6 +257,42 @@ def test_passages_of_one_pair_are_found_at_any_gap(spark):
     assert {id: sorted(spans) for id, spans in found.items()} == wanted
 
 
+def test_passages_whose_parts_stand_in_other_documents_are_found(spark, monkeypatch):
+    texts, first = {}, {}
+    for k in range(12):
+        p = [f"p{k}_{n}" for n in range(60)]
+        cuts = {0: (0, 30, 60), 1: (0, 20, 40, 60), 2: (0, 37, 60)}[k % 3]
+        for part, (begin, end) in enumerate(zip(cuts, cuts[1:])):
+            texts[10 * k + part] = [f"a{k}{part}_{n}" for n in range(30)] + p[begin:end] + [
+                f"b{k}{part}_{n}" for n in range(30)]
+        for more in (5, 6, 7):
+            texts[10 * k + more] = [f"c{k}{more}_{n}" for n in range(11 * more)] + p + [
+                f"d{k}{more}_{n}" for n in range(30)]
+        first[10 * k + 6] = first[10 * k + 7] = 10 * k + 5
+    docs = spark.createDataFrame([row(n, " ".join(t)) for n, t in texts.items()], SCHEMA)
+    for most in (passages.MAX_WINDOWS, 0):
+        monkeypatch.setattr(passages, "MAX_WINDOWS", most)
+        found = passages.repeated_passages(docs).collect()
+        assert {r["doc_id"]: r["source_id"] for r in found} == first and len(found) == len(first)
+        for r in found:
+            begin = 11 * (r["doc_id"] % 10)
+            assert (r["start_word"], r["end_word"]) == (begin, begin + 60)
+
+
+def test_open_windows_are_all_that_seeds_allow():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        hashes = rng.integers(0, 1 << 62, 300).astype(np.uint64)
+        places = passages.seed_places(hashes)[0]
+        held = places[rng.random(len(places)) < 0.8]
+        begin = int(rng.integers(0, 200))
+        spans = [(begin, begin + 70)]
+        wanted = [s for s in range(251)
+                  if set(places[(places >= s) & (places <= s + 42)]) <= set(held)
+                  and not (begin <= s and s + 50 <= begin + 70)]
+        assert set(wanted) <= set(passages.open_windows(held, spans, 50).tolist())
+
+
 def test_stretches_keep_what_only_a_whole_chain_makes_long_enough():
     parts = list(range(30)), list(range(100, 130))
     x, y = (parts[0] + [own + n for n in range(10)] + parts[1] for own in (1000, 2000))

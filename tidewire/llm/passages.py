@@ -11,7 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.llm.keys import KEY, keyed
-from tidewire.llm.words import NOT_SPACE, blocks, shingle_hashes, words_of
+from tidewire.llm.words import (
+    NOT_SPACE,
+    blocks,
+    prefix_hashes,
+    run_hashes,
+    shingle_hashes,
+    words_of,
+)
 from tidewire.session import ensure_checkpoint_dir
 
 SEED_WORDS = 8
@@ -25,6 +32,8 @@ MARGIN, GRID = 96, 32
 #: Words of one side that differ in a row before an alignment ends, and equal words that must
 #: follow them.
 MOST_EDIT, RESYNC = 8, 3
+#: Windows to look up, up to which all tasks get them rather than by a shuffle.
+MAX_WINDOWS = 1_000_000
 
 
 def seed_places(words: np.ndarray, seed: int = SEED_WORDS, window: int = WINDOW,
@@ -375,19 +384,129 @@ def _aligned(found: DataFrame, regions: DataFrame, least_words: int,
               "similarity double")
 
 
-def _passages(rows: DataFrame, least_words: int, least_similarity: float) -> DataFrame:
-    """KEY, source and spans of the passages, with _id and source_id."""
-    sown = seeds(rows, least_words)
+def open_windows(places: Sequence[int], spans: Sequence[tuple[int, int]], words: int) -> np.ndarray:
+    """Places from which ``words`` words could stand in one earlier text, but are in no span.
+
+    ``places`` are those of a text's seeds that earlier texts hold. In words that one earlier text
+    holds all seeds are such, and these lie at most ``WINDOW`` places apart.
+    """
+    at = np.unique(np.asarray(places, np.int64))
+    ends = np.flatnonzero(np.diff(at, append=at[-1:] + WINDOW + 1) > WINDOW)
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    within = words - (SEED_WORDS + WINDOW - 1)
+    starts = [np.arange(max(0, low - WINDOW + 1), high - within + 1)
+              for low, high in zip(at[begins].tolist(), at[ends].tolist())]
+    found = np.unique(np.concatenate(starts)) if starts else at
+    for begin, end in spans:
+        found = found[(found < begin) | (found + words > end)]
+    return found
+
+
+def _asked(found: DataFrame, spans: DataFrame, words: int) -> DataFrame:
+    """no, KEY and starts: the open windows of every text that has some."""
+    places = found.groupBy("no", *KEY).agg(F.flatten(F.collect_list(F.transform(
+        "here", lambda at: at + F.col("begin")))).alias("places"))
+    taken = spans.groupBy("no", *KEY).agg(F.collect_list(F.struct("start_word", "end_word"))
+                                          .alias("spans"))
+    kind = dict(found.dtypes)["_a"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = [open_windows(places, [tuple(span.values()) for span in spans or ()], words)
+                      for places, spans in zip(batch.column("places").to_pylist(),
+                                               batch.column("spans").to_pylist())]
+            open_ = pa.array([len(s) > 0 for s in starts], pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in ("no", *KEY)),
+                 pa.array(starts, pa.list_(pa.int32()))], ["no", *KEY, "starts"]).filter(open_)
+
+    return places.join(taken, ["no", *KEY], "left").mapInArrow(
+        rows, f"no boolean, _a {kind}, _b long, starts array<int>")
+
+
+def _windows(rows: DataFrame, words: int, known: np.ndarray | None = None) -> DataFrame:
+    """no, KEY, at and hash of runs of ``words`` words: those at ``starts``, or else all of them
+    that are ``known`` (sorted; all if None)."""
+    chosen = "starts" in rows.columns
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches, "_text"):
+            block = words_of(texts)
+            sums = prefix_hashes(block.hash)
+            asked = batch.column("starts").to_pylist() if chosen else None
+            text_of, at, hashes = [], [], []
+            for row, (begin, end) in enumerate(zip(block.first[:-1], block.first[1:])):
+                most = max(0, int(end - begin) - words + 1)
+                places = np.array(asked[row], np.int64) if chosen else np.arange(most)
+                places = places[places < most]
+                values = run_hashes(sums, begin + places, begin + places + words).view(np.int64)
+                if known is not None and len(known):
+                    near = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                    places, values = places[known[near] == values], values[known[near] == values]
+                text_of.append(np.full(len(places), row))
+                at.append(places)
+                hashes.append(values)
+            take = pa.array(np.concatenate(text_of), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name).take(take) for name in ("no", *KEY)),
+                 pa.array(np.concatenate(at), pa.int32()), pa.array(np.concatenate(hashes))],
+                ["no", *KEY, "at", "seed"])
+
+    carried = ["no", *KEY, "_text", *(["starts"] if chosen else [])]
+    selected = rows.withColumns({"no": F.col("_id").isNull(),
+                                 "_text": F.col("_text").cast("binary")}).select(*carried)
+    return selected.mapInArrow(
+        found, f"no boolean, _a {dict(rows.dtypes)['_a']}, _b long, at int, seed long")
+
+
+def _first_holders(sown: DataFrame) -> DataFrame:
+    """seed, src_no, src_a, src_b and src_at of seeds that more than one text holds."""
     first = sown.groupBy("seed").agg(F.min(F.struct("no", *KEY, "at")).alias("src"),
                                      F.max(F.struct("no", *KEY)).alias("last"))
-    # written, so that the join below can split a seed that very many texts hold
-    shared = first.filter((F.col("src._a") != F.col("last._a"))
-                          | (F.col("src._b") != F.col("last._b"))).select(
+    return first.filter((F.col("src._a") != F.col("last._a"))
+                        | (F.col("src._b") != F.col("last._b"))).select(
         "seed", F.col("src.no").alias("src_no"), F.col("src._a").alias("src_a"),
-        F.col("src._b").alias("src_b"), F.col("src.at").alias("src_at")).checkpoint()
+        F.col("src._b").alias("src_b"), F.col("src.at").alias("src_at"))
+
+
+def _met(sown: DataFrame, holders: DataFrame) -> DataFrame:
     own = (F.col("_a") == F.col("src_a")) & (F.col("_b") == F.col("src_b"))
-    found = _chained(sown.join(shared, "seed").filter(~own)).checkpoint()
-    spans = _aligned(found, _regions(rows, found), least_words, least_similarity)
+    return sown.join(holders, "seed").filter(~own)
+
+
+def _whole_windows(rows: DataFrame, found: DataFrame, spans: DataFrame,
+                   words: int) -> DataFrame | None:
+    """Chains of runs of ``words`` words, each with its own first holder, from what chains of seeds
+    left open; None if there are none.
+
+    The seeds of a passage may be dealt to several earlier texts that hold parts of it. The first
+    holder of a whole run holds all of it.
+    """
+    asked = _asked(found, spans, words).checkpoint()
+    n_asked = asked.agg(F.sum(F.size("starts"))).first()[0]
+    if not n_asked:
+        return None
+    starts = asked.drop("no")
+    open_ = _windows(rows.join(F.broadcast(starts) if n_asked <= MAX_WINDOWS else starts, KEY),
+                     words).distinct().checkpoint()
+    hashes, known = open_.select("seed").distinct(), None
+    if hashes.count() <= MAX_WINDOWS:
+        known = np.sort(hashes.toArrow().column("seed").to_numpy())
+    holders = _first_holders(_windows(rows, words, known)).checkpoint()
+    met = _met(open_, holders).checkpoint()
+    return None if met.isEmpty() else _chained(met).checkpoint()
+
+
+def _passages(rows: DataFrame, least_words: int, least_similarity: float) -> DataFrame:
+    """KEY, source and spans of the passages, with _id and source_id."""
+    sown = seeds(rows, least_words)
+    # written, so that the join below can split a seed that very many texts hold
+    shared = _first_holders(sown).checkpoint()
+    found = _chained(_met(sown, shared)).checkpoint()
+    spans = _aligned(found, _regions(rows, found), least_words, least_similarity).checkpoint()
+    more = _whole_windows(rows, found, spans, max(least_words, SEED_WORDS + WINDOW - 1))
+    if more is not None:
+        spans = spans.union(_aligned(more, _regions(rows, more), least_words, least_similarity))
     return spans.withColumns({"_id": F.when(~F.col("no"), F.col("_a")),
                               "source_id": F.when(~F.col("src_no"), F.col("src_a"))})
 
