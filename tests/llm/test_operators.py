@@ -119,6 +119,13 @@ def test_near_duplicates_equal_brute_force(spark):
         assert found == brute_components(texts, size, 80)
 
 
+def test_needed_overlap_has_room_where_one_set_holds_the_other():
+    for similarity in (0.5, 0.8, 0.9):
+        least = similarity - 5 * (similarity * (1 - similarity) / near_dedup.SKETCH) ** 0.5
+        assert 0 < near_dedup._share_needed(similarity) <= max(least, 1 / near_dedup.SKETCH) + 1e-9
+    assert near_dedup.SKETCH * near_dedup._share_needed(0.8) < 25
+
+
 def test_long_lists_in_cells_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "LONG_LIST", 3)
     monkeypatch.setattr(near_dedup, "CELL", 5)

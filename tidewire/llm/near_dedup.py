@@ -64,11 +64,12 @@ def sketches(docs: DataFrame, shingle_words: int, *, id: str, text: str,
                                      "signature binary, sketch array<long>")
 
 
-def _share_needed(similarity: float) -> float:
-    """Share of a sketch that similar sets have in common, with room for chance: of sets with
-    similarity j about 2j/(1+j) of the retained values agree; 0.7 of that is over five standard
-    deviations away at 48 values."""
-    return 0.7 * 2 * similarity / (1 + similarity)
+def _share_needed(similarity: float, size: int = SKETCH) -> float:
+    """Share of a sketch that similar sets have in common, with room for chance. Fewest values agree
+    where one set holds the other: of each ``size`` retained ones about the similarity j. Five
+    standard deviations less are needed, and never less than one value."""
+    room = 5 * math.sqrt(similarity * (1 - similarity) / size)
+    return max(similarity - room, 1 / size)
 
 
 def inverted_lists(nodes: DataFrame, similarity: float) -> DataFrame:
@@ -364,7 +365,8 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     100 * intersection >= ``percent`` * union. Documents with equal sets collapse before anything
     is compared; candidates come from shared values of bottom-k sketches of one hash function, are
     filtered by an estimate on the sketch of the union, and are confirmed on the full sets. A true
-    pair is missed only if chance puts its sketches over four standard deviations from the mean.
+    pair is missed only if chance puts its sketches over four standard deviations below the mean,
+    also where one set holds the other (at 80 percent, five for candidates and 4.8 for the estimate).
 
     Returns one row per input row: id, n_shingles, component_id (the smallest id reachable) and
     kept (id = component_id). Null texts and texts without words have no shingles, are linked with
