@@ -363,6 +363,22 @@ def test_decontamination_finds_items_with_other_values(spark, odd, empty):
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == 5
 
 
+def test_decontamination_finds_dense_and_short_items(spark, monkeypatch):
+    dense = "What is 12 km plus 7 km minus 3 km"
+    docs = spark.createDataFrame([
+        row(1, f"Some intro. {dense} and more."),
+        row(2, "Intro. " + dense.replace("12", "40").replace("7", "9")),
+        row(3, "What is 12 km plus all the others"), row(4, "add 3 to 5 now please"),
+        row(5, "add 4 to 6 now please")], SCHEMA)
+    items = spark.createDataFrame([(1, dense), (2, "add 3 to 5"), (3, "now please")],
+                                  "item_id int, text string")
+    for most in (decontaminate.MAX_BROADCAST_WINDOWS, 0):
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", most)
+        found = {(r["doc_id"], r["item_id"], r["kind"])
+                 for r in decontaminate.contaminated(docs, items).collect()}
+        assert found == {(1, 1, "verbatim"), (2, 1, "changed"), (4, 2, "verbatim")}
+
+
 def test_licenses_equal_brute_force(odd, empty, spark):
     rows = [row(1, "Released under the MIT License. transmit license"), row(2, "mit-license mit"),
             row(3, "the General Public License and general public  license; Apache LICENSE"),

@@ -14,10 +14,12 @@ from tidewire.llm.words import VALUE_OF_LOWER, blocks, mix, prefix_hashes, run_h
 from tidewire.session import ensure_checkpoint_dir
 
 WINDOW = 8
-#: Words of a window that are no placeholders; windows with fewer say nothing.
+#: Words of a window that are no placeholders; windows with fewer say nothing. An item that has no
+#: other windows is looked for as a whole.
 LEAST_LITERAL = 5
-#: Items with fewer tokens can not be told from chance.
-LEAST_TOKENS = 6
+#: Items with fewer tokens, or fewer words that are no placeholders, are found word for word only;
+#: items with fewer than ``SHORTEST`` tokens can not be told from chance.
+LEAST_TOKENS, LEAST_OWN, SHORTEST = 6, 2, 3
 #: Tokens of an item that show a leak, or this share of a shorter item.
 LEAK_TOKENS, LEAK_SHARE = 13, 0.8
 #: Share of the placeholders that may contradict the others.
@@ -105,7 +107,8 @@ def windows(rows: DataFrame, carried: list[str], sizes: list[int],
     """The ``carried`` columns and template windows (hash, size, place, placeholders) of texts.
 
     ``sizes`` are the lengths of windows; ``whole`` keeps one length per text: the largest, or
-    that of a shorter text. ``known`` are the only hashes of interest, sorted.
+    that of a shorter text, or all of a text whose windows have too few literal words. ``known`` are
+    the only hashes of interest, sorted.
     """
     kinds = dict(rows.dtypes)
 
@@ -115,12 +118,17 @@ def windows(rows: DataFrame, carried: list[str], sizes: list[int],
             text_of, out = [], []
             for row, (begin, end) in enumerate(zip(tokens.first[:-1], tokens.first[1:])):
                 n = int(end - begin)
-                if n < LEAST_TOKENS:
+                if n < SHORTEST:
                     continue
                 literal = np.concatenate(([0], np.cumsum(~tokens.slot[begin:end])))
                 for size in ([min(n, max(sizes))] if whole else [s for s in sizes if s <= n]):
                     hashes = shingle_hashes(tokens.hash[begin:end], size).view(np.int64)
-                    good = literal[size:] - literal[:-size] >= min(LEAST_LITERAL, size - 1)
+                    good = np.ones(len(hashes), bool)
+                    if whole:
+                        good = literal[size:] - literal[:-size] >= min(LEAST_LITERAL, size - 1)
+                        if not good.any():
+                            size, good = n, np.ones(1, bool)
+                            hashes = shingle_hashes(tokens.hash[begin:end], n).view(np.int64)
                     if known is not None:
                         near = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                         good &= known[near] == hashes
@@ -167,6 +175,8 @@ def judge(matches: list[dict], n_tokens: int) -> tuple[str, int, float] | None:
             pairs[m["item_at"] + theirs["at"]] = (theirs["value"], ours["value"])
     if all(a == b for a, b in pairs.values()):
         return "verbatim", covered, 1.0
+    if n_tokens < LEAST_TOKENS or n_tokens - len(pairs) < LEAST_OWN:
+        return None
     forward: dict[str, dict[str, int]] = {}
     backward: dict[str, dict[str, int]] = {}
     for theirs, ours in pairs.values():
@@ -185,7 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", text: st
     items = benchmark.select(F.col(item_id).alias("item"),
                              F.coalesce(F.col(item_text), F.lit("")).alias("_text"))
     theirs = windows(items, ["item"], [window], whole=True).checkpoint()
-    sizes = [row["size"] for row in theirs.select("size").distinct().collect()]  # window at most
+    sizes = [row["size"] for row in theirs.select("size").distinct().collect()]
     rows = keyed(docs, id, text)
     known = None
     hashes = theirs.select("w").distinct()
@@ -236,8 +246,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", t
     in one consistent mapping to the item's.
 
     Returns id, item_id, kind (``verbatim`` or ``changed``), n_tokens (of the item), covered and
-    consistent (share of placeholders that fit). Null and empty texts leak nothing, items of fewer
-    than ``LEAST_TOKENS`` tokens are never found, rows equal in id and text are one document, and
+    consistent (share of placeholders that fit). An item whose windows are all numbers, names and
+    units but for a few words is looked for as a whole. Null and empty texts leak nothing, items of
+    fewer than ``LEAST_TOKENS`` tokens are found word for word only, those of fewer than
+    ``SHORTEST`` never, rows equal in id and text are one document, and
     either table may be empty. Other columns are ignored.
     """
     found = leaks(docs, benchmark, id=id, text=text, item_id=item_id, item_text=item_text,
