@@ -15,6 +15,7 @@ from tidewire.llm import (
     near_dedup,
     passages,
     quality,
+    spelling,
     toxicity,
 )
 from tidewire.registry import Entry
@@ -161,6 +162,18 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
         pages, replica=_damaged(F.col("html"), F.col("page_id"))))
 
 
+def _misspelt(id: Column, word: Column) -> Column:
+    """One word in 97 without one of its code points, by a hash of the id and the word."""
+    h = F.crc32(F.concat(F.coalesce(id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    at = (h % F.length(word)).cast("int")
+    return F.when(h % 97 == 0, F.concat(F.substring(word, F.lit(1), at),
+                                        F.substring(word, at + 2, F.length(word)))).otherwise(word)
+
+
+def _op13(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), change=_misspelt)
+
+
 ENTRIES: dict[str, Entry] = {
     "op1_mixing": Entry(_op1, _OP1_SQL),
     "op2_decontamination": Entry(_op2),
@@ -172,4 +185,5 @@ ENTRIES: dict[str, Entry] = {
     "op8_chat": Entry(_op8, _OP8_SQL),
     "op9_toxicity": Entry(_op9),
     "op10_fixity": Entry(_op10),
+    "op13_spelling": Entry(_op13),
 }
