@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewire.llm import (
     chat,
+    collocations,
     decontaminate,
     fingerprints,
     fixity,
@@ -162,6 +163,46 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
         pages, replica=_damaged(F.col("html"), F.col("page_id"))))
 
 
+def _op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+_LOWERED = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+            "'abcdefghijklmnopqrstuvwxyz')")
+
+_OP12_SQL = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+        {_LOWERED}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+    FROM documents),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+    SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, s, count(*) AS f
+    FROM places, (SELECT unnest([1, 2, 3, 4]) AS s) WHERE i + s - 1 <= len(w) GROUP BY ALL),
+candidates AS (
+    SELECT lang, phrase, s, f AS a, string_split(phrase, ' ') AS p
+    FROM grams WHERE s > 1 AND f >= 30),
+cuts AS (
+    SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r,
+        (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score, k
+    FROM (SELECT *, unnest(range(1, s)) AS k FROM candidates) c
+    JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(p[1:k], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(p[k + 1:], ' ')),
+worst AS (
+    SELECT * FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covered AS (
+    SELECT DISTINCT c.lang, c.phrase
+    FROM candidates c JOIN candidates d ON d.lang = c.lang AND d.s > c.s
+        AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 80 * c.a),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE s = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score
+FROM worst ANTI JOIN covered USING (lang, phrase) JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
 def _misspelt(id: Column, word: Column) -> Column:
     """One word in 97 without one of its code points, by a hash of the id and the word."""
     h = F.crc32(F.concat(F.coalesce(id.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
@@ -185,5 +226,6 @@ ENTRIES: dict[str, Entry] = {
     "op8_chat": Entry(_op8, _OP8_SQL),
     "op9_toxicity": Entry(_op9),
     "op10_fixity": Entry(_op10),
+    "op12_collocations": Entry(_op12, _OP12_SQL),
     "op13_spelling": Entry(_op13),
 }

@@ -102,12 +102,12 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], column: str,
+def blocks(batches: Iterable[pa.RecordBatch], column: str, size: int = BLOCK_BYTES,
            ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of batches with about ``BLOCK_BYTES`` of whole texts each; null counts as empty."""
+    """Slices of batches with about ``size`` bytes of whole texts each; null counts as empty."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
-        block = (np.cumsum(sizes + 1) - 1) // BLOCK_BYTES
+        block = (np.cumsum(sizes + 1) - 1) // size
         edges = [0, *(np.flatnonzero(np.diff(block)) + 1), len(sizes)]
         for begin, end in zip(edges[:-1], edges[1:]):
             if end > begin:
