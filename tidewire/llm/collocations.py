@@ -20,75 +20,88 @@ PIECE_ENDS = np.isin(np.arange(256), [*b".,;:!?", *range(10, 14)])
 WORD_BYTES = NOT_SPACE & ~PIECE_ENDS
 #: Leaves of the suffix tree that one group of prefixes may hold: the memory budget of a task.
 BUDGET = 50_000
-#: Whole texts of about so many bytes are counted together before their suffixes leave Python.
+#: Groups at most; beyond, the budget grows. It bounds the list of prefixes that are too heavy.
+MOST_GROUPS = 100_000
+#: Whole texts of about so many bytes are read together.
 SCAN_BYTES = 1 << 20
-#: Pairs of words that a task counts before it passes them on.
-HELD_PAIRS = 1 << 20
-#: Bits of the filter of frequent pairs: so many a pair, within these bounds (8 KB and 32 MB).
-BITS_A_PAIR, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
+#: Pairs, or suffixes, that a task counts before it passes them on.
+HELD = 1 << 20
+#: Bits of the filter of frequent words and pairs: so many each, within bounds (8 KB and 32 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Parts in which each language's best phrases are ranked before the winners meet.
 RANKING_PARTS = 256
 
 
 def _tongues(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Per word: number of its language among those of the block, and that language's hash."""
-    names, number = np.unique(np.array(part.column("lang").to_pylist(), object).astype(str),
-                              return_inverse=True)
+    held = part.column("lang").dictionary_encode()
+    names, number = held.dictionary.to_pylist(), held.indices.to_numpy()
     hashes = np.array([int.from_bytes(hashlib.blake2b(name.encode(), digest_size=8).digest(), "big")
                        for name in names], np.uint64)
     of = np.repeat(number, np.diff(words.first))
-    return of, hashes[of], names.tolist()
+    return of, hashes[of], names
 
 
-def _pairs(words: Words, tongue: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word with its next, and whether that stands in the same piece."""
+def _keys(words: Words, tongue: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each word and of it with its next, and whether that stands in the same piece."""
     ends = np.concatenate(([0], np.cumsum(PIECE_ENDS[words.data])))
     joined = np.zeros(len(words.hash), bool)
     joined[:-1] = ends[words.start[1:]] == ends[words.end[:-1]]
     last = words.first[1:] - 1
     joined[last[last >= 0]] = False
-    with np.errstate(over="ignore"):
-        after = np.append(words.hash[1:], np.uint64(0))
-        return mix(mix(words.hash + tongue) + np.uint64(3) * after), joined
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, inverse = np.unique(np.concatenate([keys for keys, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, np.concatenate([n for _, n in parts])).astype(np.int64)
+    single = mix(words.hash + tongue)
+    return single, mix(single + np.uint64(3) * np.append(words.hash[1:], np.uint64(0))), joined
+
+
+def _summed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row for each key, with the sum of n."""
+    rows = pa.concat_batches(held)
+    keys = rows.column("key").to_numpy()
+    _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    n = np.bincount(inverse, rows.column("n").to_numpy()).astype(np.int64)
+    return rows.take(pa.array(at)).set_column(rows.schema.get_field_index("n"), "n", pa.array(n))
+
+
+def _combined(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (key, n, ...) with those of one key added up, as far as they are held together."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += part.num_rows
+        if rows > HELD:
+            held = [_summed(held)]
+            rows = held[0].num_rows
+            if rows > HELD // 2:
+                yield held.pop()
+                rows = 0
+    if held:
+        yield _summed(held)
 
 
-def frequent_pairs(docs: DataFrame, least: int) -> DataFrame:
-    """(pair): hashes of the word pairs of one language that occur ``least`` times within pieces."""
+def frequent(docs: DataFrame, least: int) -> DataFrame:
+    """(key): hashes of the words, and pairs of words within pieces, that occur ``least`` times in a
+    language."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def out() -> pa.RecordBatch:
-            keys, n = held.pop()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)],
-                                              ["pair", "n"])
-
-        for part, texts in blocks(batches, "text", SCAN_BYTES):
-            words = words_of(texts, WORD_BYTES)
-            pairs, joined = _pairs(words, _tongues(part, words)[1])
-            held.append(np.unique(pairs[joined], return_counts=True))
-            if sum(len(keys) for keys, _ in held) > HELD_PAIRS:
-                held = [_summed(held)]
-                if len(held[0][0]) > HELD_PAIRS // 2:
-                    yield out()
-        if held:
-            held = [_summed(held)]
-            yield out()
+        def counted() -> Iterator[pa.RecordBatch]:
+            for part, texts in blocks(batches, "text", SCAN_BYTES):
+                words = words_of(texts, WORD_BYTES)
+                single, pair, joined = _keys(words, _tongues(part, words)[1])
+                keys, n = np.unique(np.concatenate((single, pair[joined])), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        yield from _combined(counted())
 
-    counts = docs.mapInArrow(rows, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    return counts.filter(F.col("n") >= least).select("pair")
+    counts = docs.mapInArrow(rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return counts.filter(F.col("n") >= least).select("key")
 
 
-def pair_filter(pairs: DataFrame, count: int) -> np.ndarray:
-    """One bit for each value that the hashes of ``pairs`` have modulo its size, as bytes. Its size
-    follows their number up to 32 MB; beyond, it only lets more pass."""
-    bits = 1 << max(1, BITS_A_PAIR * count - 1).bit_length()
+def key_filter(keys: DataFrame, count: int) -> np.ndarray:
+    """One bit for each value that ``keys`` have modulo its size, as bytes. Its size follows their
+    number up to 32 MB; beyond, it only lets more pass."""
+    bits = 1 << max(1, BITS_EACH * count - 1).bit_length()
     bits = min(max(bits, LEAST_BITS), MOST_BITS)
-    place = pairs.select((F.pmod("pair", F.lit(bits)) + 1).alias("place"))
+    place = keys.select((F.pmod("key", F.lit(bits)) + 1).alias("place"))
     found = place.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
     held = np.zeros(bits // 8, np.uint8)
@@ -98,8 +111,8 @@ def pair_filter(pairs: DataFrame, count: int) -> np.ndarray:
     return held
 
 
-def _within(held: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    place = pairs & np.uint64(8 * len(held) - 1)
+def _within(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys & np.uint64(8 * len(held) - 1)
     return (held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -110,76 +123,83 @@ def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np
 
 
 def leaves(docs: DataFrame, held, most_words: int) -> DataFrame:
-    """(lang, phrase, n): the suffixes that begin at each word, cut after ``most_words`` words, at
-    the end of the piece, or where no frequent pair goes on; and how often each occurs.
+    """(lang, phrase, n): the suffixes that begin at each frequent word, cut after ``most_words``
+    words, at the end of the piece, or where no frequent pair goes on; and how often each occurs.
 
-    What is cut is part of no frequent phrase. A suffix of one word stands for the word alone, so
-    the numbers of a language add up to its words.
+    What is left out or cut off is part of no frequent phrase. The empty phrase stands for the
+    root: all words of the language.
     """
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
 
+    def suffixes(part: pa.RecordBatch, words: Words) -> pa.RecordBatch:
+        number, tongue, names = _tongues(part, words)
+        key, pair, joined = _keys(words, tongue)
+        begins = _within(held.value, key)
+        goes_on = joined & _within(held.value, pair)
+        depth, reached = np.ones(len(key), np.int64), begins.copy()
+        for ahead in range(1, most_words):
+            reached[:-ahead] &= goes_on[ahead - 1:-1]
+            reached[-ahead:] = False
+            further = np.zeros_like(key)
+            further[:-ahead] = words.hash[ahead:]
+            depth += reached
+            key = np.where(reached, mix(key + np.uint64(3) * further), key)
+        # the block's words with one space after each
+        data, begin = _gathered(words.data, words.start, words.end - words.start + 1)
+        data = lower[data]
+        data[begin[1:] - 1] = 32
+        some = np.flatnonzero(begins)
+        _, first, n = np.unique(key[some], return_index=True, return_counts=True)
+        at = some[first]
+        phrase, offsets = _gathered(data, begin[at], begin[at + depth[at]] - 1 - begin[at])
+        phrases = pa.StringArray.from_buffers(
+            len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(phrase))
+        roots = np.unique(number)
+        of = np.concatenate((number[at], roots)).astype(np.int32)
+        _, place = np.unique(number, return_index=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((key[at], tongue[place])).view(np.int64)),
+             pa.DictionaryArray.from_arrays(of, names).cast(pa.string()),
+             pa.concat_arrays([phrases, pa.array([""] * len(roots), pa.string())]),
+             pa.array(np.concatenate((n, np.bincount(number)[roots])).astype(np.int64))],
+            ["key", "lang", "phrase", "n"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches, "text", SCAN_BYTES):
-            words = words_of(texts, WORD_BYTES)
-            if not len(words.hash):
-                continue
-            number, tongue, names = _tongues(part, words)
-            pairs, joined = _pairs(words, tongue)
-            goes_on = joined & _within(held.value, pairs)
-            depth = np.ones(len(pairs), np.int64)
-            reached, key = np.ones(len(pairs), bool), mix(words.hash + tongue)
-            for ahead in range(1, most_words):
-                reached[:-ahead] &= goes_on[ahead - 1:-1] if ahead > 0 else True
-                reached[-ahead:] = False
-                further = np.zeros_like(key)
-                further[:-ahead] = words.hash[ahead:]
-                depth += reached
-                with np.errstate(over="ignore"):
-                    key = np.where(reached, mix(key + np.uint64(3) * further), key)
-            # the block's words with one space after each
-            sizes = words.end - words.start
-            data, begin = _gathered(
-                np.append(words.data, 32), words.start, sizes + 1)
-            data = lower[data]
-            data[begin[1:] - 1] = 32
-            _, at, n = np.unique(key, return_index=True, return_counts=True)
-            phrase, offsets = _gathered(data, begin[at], begin[at + depth[at]] - 1 - begin[at])
-            phrases = pa.StringArray.from_buffers(
-                len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(phrase))
-            yield pa.RecordBatch.from_arrays(
-                [pa.DictionaryArray.from_arrays(number[at].astype(np.int32), names).cast(
-                    pa.string()), phrases, pa.array(n.astype(np.int64))], ["lang", "phrase", "n"])
+        read = ((part, words_of(texts, WORD_BYTES))
+                for part, texts in blocks(batches, "text", SCAN_BYTES))
+        counted = (suffixes(part, words) for part, words in read if len(words.hash))
+        for out in _combined(counted):
+            yield out.select(["lang", "phrase", "n"])
 
     found = docs.mapInArrow(rows, "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def prefix_groups(suffixes: DataFrame, most_words: int, budget: int) -> DataFrame:
-    """The leaves with the depth of their prefix and the group, (slice, bin), that holds it.
+    """The leaves with the depth of their prefix and the group that holds it.
 
-    A prefix is the first word of a suffix; one with more leaves than the budget is extended by the
-    next word, as often as needed. Prefixes are dealt into slices by hash and packed there, in
-    order, into bins of one budget's leaves: a group holds less than twice the budget.
+    A prefix is the first word of a suffix; one with more leaves than an eighth of the budget is
+    extended by the next word, as often as needed. Prefixes are dealt by hash into as many groups
+    as the leaves have budgets, so a group holds about one budget, and three by a rare chance only.
     """
-    slices = max(1, suffixes.count() // (4 * budget))
-    rest = suffixes.withColumn("words", F.split("phrase", " "))
-    found = []
+    total = suffixes.count()
+    budget = max(budget, total // MOST_GROUPS)
+    groups = -(-total // budget) or 1
+    rest, found = suffixes.withColumn("words", F.split("phrase", " ")), []
     for depth in range(1, most_words + 1):
         named = rest.withColumn("prefix", F.array_join(F.slice("words", 1, depth), " "))
-        weights = named.groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("leaves")).checkpoint()
-        fitting = weights.filter((F.col("leaves") <= budget) | F.lit(depth == most_words))
-        before = Window.partitionBy("slice").orderBy("lang", "prefix").rowsBetween(
-            Window.unboundedPreceding, -1)
-        packed = fitting.withColumn(
-            "slice", F.pmod(F.xxhash64("lang", "prefix"), F.lit(slices))).withColumn(
-            "bin", F.floor(F.coalesce(F.sum("leaves").over(before), F.lit(0)) / budget))
-        found.append(named.join(packed, ["lang", "prefix"]).select(
-            "slice", "bin", "lang", "phrase", "n", F.lit(depth).alias("depth")))
-        heavy = weights.filter(F.col("leaves") > budget).select("lang", "prefix")
-        if depth == most_words or heavy.isEmpty():
+        heavy = named.groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("leaves")).filter(
+            F.col("leaves") > budget // 8).select("lang", "prefix").checkpoint()
+        last = depth == most_words or heavy.isEmpty()
+        # heavy prefixes are at most eight a group
+        light = named if last else named.join(F.broadcast(heavy), ["lang", "prefix"], "left_anti")
+        found.append(light.select(
+            F.pmod(F.xxhash64("lang", "prefix"), F.lit(groups)).alias("group"), "lang", "phrase",
+            "n", F.lit(depth).alias("depth")))
+        if last:
             return reduce(DataFrame.union, found)
-        rest = named.join(heavy, ["lang", "prefix"], "left_semi").select(*rest.columns)
+        rest = named.join(F.broadcast(heavy), ["lang", "prefix"], "left_semi").select(*rest.columns)
     raise AssertionError
 
 
@@ -210,7 +230,7 @@ def phrase_counts(groups: DataFrame, least: int, most_words: int) -> DataFrame:
     def build(table: pa.Table) -> pa.Table:
         return subtree(table, least, most_words)
 
-    nodes = groups.groupBy("slice", "bin").applyInArrow(
+    nodes = groups.groupBy("group").applyInArrow(
         build, "lang string, phrase string, words int, n long")
     return nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(
         F.col("n") >= least)
@@ -279,13 +299,13 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", mos
     ensure_checkpoint_dir(spark)
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"),
                         F.col(text).cast("binary").alias("text"))
-    pairs = frequent_pairs(texts, least).checkpoint()
-    held = spark.sparkContext.broadcast(pair_filter(pairs, pairs.count()))
+    keys = frequent(texts, least).checkpoint()
+    held = spark.sparkContext.broadcast(key_filter(keys, keys.count()))
     suffixes = leaves(texts, held, most_words).checkpoint()
-    counts = phrase_counts(prefix_groups(suffixes, most_words, budget), least,
+    below = suffixes.filter("phrase != ''")
+    counts = phrase_counts(prefix_groups(below, most_words, budget), least,
                            most_words).checkpoint()
-    # a language has few rows after the map tasks have counted
-    totals = suffixes.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = suffixes.filter("phrase = ''").select("lang", "n")
     kept = scored(counts).join(covered(counts, most_words, percent), ["lang", "phrase"], "left_anti")
     best = [F.col("score").desc(), F.col("a").desc(), "phrase"]
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANKING_PARTS))

@@ -11,6 +11,7 @@ from tidewire.llm import (
     decontaminate,
     fingerprints,
     fixity,
+    jaccard_join,
     licenses,
     mixing,
     near_dedup,
@@ -163,6 +164,10 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
         pages, replica=_damaged(F.col("html"), F.col("page_id"))))
 
 
+def _op11(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 def _op12(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
@@ -226,6 +231,7 @@ ENTRIES: dict[str, Entry] = {
     "op8_chat": Entry(_op8, _OP8_SQL),
     "op9_toxicity": Entry(_op9),
     "op10_fixity": Entry(_op10),
+    "op11_jaccard_join": Entry(_op11),
     "op12_collocations": Entry(_op12, _OP12_SQL),
     "op13_spelling": Entry(_op13),
 }
