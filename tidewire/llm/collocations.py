@@ -19,7 +19,7 @@ from tidewire.session import ensure_checkpoint_dir
 PIECE_ENDS = np.isin(np.arange(256), [*b".,;:!?", *range(10, 14)])
 WORD_BYTES = NOT_SPACE & ~PIECE_ENDS
 #: Leaves of the suffix tree that one group of prefixes may hold: the memory budget of a task.
-BUDGET = 50_000
+BUDGET = 400_000
 #: Groups at most; beyond, the budget grows. It bounds the list of prefixes that are too heavy.
 MOST_GROUPS = 100_000
 #: Whole texts of about so many bytes are read together.
