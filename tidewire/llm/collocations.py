@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -186,21 +185,21 @@ def prefix_groups(suffixes: DataFrame, most_words: int, budget: int) -> DataFram
     total = suffixes.count()
     budget = max(budget, total // MOST_GROUPS)
     groups = -(-total // budget) or 1
-    rest, found = suffixes.withColumn("words", F.split("phrase", " ")), []
-    for depth in range(1, most_words + 1):
-        named = rest.withColumn("prefix", F.array_join(F.slice("words", 1, depth), " "))
-        heavy = named.groupBy("lang", "prefix").agg(F.count(F.lit(1)).alias("leaves")).filter(
-            F.col("leaves") > budget // 8).select("lang", "prefix").checkpoint()
-        last = depth == most_words or heavy.isEmpty()
-        # heavy prefixes are at most eight a group
-        light = named if last else named.join(F.broadcast(heavy), ["lang", "prefix"], "left_anti")
-        found.append(light.select(
-            F.pmod(F.xxhash64("lang", "prefix"), F.lit(groups)).alias("group"), "lang", "phrase",
-            "n", F.lit(depth).alias("depth")))
-        if last:
-            return reduce(DataFrame.union, found)
-        rest = named.join(F.broadcast(heavy), ["lang", "prefix"], "left_semi").select(*rest.columns)
-    raise AssertionError
+    rows = suffixes.withColumn("depth", F.lit(1))
+    parts = F.split("phrase", " ")
+    for depth in range(1, most_words):
+        named = rows.withColumn("prefix", F.array_join(F.slice(parts, 1, depth), " "))
+        # at most eight a group
+        heavy = named.filter(F.col("depth") == depth).groupBy("lang", "prefix").agg(
+            F.count(F.lit(1)).alias("leaves")).filter(F.col("leaves") > budget // 8).select(
+            "lang", "prefix", F.lit(True).alias("heavy")).checkpoint()
+        if heavy.isEmpty():
+            break
+        rows = named.join(F.broadcast(heavy), ["lang", "prefix"], "left").select(
+            "lang", "phrase", "n", F.when(F.col("heavy"), F.lit(depth + 1)).otherwise(
+                F.col("depth")).alias("depth"))
+    prefix = F.array_join(F.slice(parts, F.lit(1), F.col("depth")), " ")
+    return rows.withColumn("group", F.pmod(F.xxhash64("lang", prefix), F.lit(groups)))
 
 
 def subtree(table: pa.Table, least: int, most_words: int) -> pa.Table:
