@@ -14,16 +14,18 @@ def one_per_id(df: DataFrame, id: str, order: str | None = None) -> DataFrame:
     """One row per id: the first by ``order``, or any of identical copies.
 
     Copies collapse in the map tasks before the shuffle, so a much-repeated id costs no more than
-    others. Rows without an id are no copies of one another: all are kept.
+    others. Rows without an id are no copies of one another: each has a key of its own, and all
+    are kept.
     """
-    without = df.filter(F.col(id).isNull())
-    df = df.filter(F.col(id).isNotNull())
+    own = F.when(F.col(id).isNull(), F.monotonically_increasing_id())
+    keyed = df.withColumn("_own_key", own)
     if order is None:
-        return df.dropDuplicates([id]).unionByName(without)
+        return keyed.dropDuplicates([id, "_own_key"]).drop("_own_key")
     rest = [F.col(name) for name in df.columns if name != id]
-    first = df.groupBy(id).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
+    first = keyed.groupBy(id, "_own_key").agg(
+        F.min_by(F.struct(*rest), F.col(order)).alias("_first"))
     return first.select(*[F.col(id) if name == id else F.col(f"_first.{name}").alias(name)
-                          for name in df.columns]).unionByName(without)
+                          for name in df.columns])
 
 
 def known_ids(target: DataFrame, id: str) -> DataFrame:

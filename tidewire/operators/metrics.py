@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed
+from tidewire.operators.series import time_bucket
 
 TOPICS = (fixed.UNEMPLOYMENT, fixed.ANXIETY, fixed.ECONOMY)
 SENTIMENTS = (fixed.POSITIVE, fixed.NEGATIVE, fixed.NEUTRAL)
@@ -37,14 +38,14 @@ def kpi_summary(df: DataFrame, sentiment: str = "sentiment") -> DataFrame:
 
 
 def rate_per_window(df: DataFrame, ts: str = "ts", width: str = "1 minute") -> DataFrame:
-    """Messages per tumbling window that holds any."""
-    return df.groupBy(F.window(ts, width)["start"].alias("window_start")).agg(
+    """Messages per tumbling window that holds any; those without a time in one without a start."""
+    return df.groupBy(time_bucket(df, ts, width).alias("window_start")).agg(
         F.count(F.lit(1)).alias("n"))
 
 
 def peak_rate(df: DataFrame, ts: str = "ts", width: str = "1 minute") -> DataFrame:
     """The highest rate and the first window that reached it."""
-    rates = rate_per_window(df, ts, width)
+    rates = rate_per_window(df.filter(F.col(ts).isNotNull()), ts, width)
     return rates.agg(
         F.max("n").alias("peak_n"),
         F.min_by("window_start", F.struct(-F.col("n"), F.col("window_start"))).alias("peak_start"),

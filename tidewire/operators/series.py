@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -31,15 +31,25 @@ ADVICE_RULE = StructType([
 GRID_STRETCH = 10_000
 
 
+def time_bucket(df: DataFrame, ts: str, width: str) -> Column:
+    """Start of the tumbling window that a row's time lies in, null for a row without a time.
+
+    ``window`` alone drops such rows.
+    """
+    some = F.lit("1970-01-01 00:00:00").cast(dict(df.dtypes)[ts])
+    return F.when(F.col(ts).isNotNull(), F.window(F.coalesce(F.col(ts), some), width)["start"])
+
+
 def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: str = "1 hour",
                   fill_gaps: bool = False) -> DataFrame:
-    """(series, bucket_start, n) per tumbling window.
+    """(series, bucket_start, n) per tumbling window; rows without a time count in a bucket without
+    a start.
 
     ``fill_gaps`` adds zeros between the first and the last bucket of each series; by default
     buckets without messages have no row.
     """
     counts = df.groupBy(F.col(series).alias("series"),
-                        F.window(ts, width)["start"].alias("bucket_start")).agg(
+                        time_bucket(df, ts, width).alias("bucket_start")).agg(
         F.count(F.lit(1)).alias("n"))
     if not fill_gaps:
         return counts
@@ -51,24 +61,31 @@ def bucket_counts(df: DataFrame, series: str = "topic", ts: str = "ts", width: s
     grid = stretches.select("series", F.explode(F.expr(
         f"sequence(_at, least(_to, _at + interval {width} * {GRID_STRETCH - 1}), "
         f"interval {width})")).alias("bucket_start"))
-    return grid.join(counts.withColumnRenamed("series", "_series"),
-                     F.col("series").eqNullSafe(F.col("_series"))
-                     & (grid["bucket_start"] == counts["bucket_start"]), "left").select(
+    filled = grid.join(counts.withColumnRenamed("series", "_series"),
+                       F.col("series").eqNullSafe(F.col("_series"))
+                       & (grid["bucket_start"] == counts["bucket_start"]), "left").select(
         "series", grid["bucket_start"], F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return filled.unionByName(counts.filter(F.col("bucket_start").isNull()))
 
 
 def _newest(counts: DataFrame, points: int, pad: int = 0) -> DataFrame:
     """The newest points of each series with their age (1 is the newest) and their position from 0
-    in time order, behind ``_zeros`` leading zero points that the history has room for."""
+    in time order, behind ``_zeros`` leading zero points that the history has room for. The bucket
+    without a start is no point: it has no position and is older than all."""
     by_series = Window.partitionBy("series")
-    newest_first = by_series.orderBy(F.col("bucket_start").desc())
+    newest_first = by_series.orderBy(F.col("bucket_start").desc_nulls_last())
+    timed = F.col("bucket_start").isNotNull()
     kept = counts.withColumn("_age", F.row_number().over(newest_first)).filter(
-        F.col("_age") <= points)
-    size = F.count(F.lit(1)).over(by_series).cast("int")
+        (F.col("_age") <= points) | ~timed)
+    size = F.count("bucket_start").over(by_series).cast("int")
     sized = kept.withColumn("_size", size)
     zeros = F.least(F.lit(pad), F.lit(points) - F.col("_size"))
     return sized.select("series", "bucket_start", "n", "_age", "_size", zeros.alias("_zeros"),
-                        (zeros + F.col("_size") - F.col("_age")).alias("position"))
+                        F.when(timed, zeros + F.col("_size") - F.col("_age")).alias("position"))
+
+
+def _timed(counts: DataFrame) -> DataFrame:
+    return counts.filter(F.col("bucket_start").isNotNull())
 
 
 def series_history(counts: DataFrame, points: int = fixed.HISTORY_POINTS,
@@ -76,7 +93,7 @@ def series_history(counts: DataFrame, points: int = fixed.HISTORY_POINTS,
     """The newest points of each series, numbered from 0 in time order.
 
     ``pad`` puts that many zero points (bucket_start NULL) before the first, as far as the newest
-    ``points`` reach.
+    ``points`` reach. Messages without a time have a row without bucket_start and position.
     """
     placed = _newest(counts, points, pad)
     if not pad:
@@ -102,7 +119,7 @@ def spike_alerts(counts: DataFrame, factor: float = fixed.SPIKE_FACTOR,
 
     A bucket is a spike when it exceeds ``factor`` times the mean of the last ``points`` counts,
     itself included, and ``floor``. ``pad`` counts that many zeros before the first bucket;
-    ``min_history`` keeps younger series quiet.
+    ``min_history`` keeps younger series quiet. Messages without a time have no place in this.
     """
     in_time = Window.partitionBy("series").orderBy("bucket_start")
     rolling = in_time.rowsBetween(1 - points, Window.currentRow)
@@ -110,7 +127,7 @@ def spike_alerts(counts: DataFrame, factor: float = fixed.SPIKE_FACTOR,
     mean = F.sum("n").over(rolling) / F.least(F.lit(points), seen + F.lit(pad))
     spike = ((F.col("n") > F.lit(factor) * F.col("mean_n")) & (F.col("n") > floor)
              & (F.col("_seen") >= min_history))
-    return counts.select("series", "bucket_start", "n", mean.alias("mean_n"),
+    return _timed(counts).select("series", "bucket_start", "n", mean.alias("mean_n"),
                          seen.alias("_seen")).select(
         "series", "bucket_start", "n", "mean_n", spike.alias("is_spike"))
 
@@ -150,7 +167,7 @@ def linear_forecast(counts: DataFrame, steps: int = fixed.FORECAST_STEPS,
     Projections are truncated to whole messages and never negative. A series of one point repeats
     it. Points are taken as equally spaced, whatever their distance in time.
     """
-    last = _with_fit(_newest(counts, points, pad), points).filter(F.col("_age") == 1)
+    last = _with_fit(_newest(_timed(counts), points, pad), points).filter(F.col("_age") == 1)
     ahead = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
     return ahead.select("series", "step", _projection(F.col("step")).alias("forecast"))
 
@@ -164,7 +181,7 @@ def forecast_series(counts: DataFrame, steps: int = fixed.FORECAST_STEPS,
     step, so that anchor and forecast together have ``steps`` points. Everything comes out of the
     rows of the history, without joining it to itself.
     """
-    fitted = _with_fit(_newest(counts, history, pad), points)
+    fitted = _with_fit(_newest(_timed(counts), history, pad), points)
 
     def point(position, kind, n):
         return F.struct(position.cast("int").alias("position"), F.lit(kind).alias("kind"),
@@ -190,18 +207,20 @@ def cumulative_flow(df: DataFrame, ts: str = "ts", width: str = "1 hour",
     """Messages so far at the end of each bucket.
 
     Running sums are taken within blocks of time, in parallel, and raised by the total of the
-    earlier blocks; only the block totals pass through one task.
+    earlier blocks; only the block totals pass through one task. Messages without a time come last.
     """
-    counts = df.groupBy(F.window(ts, width)["start"].alias("bucket_start")).agg(
+    counts = df.groupBy(time_bucket(df, ts, width).alias("bucket_start")).agg(
         F.count(F.lit(1)).alias("n"))
-    blocked = counts.withColumn("_block", F.window("bucket_start", block)["start"])
+    blocked = counts.withColumn("_block", time_bucket(counts, "bucket_start", block))
     totals = blocked.groupBy("_block").agg(F.sum("n").alias("_sum"))
     before = totals.select("_block", F.coalesce(F.sum("_sum").over(
-        Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_before"))
+        Window.orderBy(F.col("_block").asc_nulls_last()).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = before.withColumnRenamed("_block", "_at")
     within = F.sum("n").over(Window.partitionBy("_block").orderBy("bucket_start").rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
-    return blocked.withColumn("_within", within).join(before, "_block").select(
+    return blocked.withColumn("_within", within).join(
+        before, F.col("_block").eqNullSafe(F.col("_at"))).select(
         "bucket_start", "n", (F.col("_before") + F.col("_within")).alias("cumulative"))
 
 

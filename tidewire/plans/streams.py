@@ -14,7 +14,7 @@ from tidewire import schemas
 from tidewire.functions.polarity import lexicon_sentiment
 from tidewire.operators.classify import classify_text
 from tidewire.operators.prepare import json_parse, null_fill, stamp
-from tidewire.sources.messages import KafkaTopic, decode
+from tidewire.sources.messages import KafkaTopic, carried, decode
 from tidewire.sources.sinks import BatchWriter
 from tidewire.streaming.queries import fan_out, for_each_batch
 
@@ -32,24 +32,26 @@ def employment_source(servers: str, **options: str) -> KafkaTopic:
 
 
 def scored_messages(messages: DataFrame, model: PipelineModel, labels: Sequence[str]) -> DataFrame:
-    """Social messages with the model's label, in the stored form."""
-    parsed = null_fill(json_parse(decode(messages), schemas.SOCIAL_MESSAGE))
+    """Social messages with the model's label, in the stored form, behind their identity if the
+    messages have one."""
+    kept = carried(messages)
+    parsed = null_fill(json_parse(decode(messages), schemas.SOCIAL_MESSAGE, keep=kept))
     scored = classify_text(parsed, model, labels)
-    return stamp(scored.select("text", "source", "country", "sentiment_label", "timestamp"),
+    return stamp(scored.select(*kept, "text", "source", "country", "sentiment_label", "timestamp"),
                  "processed_at")
 
 
 def tagged_surveys(messages: DataFrame, positive: Sequence[str] = fixed.POSITIVE_WORDS,
                    negative: Sequence[str] = fixed.NEGATIVE_WORDS) -> DataFrame:
     """Survey messages with their lexicon sentiment."""
-    parsed = json_parse(decode(messages), schemas.SURVEY_MESSAGE)
+    parsed = json_parse(decode(messages), schemas.SURVEY_MESSAGE, keep=carried(messages))
     tagged = parsed.withColumn("sentiment", lexicon_sentiment(F.col("text"), positive, negative))
     return stamp(tagged)
 
 
 def indicators(messages: DataFrame) -> DataFrame:
     """Employment indicators with their map of sectors."""
-    return json_parse(decode(messages), schemas.EMPLOYMENT_INDICATOR)
+    return json_parse(decode(messages), schemas.EMPLOYMENT_INDICATOR, keep=carried(messages))
 
 
 def run_social(messages: DataFrame, model: PipelineModel, labels: Sequence[str],

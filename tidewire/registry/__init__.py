@@ -19,10 +19,10 @@ class Entry(NamedTuple):
 
 
 def all_entries() -> dict[str, Entry]:
-    from tidewire.registry import counts, messages, streams, time_series
+    from tidewire.registry import counts, incremental, messages, streams, time_series
 
     entries: dict[str, Entry] = {}
-    for module in (messages, counts, time_series, streams):
+    for module in (messages, counts, time_series, streams, incremental):
         repeated = entries.keys() & module.ENTRIES.keys()
         if repeated:
             raise ValueError(f"registered twice: {sorted(repeated)}")

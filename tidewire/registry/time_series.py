@@ -54,6 +54,25 @@ def message_ordinals(spark, folder):
     return series.message_ordinals(table(spark, folder, "events"))
 
 
+def _some_untimed(spark, folder):
+    """Events, one in seven without a time."""
+    return table(spark, folder, "events").withColumn(
+        "ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+
+
+def rate_per_minute_nulls(spark, folder):
+    return metrics.rate_per_window(_some_untimed(spark, folder))
+
+
+def series_history_nulls(spark, folder):
+    counts = series.bucket_counts(_some_untimed(spark, folder), "event_type")
+    return series.series_history(counts)
+
+
+def cumulative_flow_nulls(spark, folder):
+    return series.cumulative_flow(_some_untimed(spark, folder))
+
+
 _RULES = (("error", 2000, "operations", "Errors are rising."),
           ("purchase", 1_000_000_000_000, "sales", "Purchases are rising."),
           ("refund", 0, "sales", "Refunds are rising."))
@@ -67,6 +86,8 @@ def threshold_advice(spark, folder):
 
 _HOURLY = """(SELECT event_type AS series, date_trunc('hour', ts) AS bucket_start, count(*) AS n
     FROM events GROUP BY 1, 2)"""
+_UNTIMED = """(SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts
+    FROM events)"""
 _FILLED = """(SELECT g.series, g.bucket_start, coalesce(c.n, 0) AS n FROM (
         SELECT event_type AS series, unnest(generate_series(min(date_trunc('{0}', ts)),
             max(date_trunc('{0}', ts)), INTERVAL 1 {0})) AS bucket_start
@@ -133,6 +154,20 @@ ENTRIES = {
         SELECT bucket_start, n, CAST(sum(n) OVER (ORDER BY bucket_start) AS BIGINT) AS cumulative
         FROM (SELECT date_trunc('hour', ts) AS bucket_start, count(*) AS n FROM events
             GROUP BY 1)"""),
+    "rate_per_minute_nulls": Entry(rate_per_minute_nulls, f"""
+        SELECT date_trunc('minute', ts) AS window_start, count(*) AS n FROM {_UNTIMED} GROUP BY 1"""),
+    "series_history_nulls": Entry(series_history_nulls, f"""
+        SELECT series, CASE WHEN bucket_start IS NOT NULL THEN CAST(count(bucket_start) OVER
+            (PARTITION BY series) - age AS INTEGER) END AS position, bucket_start, n
+        FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY bucket_start DESC NULLS LAST)
+                AS age
+            FROM (SELECT event_type AS series, date_trunc('hour', ts) AS bucket_start, count(*) AS n
+                FROM {_UNTIMED} GROUP BY 1, 2)) WHERE age <= 50 OR bucket_start IS NULL"""),
+    "cumulative_flow_nulls": Entry(cumulative_flow_nulls, f"""
+        SELECT bucket_start, n, CAST(sum(n) OVER (ORDER BY bucket_start NULLS LAST) AS BIGINT)
+            AS cumulative
+        FROM (SELECT date_trunc('hour', ts) AS bucket_start, count(*) AS n FROM {_UNTIMED}
+            GROUP BY 1)"""),
     "message_ordinals": Entry(message_ordinals, """
         SELECT event_id, strftime(ts, '%H:%M:%S') AS clock,
             row_number() OVER (ORDER BY ts, event_id) - 1 AS ordinal FROM events"""),

@@ -70,3 +70,20 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType)
                       for field, values in zip(schema.fields, columns)})
     table = spark.createDataFrame(arrow, schema)
     return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+
+
+def _file_system(spark: SparkSession, path: str):
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return held.getFileSystem(spark._jsc.hadoopConfiguration()), held
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from."""
+    files, held = _file_system(spark, path)
+    return files.exists(held)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote and no longer needs."""
+    files, held = _file_system(spark, path)
+    files.delete(held, True)

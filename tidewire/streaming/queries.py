@@ -20,6 +20,7 @@ from tidewire.sources.sinks import (
     query_id,
     read_batches,
 )
+from tidewire.streaming.seen import SeenIds
 
 log = logging.getLogger("tidewire")
 
@@ -105,16 +106,20 @@ class Watched:
 class NewOnly:
     """A writer that leaves out messages whose id is already in its folders, and copies.
 
-    A replayed batch does not take its own earlier attempt for stored messages. All stored ids are
-    read for each batch; ``horizon`` limits that to messages no older than the batch's oldest by
-    more than this interval, for stores whose copies come within it.
+    A replayed batch does not take its own earlier attempt for stored messages. With an ``index``
+    only the ids that it names are read, and the batch's own are added to it. Without, all stored
+    ids are read for each batch; ``horizon`` limits that to messages no older than the batch's
+    oldest by more than this interval, for stores whose copies come within it.
     """
 
     def __init__(self, write: BatchFolders, schema: StructType, id: str = "event_id", *,
-                 ts: str | None = None, horizon: str | None = None):
+                 ts: str | None = None, horizon: str | None = None, index: SeenIds | None = None):
         if horizon and not ts:
             raise ValueError("a horizon needs the name of the time column")
+        if index is not None and index.id != id:
+            raise ValueError("the index is kept by another id")
         self.write, self.schema, self.id, self.ts, self.horizon = write, schema, id, ts, horizon
+        self.index = index
 
     def _stored(self, batch: DataFrame, batch_id: int) -> DataFrame:
         spark = batch.sparkSession
@@ -132,7 +137,16 @@ class NewOnly:
         return stored
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.write(dedup_new(batch, self._stored(batch, batch_id), self.id), batch_id)
+        if self.index is None:
+            self.write(dedup_new(batch, self._stored(batch, batch_id), self.id), batch_id)
+            return
+        spark = batch.sparkSession
+        segment = f"{query_id(spark) or 'none'}-{batch_id}"
+        self.write(dedup_new(batch, self.index.seen(batch, but=segment), self.id), batch_id)
+        # from what is written, so that both hold the same ids
+        written = spark.read.schema(self.schema).format(self.write.format).load(
+            self.write.folder(spark, batch_id))
+        self.index.add(written, segment)
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:

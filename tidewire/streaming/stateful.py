@@ -30,10 +30,12 @@ def dedup_stream(df: DataFrame, id: str = "event_id", *, ts: str = "ts",
     A stream has no map-side combine for this, so copies are first thinned out in ``spread`` groups
     by the partition that read them: of an id sent over and over, at most that many rows reach the
     task that owns it. ``spread=1`` skips that step. Copies later than the delay pass again;
-    ``dedup_new`` against the stored table catches them.
+    ``dedup_new`` against the stored table catches them. Rows without an id are copies of nothing:
+    each has a key of its own, kept as long as others, and all pass.
     """
-    marked = df.withWatermark(ts, delay)
+    own = F.when(F.col(id).isNull(), F.uuid())
+    marked = df.withWatermark(ts, delay).withColumn("_own_key", own)
     if spread > 1:
         marked = marked.withColumn("_group", F.spark_partition_id() % spread)
-        marked = marked.dropDuplicatesWithinWatermark([id, "_group"]).drop("_group")
-    return marked.dropDuplicatesWithinWatermark([id])
+        marked = marked.dropDuplicatesWithinWatermark([id, "_own_key", "_group"]).drop("_group")
+    return marked.dropDuplicatesWithinWatermark([id, "_own_key"]).drop("_own_key")
