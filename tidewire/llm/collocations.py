@@ -190,8 +190,9 @@ def prefix_groups(suffixes: DataFrame, most_words: int, budget: int) -> DataFram
     for depth in range(1, most_words):
         named = rows.withColumn("prefix", F.array_join(F.slice(parts, 1, depth), " "))
         # at most eight a group
-        heavy = named.filter(F.col("depth") == depth).groupBy("lang", "prefix").agg(
-            F.count(F.lit(1)).alias("leaves")).filter(F.col("leaves") > budget // 8).select(
+        heavy = named.groupBy("lang", "prefix").agg(
+            F.count_if(F.col("depth") == depth).alias("leaves")).filter(
+            F.col("leaves") > budget // 8).select(
             "lang", "prefix", F.lit(True).alias("heavy")).checkpoint()
         if heavy.isEmpty():
             break
