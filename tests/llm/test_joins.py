@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.llm import collocations, jaccard_join, queries, spelling
+from tidewire.llm import collocations, jaccard_join, queries, spelling, toxicity
 
 SCHEMA = ("doc_id long, text string, lang string, n long, word string, tiles int, node string, "
           "phrase string, _id int, `a.b` int")
@@ -219,10 +219,10 @@ def test_subtree_counts_are_sums_of_leaves():
 
 
 def test_collocation_edges(spark, odd, empty):
-    found = collocations.collocations(odd, least=2)
+    found = collocations.collocations(odd, least=4)
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     rows = [(r["text"], r["lang"]) for r in odd.select("text", "lang").collect()]
-    assert {tuple(r) for r in found.collect()} == brute_collocations(rows, 2, 2000)
+    assert {tuple(r) for r in found.collect()} == brute_collocations(rows, 4, 2000)
     assert collocations.collocations(empty).count() == 0
 
 
@@ -321,3 +321,17 @@ def test_op_queries_return_their_contract(spark):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert {r[0]: (r[1], r[2]) for r in found.collect()} == brute_components(texts, 3, 90)
     assert found.select(F.max("n_shingles")).dtypes[0][1] == "bigint"
+
+
+def test_drop_toxic_keeps_all_else(spark):
+    docs = spark.createDataFrame([(1, "foul foul", 5), (1, "fine words", 5), (None, "foul foul", 5),
+                                  (None, None, 5), (2, "", 5), (2, "", 5), (3, "fine foul", 5)],
+                                 "doc_id long, text string, _a int").withColumns(
+        {"_b": F.lit(1), "score": F.lit(2), "row": F.lit(3), "x.y": F.lit(4)})
+    labels = [(100 + n, "foul words here" if n % 2 else "fine words here", n % 2) for n in range(80)]
+    given = spark.createDataFrame(labels, "doc_id long, text string, toxic int")
+    model = toxicity.fit(given.drop("toxic"), given.drop("text"))
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["text"]) for r in kept.collect()) == ["", "", "None", "fine words"]
+    assert toxicity.drop_toxic(docs.limit(0), model).count() == 0

@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = contract.queries().keys()
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
     assert "pipeline" in names
 
 

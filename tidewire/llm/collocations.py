@@ -188,15 +188,15 @@ def prefix_groups(suffixes: DataFrame, most_words: int, budget: int) -> DataFram
     rows = suffixes.withColumn("depth", F.lit(1))
     parts = F.split("phrase", " ")
     for depth in range(1, most_words):
-        named = rows.withColumn("prefix", F.array_join(F.slice(parts, 1, depth), " "))
-        # at most eight a group
-        heavy = named.groupBy("lang", "prefix").agg(
+        named = rows.withColumn("prefix", F.xxhash64("lang", F.array_join(
+            F.slice(parts, 1, depth), " ")))
+        # at most eight a group; prefixes of equal hash are only extended earlier
+        heavy = named.groupBy("prefix").agg(
             F.count_if(F.col("depth") == depth).alias("leaves")).filter(
-            F.col("leaves") > budget // 8).select(
-            "lang", "prefix", F.lit(True).alias("heavy")).checkpoint()
+            F.col("leaves") > budget // 8).select("prefix", F.lit(True).alias("heavy")).checkpoint()
         if heavy.isEmpty():
             break
-        rows = named.join(F.broadcast(heavy), ["lang", "prefix"], "left").select(
+        rows = named.join(F.broadcast(heavy), "prefix", "left").select(
             "lang", "phrase", "n", F.when(F.col("heavy"), F.lit(depth + 1)).otherwise(
                 F.col("depth")).alias("depth"))
     prefix = F.array_join(F.slice(parts, F.lit(1), F.col("depth")), " ")

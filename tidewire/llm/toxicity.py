@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.keys import KEY, keyed
 from tidewire.llm.words import VALUE_OF_LOWER, blocks, mix, prefix_hashes, run_hashes
+from tidewire.session import ensure_checkpoint_dir
 
 BUCKET_BITS = 18
 GRAM_BYTES = (4, 6)
@@ -21,6 +23,8 @@ MAX_EXAMPLES = 200_000
 MAX_BAGS = 12_000
 MAX_FEATURES = 1_000
 LEAST_EVIDENCE = 20.0
+#: Keys of toxic rows that are sent to all tasks; more are joined by a shuffle. Some 20 MB.
+MAX_BROADCAST_KEYS = 1_000_000
 #: Times as often among bad documents as among good ones.
 LEAST_LIFT = 4.0
 
@@ -276,3 +280,23 @@ def score(docs: DataFrame, model: Model, *, id: str = "doc_id", text: str = "tex
                         *(f"{name} {kinds[name]}" for name in names)])
     return selected.mapInArrow(scored, schema).withColumnsRenamed(
         {"_id": id, **dict(zip(names, keep))})
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7, *, id: str = "doc_id",
+               text: str = "text") -> DataFrame:
+    """The documents that score below ``threshold``, with all their columns.
+
+    Only keys and texts are scored; the keys of what is toxic, told apart by id and text, are
+    written down and their rows left out. Null and empty texts stay, rows that are equal in id and
+    text share their fate, ids may be null, and other columns may have any name.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    found = score(keyed(docs, id, text), model, id="_id", text="_text", keep=KEY)
+    toxic = found.filter(F.col("score") >= threshold).select(*KEY).distinct().checkpoint()
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    own, body = F.col("row").getField(id), F.col("row").getField(text)
+    same = (F.coalesce(own, F.lit(0).cast(dict(docs.dtypes)[id])) == F.col("_a")) & (
+        F.xxhash64(own, F.coalesce(body, F.lit(""))) == F.col("_b"))
+    if toxic.count() <= MAX_BROADCAST_KEYS:
+        toxic = F.broadcast(toxic)
+    return rows.join(toxic, same, "left_anti").select("row.*")
