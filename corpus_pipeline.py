@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewire.llm import decontaminate, mixing, near_dedup, passages, toxicity
 from tidewire.session import ensure_checkpoint_dir
@@ -16,9 +15,7 @@ TOXIC_FROM = 0.7
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score(docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-                                        .alias("row"), "doc_id", "text"), model, keep=["row"])
-    return scored.filter(F.col("score") < TOXIC_FROM).select("row.*")
+    return toxicity.drop_toxic(docs, model, TOXIC_FROM)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
