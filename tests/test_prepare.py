@@ -1,5 +1,8 @@
 import datetime
+import math
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -144,3 +147,51 @@ def test_kpis(spark):
     assert tuple(row) == (4, 2, 1, 0, 50.0)
     shares = {r.sentiment: r.share for r in metrics.distribution(df).collect()}
     assert shares == {"positive": 0.5, "negative": 0.25, None: 0.25}
+
+
+def test_keyed_noise_is_normal_and_keeps_to_its_id(spark):
+    many = spark.range(20_000).select(F.col("id").alias("event_id"), F.lit("Egypt").alias("country"))
+    noisy = places.geo_lookup(many, jitter=2.0, seed=5, key="event_id")
+    calm = places.geo_lookup(many.limit(1)).first()
+    stats = noisy.agg(F.avg("lat"), F.stddev("lat"), F.avg("lon"), F.stddev("lon"),
+                      F.corr("lat", "lon"), F.kurtosis("lat")).first()
+    assert abs(stats[0] - calm.lat) < 0.05 and abs(stats[2] - calm.lon) < 0.05
+    assert abs(stats[1] - 2) < 0.05 and abs(stats[3] - 2) < 0.05
+    assert abs(stats[4]) < 0.03 and abs(stats[5]) < 0.2
+    again = places.geo_lookup(many.repartition(7, F.rand(1)), jitter=2.0, seed=5, key="event_id")
+    assert noisy.exceptAll(again).isEmpty() and again.exceptAll(noisy).isEmpty()
+    other = places.geo_lookup(many, jitter=2.0, seed=6, key="event_id")
+    assert noisy.intersect(other).isEmpty()
+    nulls = places.geo_lookup(many.limit(3).withColumn("event_id", F.lit(None).cast("long")),
+                              jitter=2.0, key="event_id")
+    assert nulls.distinct().count() == 1 and nulls.filter("lat IS NULL OR isnan(lat)").isEmpty()
+    dense = places.geo_density(many.withColumn("sentiment", F.lit("negative")), jitter=2.0, seed=5,
+                               key="event_id")
+    assert dense.agg(F.sum("n")).first()[0] == 20_000
+
+
+@pytest.mark.parametrize("step, radius", [(1.0, 0), (1.0, 1), (2.5, 3), (7.0, 2), (90.0, 2)])
+def test_smooth_density_equals_brute_force(spark, step, radius):
+    top, half = math.floor(90 / step), int(180 // step)
+    low = math.floor(-90 / step)
+    cells = [(0, 0, 5), (0, 1, 7), (top, half - 1, 3), (low, -half, 11), (0, -half, 2)]
+    expected = Counter()
+    for lat, lon, n in cells:
+        for up in range(-radius, radius + 1):
+            for right in range(-radius, radius + 1):
+                if low <= lat + up <= top:
+                    to = lon + right
+                    if 180 % step == 0:
+                        to = (to + half) % (2 * half) - half
+                    expected[lat + up, to] += n * math.comb(2 * radius, radius + up) * math.comb(
+                        2 * radius, radius + right)
+    df = spark.createDataFrame(cells, "lat_cell long, lon_cell long, n long")
+    found = places.smooth_density(df, step, radius)
+    assert {(r.lat_cell, r.lon_cell): r.weight for r in found.collect()} == expected
+    assert places.smooth_density(df.limit(0), step, radius).isEmpty()
+
+
+def test_smooth_density_refuses_radii_that_could_overflow(spark):
+    with pytest.raises(ValueError):
+        places.smooth_density(spark.createDataFrame([], "lat_cell long, lon_cell long, n long"),
+                              radius=8)

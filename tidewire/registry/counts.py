@@ -42,6 +42,10 @@ def geo_density(spark, folder):
     return places.geo_density(tagged(spark, folder), given.POINTS, step=2.5, default="en")
 
 
+def geo_density_smooth(spark, folder):
+    return places.smooth_density(geo_density(spark, folder), step=2.5)
+
+
 EVENT_RULES = boards.SituationRules(topics=given.EVENT_TOPICS)
 
 
@@ -109,6 +113,16 @@ _EVENT_TOPICS = f"""(
 _EVENT_SENTIMENT = """CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
     WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END"""
 
+_DENSITY = f"""
+        SELECT CAST(floor(lat / 2.5::DOUBLE) AS BIGINT) AS lat_cell,
+            CAST(floor(lon / 2.5::DOUBLE) AS BIGINT) AS lon_cell, count(*) AS n
+        FROM (SELECT CASE country WHEN 'de' THEN 52.52::DOUBLE WHEN 'es' THEN 40.42::DOUBLE
+                ELSE 51.5::DOUBLE END AS lat,
+            CASE country WHEN 'de' THEN 13.4::DOUBLE WHEN 'es' THEN -3.7::DOUBLE
+                ELSE -0.25::DOUBLE END AS lon
+            FROM {_TAGGED} WHERE sentiment = 'negative')
+        GROUP BY 1, 2"""
+
 ENTRIES = {
     "total_count": Entry(total_count, "SELECT count(*) AS total FROM documents"),
     "topic_counts": Entry(topic_counts, f"""
@@ -125,14 +139,14 @@ ENTRIES = {
         SELECT country AS city, count(*) FILTER (sentiment = 'positive') AS positive,
             count(*) FILTER (sentiment = 'negative') AS negative,
             count(*) FILTER (sentiment = 'neutral') AS neutral FROM {_TAGGED} GROUP BY country"""),
-    "geo_density": Entry(geo_density, f"""
-        SELECT CAST(floor(lat / 2.5::DOUBLE) AS BIGINT) AS lat_cell,
-            CAST(floor(lon / 2.5::DOUBLE) AS BIGINT) AS lon_cell, count(*) AS n
-        FROM (SELECT CASE country WHEN 'de' THEN 52.52::DOUBLE WHEN 'es' THEN 40.42::DOUBLE
-                ELSE 51.5::DOUBLE END AS lat,
-            CASE country WHEN 'de' THEN 13.4::DOUBLE WHEN 'es' THEN -3.7::DOUBLE
-                ELSE -0.25::DOUBLE END AS lon
-            FROM {_TAGGED} WHERE sentiment = 'negative')
+    "geo_density": Entry(geo_density, _DENSITY),
+    "geo_density_smooth": Entry(geo_density_smooth, f"""
+        WITH kernel(away, times) AS (VALUES (-2, 1), (-1, 4), (0, 6), (1, 4), (2, 1))
+        SELECT lat_cell + a.away AS lat_cell,
+            (lon_cell + o.away + 72 + 144) % 144 - 72 AS lon_cell,
+            CAST(sum(n * a.times * o.times) AS BIGINT) AS weight
+        FROM ({_DENSITY}), kernel AS a, kernel AS o
+        WHERE lat_cell + a.away BETWEEN -36 AND 36
         GROUP BY 1, 2"""),
     "situation_board": Entry(situation_board, f"""
         SELECT (SELECT count(*) FROM events) AS total, * FROM {_EVENT_TOPICS}"""),

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewire.functions import polarity, text
-from tidewire.operators import archive, classify, dedup, places, prepare, recent
+from tidewire.operators import archive, archive_files, classify, dedup, places, prepare, recent
 from tidewire.registry import Entry
 from tidewire.registry import inputs as given
 from tidewire.registry.inputs import table
+from tidewire.session import scratch_folder
 from tidewire.sources.messages import decode, read_collection
 from tidewire.sources.sinks import encode_json
 
@@ -188,7 +189,8 @@ def geo_lookup(spark, folder):
 
 def geo_jitter(spark, folder):
     messages = documents(spark, folder).select("doc_id", F.col("lang").alias("country"))
-    return places.geo_lookup(messages, given.POINTS, default="en", jitter=1.0, seed=7)
+    return places.geo_lookup(messages, given.POINTS, default="en", jitter=1.0, seed=7,
+                             key="doc_id")
 
 
 def events(spark, folder):
@@ -233,6 +235,31 @@ def archive_move(spark, folder):
     )
 
 
+def archive_by_file(spark, folder):
+    """The same move between two folders of files, of which only the early ones are rewritten."""
+    base = scratch_folder(spark, "by_file")
+    every = events(spark, folder)
+    every.repartitionByRange(8, "ts").write.parquet(f"{base}/live")
+    every.filter(F.col("event_type") == "click").write.parquet(f"{base}/archive")
+    archive_files.archive_by_file(
+        spark, f"{base}/live", f"{base}/archive",
+        every.filter(F.col("ts") < F.lit(ARRIVED_LATER).cast("timestamp_ntz")), every.schema, "run",
+        archived=spark.read.schema(every.schema).parquet(f"{base}/archive"))
+    return (
+        spark.read.schema(every.schema).parquet(f"{base}/archive")
+        .select(F.lit("archive").alias("place"), "event_id", "event_type", "value")
+        .unionByName(spark.read.schema(every.schema).parquet(f"{base}/live").select(
+            F.lit("live").alias("place"), "event_id", "event_type", "value"))
+    )
+
+
+_ARCHIVED_SQL = f"""
+        SELECT 'archive' AS place, event_id, event_type, value FROM events
+        WHERE event_type = 'click' OR ts < TIMESTAMP '{ARRIVED_LATER}'
+        UNION ALL
+        SELECT 'live' AS place, event_id, event_type, value FROM events
+        WHERE ts >= TIMESTAMP '{ARRIVED_LATER}'"""
+
 _WORD = r"(^|[^\p{L}\p{N}_])(%s)([^\p{L}\p{N}_]|$)"
 _TOPIC_WORDS_SQL = "CASE " + " ".join(
     f"WHEN regexp_matches(lower(text), '{_WORD % '|'.join(lexicon.keywords)}') "
@@ -317,7 +344,19 @@ ENTRIES = {
             CASE lang WHEN 'de' THEN 13.4::DOUBLE WHEN 'es' THEN -3.7::DOUBLE
                 ELSE -0.25::DOUBLE END AS lon
         FROM documents"""),
-    "geo_jitter": Entry(geo_jitter),
+    "geo_jitter": Entry(geo_jitter, """
+        SELECT doc_id, country, round(lat + sqrt(-2 * ln(u)) * cos(2 * pi() * v), 6) AS lat,
+            round(lon + sqrt(-2 * ln(u)) * sin(2 * pi() * v), 6) AS lon
+        FROM (SELECT doc_id, lang AS country,
+                CASE lang WHEN 'de' THEN 52.52::DOUBLE WHEN 'es' THEN 40.42::DOUBLE
+                    ELSE 51.5::DOUBLE END AS lat,
+                CASE lang WHEN 'de' THEN 13.4::DOUBLE WHEN 'es' THEN -3.7::DOUBLE
+                    ELSE -0.25::DOUBLE END AS lon,
+                (('0x' || substr(md5('7:' || doc_id), 1, 12))::BIGINT + 0.5::DOUBLE)
+                    / 281474976710656::DOUBLE AS u,
+                (('0x' || substr(md5('7:' || doc_id), 13, 12))::BIGINT + 0.5::DOUBLE)
+                    / 281474976710656::DOUBLE AS v
+            FROM documents)"""),
     "dedup_new": Entry(dedup_new, f"""
         SELECT DISTINCT {_EVENT_COLUMNS} FROM (SELECT * FROM events UNION ALL SELECT * FROM events)
         WHERE event_id NOT IN (SELECT event_id FROM events WHERE event_type = 'purchase')"""),
@@ -328,10 +367,6 @@ ENTRIES = {
     "live_feed": Entry(live_feed, """
         SELECT event_id, ts, event_type, props FROM events
         ORDER BY ts DESC, event_id DESC LIMIT 5"""),
-    "archive_move": Entry(archive_move, f"""
-        SELECT 'archive' AS place, event_id, event_type, value FROM events
-        WHERE event_type = 'click' OR ts < TIMESTAMP '{ARRIVED_LATER}'
-        UNION ALL
-        SELECT 'live' AS place, event_id, event_type, value FROM events
-        WHERE ts >= TIMESTAMP '{ARRIVED_LATER}'"""),
+    "archive_move": Entry(archive_move, _ARCHIVED_SQL),
+    "archive_by_file": Entry(archive_by_file, _ARCHIVED_SQL),
 }

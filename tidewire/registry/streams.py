@@ -23,6 +23,7 @@ from tidewire.session import scratch_folder
 from tidewire.sources.messages import TableFiles, decode, read_table_stream
 from tidewire.sources.sinks import BATCH_METRICS, BatchFolders, encode_json, read_batches
 from tidewire.streaming import queries, stateful
+from tidewire.streaming.together import Together
 
 ONCE = {"availableNow": True}
 
@@ -105,6 +106,24 @@ def stream_fan_out(spark, folder):
         F.count(F.lit(1)).alias("n"))
 
 
+def stream_fan_out_together(spark, folder):
+    """Two sinks of different columns in several batches, read as of one moment."""
+    base = scratch_folder(spark, "together")
+    table(spark, folder, "events").repartition(3, "event_id").write.parquet(f"{base}/in")
+    df = read_table_stream(spark, TableFiles(
+        f"{base}/in", table(spark, folder, "events").schema, options={"maxFilesPerTrigger": "1"}))
+    sinks = {"all": lambda batch: batch.select("event_type", "value"),
+             "errors": lambda batch: batch.filter(F.col("event_type") == "error").select(
+                 "event_type", "user_id")}
+    write = Together(f"{base}/out", sinks)
+    queries.run_to_end(queries.for_each_batch(df, write, f"{base}/checkpoint", trigger=ONCE))
+    found = write.read(spark, {name: of(table(spark, folder, "events")).schema
+                               for name, of in sinks.items()})
+    parts = [rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "sink", F.lit(name)) for name, rows in found.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def stream_dedup(spark, folder):
     """Every event delivered twice."""
     twice = _events(spark, folder).unionByName(_events(spark, folder))
@@ -186,6 +205,10 @@ ENTRIES = {
     "stream_fan_out": Entry(stream_fan_out, f"""
         SELECT sink, event_type, {_SENTIMENT} AS sentiment, count(*) AS n
         FROM events, (VALUES ('first'), ('second')) AS s(sink) GROUP BY ALL"""),
+    "stream_fan_out_together": Entry(stream_fan_out_together, """
+        SELECT sink, event_type, count(*) AS n
+        FROM events, (VALUES ('all'), ('errors')) AS s(sink)
+        WHERE sink = 'all' OR event_type = 'error' GROUP BY ALL"""),
     "stream_dedup": Entry(stream_dedup, """
         SELECT event_id, ts, user_id, event_type, value, props FROM events"""),
     "stream_new_only": Entry(stream_new_only, """

@@ -87,3 +87,39 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that this library wrote and no longer needs."""
     files, held = _file_system(spark, path)
     files.delete(held, True)
+
+
+def folder_path(spark: SparkSession, path: str) -> str:
+    """The path of a folder without scheme and host, encoded as in ``_metadata.file_path``."""
+    files, held = _file_system(spark, path)
+    return files.makeQualified(held).toUri().getRawPath().rstrip("/")
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    files, held = _file_system(spark, path)
+    if not files.exists(held):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(held))
+
+
+def move_file(spark: SparkSession, path: str, into: str) -> None:
+    """Move one file into a folder of the same store, which is made where it is missing."""
+    files, held = _file_system(spark, path)
+    files.mkdirs(_file_system(spark, into)[1])
+    target = _file_system(spark, f"{into}/{held.getName()}")[1]
+    if not files.rename(held, target):
+        raise OSError(f"could not move {path} to {target}")
+
+
+def write_once(spark: SparkSession, path: str, line: str) -> None:
+    """A small file that readers see whole or not at all: written beside its place, then renamed."""
+    files, held = _file_system(spark, path)
+    draft = _file_system(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")[1]
+    out = files.create(draft)
+    try:
+        out.write(bytearray(f"{line}\n", "utf-8"))
+    finally:
+        out.close()
+    if not files.rename(draft, held):
+        raise OSError(f"could not write {path}")
