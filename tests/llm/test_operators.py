@@ -501,3 +501,45 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, tmp_path):
     assert left == {n for n in range(120) if n % 10 != 1}
     assert [re.sub(r"\W", "", name) for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_dedup", "passages", "decontamination", "mixing"]
+
+
+def test_decontamination_finds_an_item_beside_a_torn_copy_of_it(spark):
+    """The torn copy covers as much of the item as the whole one; order must not matter."""
+    changed = ITEM.replace("Maria", "Peter").replace("48", "1,250")
+    torn = ITEM.replace("Maria", "Peter", 1).replace("48", "7")
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    filler = " some other words of no matter at all between the two "
+    docs = spark.createDataFrame([
+        row(1, torn + filler + ITEM), row(2, ITEM + filler + torn), row(3, torn),
+        row(4, torn + filler + changed), row(5, changed + filler + ITEM),
+        row(6, torn + filler + torn)], SCHEMA)
+    found = {r.doc_id: r.kind for r in decontaminate.contaminated(docs, benchmark).collect()}
+    alone = {r.doc_id for r in decontaminate.contaminated(
+        docs.filter("doc_id = 3"), benchmark).collect()}
+    assert {n: found.get(n) for n in (1, 2, 5)} == dict.fromkeys((1, 2, 5), "verbatim")
+    assert found[4] == "changed"
+    assert {3, 6} & found.keys() == ({3, 6} if alone else set())
+
+
+def test_rows_go_whatever_their_other_columns_are_called(spark):
+    """Helper names of the operators, also in other case, as columns of the documents."""
+    names = ("_a _b _id _text _row _ROWS _sa _sb _la _lb _spans _first _kept stays w item matches "
+             "size no component").split()
+    docs = spark.createDataFrame([
+        row(1, PASSAGE + " own words"), row(2, f"begin {PASSAGE} " + " ".join(
+            f"tail{n}" for n in range(40))),
+        row(3, "nothing of note"), row(4, "nothing of note"), row(None, None), row(5, ITEM)],
+        SCHEMA).withColumns({name: F.lit(at) for at, name in enumerate(names)})
+    benchmark = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+
+    def ids(df):
+        assert df.columns == docs.columns and df.dtypes == docs.dtypes
+        rows = df.collect()
+        assert all(r[name] == at for r in rows for at, name in enumerate(names))
+        return sorted((r.doc_id or 0) for r in rows), {r.doc_id: r.text for r in rows}
+
+    assert ids(decontaminate.drop_contaminated(docs, benchmark))[0] == [0, 1, 2, 3, 4]
+    assert ids(near_dedup.drop_near_duplicates(docs))[0] == [0, 1, 2, 3, 5]
+    kept, texts = ids(passages.drop_repeated(docs))
+    assert kept == [0, 1, 2, 3, 4, 5] and texts[1] == PASSAGE + " own words"
+    assert texts[2].split()[0] == "begin" and PASSAGE not in texts[2]

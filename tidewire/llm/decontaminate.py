@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.keys import KEY, keyed
+from tidewire.llm.keys import KEY, keyed, packed
 from tidewire.llm.words import VALUE_OF_LOWER, blocks, mix, prefix_hashes, run_hashes, shingle_hashes
 from tidewire.session import ensure_checkpoint_dir
 
@@ -153,20 +153,28 @@ def windows(rows: DataFrame, carried: list[str], sizes: list[int],
 def judge(matches: list[dict], n_tokens: int) -> tuple[str, int, float] | None:
     """Kind of leak, tokens covered and share of consistent placeholders; None if it is no leak.
 
-    Windows are grouped by the offset between document and item; the offset (with its neighbours)
-    that covers most of the item is judged. The placeholders agree if each of the item's values
-    has one value in the document and the other way round.
+    Windows are grouped by the offset between document and item. Each offset that (with its
+    neighbours) covers enough of the item is judged, and the strongest verdict counts: verbatim
+    before changed, then the larger cover. So a torn copy does not hide a whole one elsewhere.
     """
     by_offset: dict[int, list[dict]] = {}
     for match in matches:
         by_offset.setdefault(match["at"] - match["item_at"], []).append(match)
-    best: tuple[int, list[dict]] = (0, [])
+    best: tuple[str, int, float] | None = None
     for offset in sorted(by_offset):
-        near = [m for d in range(offset - 2, offset + 3) for m in by_offset.get(d, ())]
-        covered = len({m["item_at"] + n for m in near for n in range(m["size"])})
-        if covered > best[0]:
-            best = (covered, near)
-    covered, near = best
+        # the offset's own windows last, so that they decide where neighbours say otherwise
+        near = [m for d in (-2, 2, -1, 1, 0) for m in by_offset.get(offset + d, ())]
+        verdict = _judge_band(near, n_tokens)
+        if verdict and (best is None or (verdict[0] == "verbatim", *verdict[1:])
+                        > (best[0] == "verbatim", *best[1:])):
+            best = verdict
+    return best
+
+
+def _judge_band(near: list[dict], n_tokens: int) -> tuple[str, int, float] | None:
+    """The verdict on windows of about one offset. The placeholders agree if each of the item's
+    values has one value in the document and the other way round."""
+    covered = len({m["item_at"] + n for m in near for n in range(m["size"])})
     if covered < min(LEAK_TOKENS, LEAK_SHARE * n_tokens):
         return None
     pairs: dict[int, tuple[str, str]] = {}
@@ -260,10 +268,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id", t
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, id: str = "doc_id",
                       text: str = "text", **options) -> DataFrame:
-    """The documents that leak no benchmark item, with all their columns."""
-    bad = leaks(docs, benchmark, id=id, text=text, **options).select(
-        F.col("_a").alias("_la"), F.col("_b").alias("_lb")).distinct()
-    kind = dict(docs.dtypes)[id]
-    body = F.coalesce(F.col(text), F.lit(""))
-    return docs.join(bad, (F.coalesce(F.col(id), F.lit(0).cast(kind)) == F.col("_la"))
-                     & (F.xxhash64(F.col(id), body) == F.col("_lb")), "left_anti")
+    """The documents that leak no benchmark item, with all their columns, of any names.
+
+    Texts may be of any length; rows equal in id and text go or stay together.
+    """
+    bad = leaks(docs, benchmark, id=id, text=text, **options).select(*KEY).distinct()
+    return packed(docs, id, text).join(bad, KEY, "left_anti").select("_row.*")

@@ -19,3 +19,12 @@ def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(
         F.col(id).alias("_id"), F.coalesce(F.col(id), F.lit(0).cast(kind)).alias("_a"),
         F.xxhash64(F.col(id), body).alias("_b"), body.alias("_text"))
+
+
+def packed(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """Whole rows as ``_row`` beside their key (_a, _b), whatever the names of their columns."""
+    kind = dict(docs.dtypes)[id]
+    return docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
+        F.coalesce(F.col(id), F.lit(0).cast(kind)).alias("_a"),
+        F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit(""))).alias("_b"))

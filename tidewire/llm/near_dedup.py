@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.llm.graph import components
-from tidewire.llm.keys import KEY, keyed
+from tidewire.llm.keys import KEY, keyed, packed
 from tidewire.llm.words import blocks, mix, shingle_hashes, words_of
 from tidewire.session import ensure_checkpoint_dir
 
@@ -395,12 +395,10 @@ def drop_near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "te
         "stays", F.struct(F.col("_id").isNull().alias("no"), "_id", "_b") == F.col("_kept"))
     fates = found.groupBy(*KEY).agg(F.first("stays").alias("stays"),
                                     F.count(F.lit(1)).alias("rows")).filter(
-        "NOT stays OR rows > 1").select(F.col("_a").alias("_sa"), F.col("_b").alias("_sb"),
-                                        "stays").checkpoint()
-    same = (F.coalesce(F.col(id), F.lit(0).cast(dict(docs.dtypes)[id])) == F.col("_sa")) & (
-        F.xxhash64(F.col(id), F.coalesce(F.col(text), F.lit(""))) == F.col("_sb"))
-    kept, repeated = docs.join(fates, same, "left_anti"), fates.filter("stays")
+        "NOT stays OR rows > 1").select(*KEY, "stays").checkpoint()
+    rows, repeated = packed(docs, id, text), fates.filter("stays")
+    kept = rows.join(fates, KEY, "left_anti").select("_row.*")
     if repeated.isEmpty():
         return kept
-    once = docs.join(repeated, same).dropDuplicates(["_sa", "_sb"])
-    return kept.unionByName(once.select(*[F.col(f"`{name}`") for name in docs.columns]))
+    once = rows.join(repeated, KEY).dropDuplicates(KEY)
+    return kept.unionByName(once.select("_row.*"))

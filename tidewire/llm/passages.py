@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.keys import KEY, keyed
+from tidewire.llm.keys import KEY, keyed, packed
 from tidewire.llm.words import (
     NOT_SPACE,
     blocks,
@@ -559,15 +559,9 @@ def drop_repeated(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     """
     ensure_checkpoint_dir(docs.sparkSession)
     rows = keyed(docs, id, text)
-    spans = _passages(rows, least_words, least_similarity).groupBy(
-        F.col("_a").alias("_sa"), F.col("_b").alias("_sb")).agg(F.collect_set(
-            F.struct("start_word", "end_word")).alias("_spans")).checkpoint()
-    body = F.coalesce(F.col(text), F.lit(""))
-    kind = dict(docs.dtypes)[id]
-    marked = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
-                         F.coalesce(F.col(id), F.lit(0).cast(kind)).alias("_sa"),
-                         F.xxhash64(F.col(id), body).alias("_sb")).join(
-        spans, ["_sa", "_sb"], "left")
+    spans = _passages(rows, least_words, least_similarity).groupBy(*KEY).agg(F.collect_set(
+        F.struct("start_word", "end_word")).alias("_spans")).checkpoint()
+    marked = packed(docs, id, text).join(spans, KEY, "left")
 
     @F.pandas_udf("string")
     def shortened(texts, spans):
@@ -575,8 +569,10 @@ def drop_repeated(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
             t, [(x["start_word"], x["end_word"]) for x in s]))
 
     kept = marked.filter(F.col("_spans").isNull()).select("_row.*")
-    cut = marked.filter(F.col("_spans").isNotNull()).select("_row.*", "_spans").withColumn(
-        text, shortened(F.col(text), F.col("_spans"))).filter(F.col(text) != "").drop("_spans")
+    whole = F.col("_row").getField
+    cut = marked.filter(F.col("_spans").isNotNull()).select(*[
+        shortened(whole(name), F.col("_spans")).alias(name) if name.lower() == text.lower()
+        else whole(name).alias(name) for name in docs.columns]).filter(F.col(text) != "")
     if length and length in docs.columns:
         cut = cut.withColumn(length, F.char_length(text).cast(dict(docs.dtypes)[length]))
     return kept.unionByName(cut)
