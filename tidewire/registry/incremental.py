@@ -22,6 +22,7 @@ from tidewire.sources.messages import (
 from tidewire.sources.sinks import BatchFolders, encode_json, read_batches
 from tidewire.streaming import partials, queries, stateful
 from tidewire.streaming.newest import NewestSet
+from tidewire.streaming.progress import ProgressTable
 from tidewire.streaming.seen import SeenIds
 
 ONCE = {"availableNow": True}
@@ -97,6 +98,26 @@ def stream_dedup_nulls(spark, folder):
         F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_ids"))
 
 
+SPLITS = ("2024-01-20 00:00:00", "2024-01-10 00:00:00")
+
+
+def stream_progress(spark, folder):
+    """Rows read and rows too late for the watermark, over three runs that go back in time."""
+    base = scratch_folder(spark, "progress")
+    events = table(spark, folder, "events").select("event_id", F.col("ts").cast("timestamp"))
+    new, old = [F.lit(split).cast("timestamp") for split in SPLITS]
+    parts = (F.col("ts") >= new, (F.col("ts") < new) & (F.col("ts") >= old), F.col("ts") < old)
+    with ProgressTable(spark, f"{base}/progress") as progress:
+        for part in parts:
+            events.filter(part).write.mode("append").parquet(f"{base}/in")
+            df = read_table_stream(spark, TableFiles(f"{base}/in", events.schema))
+            kept = df.withWatermark("ts", "10 minutes").dropDuplicates(["event_id", "ts"])
+            progress.settle(queries.run_to_end(queries.append_to(
+                kept, f"{base}/checkpoint", path=f"{base}/out", trigger=ONCE)))
+        return progress.read().agg(F.sum("row_count").alias("row_count"),
+                                   F.sum("dropped_late").alias("dropped_late"))
+
+
 def _surveys(spark, folder, base):
     """Documents as survey messages in line files, tagged and stored with the id of their place."""
     documents = table(spark, folder, "documents").select(
@@ -145,6 +166,10 @@ ENTRIES = {
         FROM events GROUP BY event_id % 10 = 0, event_type"""),
     "stream_durable_ids": Entry(stream_durable_ids, """
         SELECT lang AS country, count(*) AS n, count(*) AS n_ids FROM documents GROUP BY lang"""),
+    "stream_progress": Entry(stream_progress, f"""
+        SELECT count(*) AS row_count, count(*) FILTER (ts < TIMESTAMP '{SPLITS[0]}'
+            AND ts <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)) AS dropped_late
+        FROM events"""),
     "survey_board": Entry(survey_board, f"""
         SELECT count(*) AS total, count(*) FILTER (sentiment = 'positive') AS positive_count,
             count(*) FILTER (sentiment = 'negative') AS negative_count,
