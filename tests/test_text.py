@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed
+from tidewire.functions import lexicon as lexicon_module
 from tidewire.functions import polarity, text
 from tidewire.functions.lexicon import Lexicon, contains_any
 
@@ -71,6 +72,71 @@ def test_long_lexicon_equals_short_ones(spark):
         False, True, False, False, False]
 
 
+def _keywords(draw, n):
+    letters = "abcdéßعمل😀 .*"
+    return list(dict.fromkeys("".join(draw.choices(letters, k=draw.randint(1, 6)))
+                              for _ in range(n)))
+
+
+@pytest.mark.parametrize("match", ["substring", "word"])
+@pytest.mark.parametrize("case_sensitive", [False, True])
+def test_index_of_random_keywords_equals_brute_force(spark, match, case_sensitive):
+    draw = random.Random(f"{match}{case_sensitive}")
+    words = [word for word in _keywords(draw, 400) if match == "substring" or word.strip(" .*")]
+    lexicons = [Lexicon(f"l{at}", words[at::7]) for at in range(7)]
+    texts = ["".join(draw.choices("abcdéßعمل😀 .*ABÉ\n", k=draw.randint(0, 9)))
+             for _ in range(300)]
+
+    def first(value):
+        body = value if case_sensitive else value.lower()
+        for lexicon in lexicons:
+            for word in lexicon.keywords:
+                pattern = re.escape(word)
+                if match == "word":
+                    pattern = rf"(?<!\w){pattern}(?!\w)"
+                if re.search(pattern, body):
+                    return lexicon.label
+        return "none"
+
+    found = column(spark, texts, lambda t: lexicon_module.first_label(
+        t, lexicons, "none", match=match, case_sensitive=case_sensitive))
+    assert found == [first(value) for value in texts]
+    assert len(set(found)) > 3
+
+
+def test_index_equals_the_chain_and_keeps_the_plan_small(spark):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(3, 7))) for _ in range(5000)]
+    texts = ["".join(draw.choices("abcdefghij ", k=n)) for n in (0, 1, 2, 5, 20, 40, 80, 3000)] * 3
+    texts = [value.upper() if at % 2 else value for at, value in enumerate(texts)] + [None]
+
+    def tree(count):
+        df = spark.createDataFrame([("a",)], "t string").select(polarity.lexicon_sentiment(
+            "t", words[:count], words[2500:2500 + count]).alias("x"))
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return len(re.findall(r"(?i)(?<!array_)contains\(", plan))
+
+    assert tree(300) == tree(2500) == 1
+    looked_up = column(spark, texts, lambda t: polarity.lexicon_sentiment(
+        t, words[:2500], words[2500:]))
+
+    def brute(value):
+        body = (value or "").lower()
+        glad, sad = (any(word in body for word in half) for half in (words[:2500], words[2500:]))
+        return "positive" if glad and not sad else "negative" if sad and not glad else "neutral"
+
+    assert looked_up == [brute(value) for value in texts]
+
+
+def test_a_label_lowers_its_text_once(spark):
+    df = spark.createDataFrame([("a", "b")], "text string, id string").withColumns({
+        "sentiment": polarity.lexicon_sentiment("text")})
+    plan = df.filter(F.col("sentiment") == "negative").select("id")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+    topics = df.select(polarity.topic_priority("text").alias("topic"))
+    assert topics._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+
+
 def test_empty_keyword_is_refused():
     with pytest.raises(ValueError):
         Lexicon("x", ("a", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewire import fixed_values as fixed
-from tidewire.functions.lexicon import Lexicon, _column, contains_any, first_label
+from tidewire.functions.lexicon import Lexicon, _column, contains_of_each, first_label
 
 TOPICS = (
     Lexicon(fixed.UNEMPLOYMENT, fixed.UNEMPLOYMENT_WORDS),
@@ -22,12 +22,14 @@ def lexicon_sentiment(text: Column | str, positive: Sequence[str] = fixed.POSITI
                       negative: Sequence[str] = fixed.NEGATIVE_WORDS, *,
                       match: str = "substring") -> Column:
     """Positive or negative where only that side is found; both, neither or NULL is neutral."""
-    glad = contains_any(text, positive, match=match)
-    sad = contains_any(text, negative, match=match)
-    return (
-        F.when(glad & ~sad, fixed.POSITIVE).when(sad & ~glad, fixed.NEGATIVE)
-        .otherwise(fixed.NEUTRAL)
-    )
+    def side(found: Sequence[Column]) -> Column:
+        glad, sad = found
+        return (
+            F.when(glad & ~sad, fixed.POSITIVE).when(sad & ~glad, fixed.NEGATIVE)
+            .otherwise(fixed.NEUTRAL)
+        )
+
+    return contains_of_each(text, [positive, negative], side, match=match)
 
 
 def rating_polarity(label: Column | str) -> Column:

@@ -24,6 +24,7 @@ class SituationRules:
     points: tuple = fixed.COUNTRY_POINTS
     default_country: str = fixed.DEFAULT_COUNTRY
     working_set: int | None = None  # all that is stored, or the newest so many
+    pad: int = 0  # zeros before the first bucket of a series, as a board that starts shows them
 
 
 @dataclass(frozen=True)
@@ -78,13 +79,13 @@ class Situation:
                                   default=self.rules.default_country)
 
     def history(self) -> DataFrame:
-        return series.series_history(self.counts)
+        return series.series_history(self.counts, pad=self.rules.pad)
 
     def alerts(self) -> DataFrame:
-        return series.spike_alerts(self.counts)
+        return series.spike_alerts(self.counts, pad=self.rules.pad)
 
     def forecast(self) -> DataFrame:
-        return series.forecast_series(self.counts)
+        return series.forecast_series(self.counts, pad=self.rules.pad)
 
 
 @dataclass(frozen=True)

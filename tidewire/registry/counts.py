@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from tidewire.functions import polarity
@@ -49,14 +51,14 @@ def geo_density_smooth(spark, folder):
 EVENT_RULES = boards.SituationRules(topics=given.EVENT_TOPICS)
 
 
-def _situation(spark, folder):
+def _situation(spark, folder, rules=EVENT_RULES, **options):
     """Events as stored messages: the type is the text, the user's number makes the rating."""
     stored = table(spark, folder, "events").select(
         "event_id", "ts", F.col("event_type").alias("text"),
         F.concat(F.col("user_id") % 6, F.lit(" stars")).alias("sentiment_label"),
         F.when(F.col("event_type") == "view", "Egypt").when(
             F.col("event_type") == "click", "Kuwait").alias("country"))
-    return boards.Situation(stored, EVENT_RULES, id="event_id")
+    return boards.Situation(stored, rules, id="event_id", **options)
 
 
 def situation_board(spark, folder):
@@ -77,6 +79,20 @@ def situation_forecast(spark, folder):
     return _situation(spark, folder).forecast()
 
 
+def situation_history(spark, folder):
+    return _situation(spark, folder).history()
+
+
+def situation_history_padded(spark, folder):
+    """Daily points behind twenty zeros."""
+    rules = dataclasses.replace(EVENT_RULES, pad=20)
+    return _situation(spark, folder, rules, width="1 day").history()
+
+
+def situation_alerts(spark, folder):
+    return _situation(spark, folder).alerts()
+
+
 def _board(spark, folder):
     messages = table(spark, folder, "events").select(
         "event_id", "ts", F.concat_ws(" ", "event_type", "props").alias("text"),
@@ -97,6 +113,18 @@ def message_board_feed(spark, folder):
     return _board(spark, folder).feed()
 
 
+def message_board_sentiments(spark, folder):
+    return _board(spark, folder).sentiments()
+
+
+def message_board_categories(spark, folder):
+    return _board(spark, folder).categories()
+
+
+def message_board_cities(spark, folder):
+    return _board(spark, folder).cities()
+
+
 _TAGGED = f"""(SELECT doc_id, lang AS country, {given.SENTIMENT_SQL} AS sentiment,
     {given.TOPIC_SQL} AS topic, {given.CATEGORY_SQL} AS category FROM documents)"""
 _KPIS = """count(*) AS total,
@@ -113,6 +141,14 @@ _EVENT_TOPICS = f"""(
 _EVENT_SENTIMENT = """CASE WHEN event_type IN ('purchase', 'signup') THEN 'positive'
     WHEN event_type = 'error' THEN 'negative' ELSE 'neutral' END"""
 
+_TOPIC_AGED = f"""(
+    SELECT *, row_number() OVER (PARTITION BY series ORDER BY bucket_start DESC) AS age
+    FROM (SELECT {given.EVENT_TOPIC_SQL} AS series,
+            CAST(date_trunc('{{0}}', ts) AS TIMESTAMP) AS bucket_start, count(*) AS n
+        FROM events GROUP BY 1, 2) WHERE series <> 'General')"""
+_BOARD = f"""(SELECT {_EVENT_SENTIMENT} AS sentiment, event_type AS city, 'other' AS category
+    FROM {_NEWEST.format(500)})"""
+
 _DENSITY = f"""
         SELECT CAST(floor(lat / 2.5::DOUBLE) AS BIGINT) AS lat_cell,
             CAST(floor(lon / 2.5::DOUBLE) AS BIGINT) AS lon_cell, count(*) AS n
@@ -190,6 +226,34 @@ ENTRIES = {
         SELECT series, CAST(last + step AS INTEGER), 'forecast', CASE WHEN m < 2 THEN one ELSE
             CAST(trunc(greatest(0, round(intercept + slope * (last + step), 9))) AS BIGINT) END
         FROM line, (SELECT unnest(generate_series(1, 10)) AS step)"""),
+    "situation_history": Entry(situation_history, f"""
+        SELECT series, CAST(count(*) OVER (PARTITION BY series) - age AS INTEGER) AS position,
+            bucket_start, n FROM {_TOPIC_AGED.format('hour')} WHERE age <= 50"""),
+    "situation_history_padded": Entry(situation_history_padded, f"""
+        WITH sized AS (
+            SELECT *, count(*) OVER (PARTITION BY series) AS m
+            FROM {_TOPIC_AGED.format('day')} WHERE age <= 50)
+        SELECT series, CAST(least(20, 50 - m) + m - age AS INTEGER) AS position, bucket_start, n
+        FROM sized
+        UNION ALL
+        SELECT series, CAST(unnest(range(least(20, 50 - m))) AS INTEGER) AS position,
+            NULL AS bucket_start, 0 AS n FROM (SELECT DISTINCT series, m FROM sized)"""),
+    "situation_alerts": Entry(situation_alerts, f"""
+        SELECT series, bucket_start, n, mean_n, n > 1.5::DOUBLE * mean_n AND n > 5 AS is_spike
+        FROM (SELECT *, sum(n) OVER w / count(*) OVER w AS mean_n
+            FROM {_TOPIC_AGED.format('hour')}
+            WINDOW w AS (PARTITION BY series ORDER BY bucket_start
+                ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))"""),
+    "message_board_sentiments": Entry(message_board_sentiments, f"""
+        SELECT sentiment, count(*) AS n,
+            count(*)::DOUBLE / (sum(count(*)) OVER ())::DOUBLE AS share
+        FROM {_BOARD} GROUP BY sentiment"""),
+    "message_board_categories": Entry(message_board_categories, f"""
+        SELECT category, sentiment, count(*) AS n FROM {_BOARD} GROUP BY category, sentiment"""),
+    "message_board_cities": Entry(message_board_cities, f"""
+        SELECT city, count(*) FILTER (sentiment = 'positive') AS positive,
+            count(*) FILTER (sentiment = 'negative') AS negative,
+            count(*) FILTER (sentiment = 'neutral') AS neutral FROM {_BOARD} GROUP BY city"""),
     "message_board": Entry(message_board, f"""
         SELECT {_KPIS} FROM (SELECT {_EVENT_SENTIMENT} AS sentiment FROM {_NEWEST.format(500)})"""),
     "message_board_flow": Entry(message_board_flow, f"""

@@ -31,6 +31,25 @@ EVENT_TOPICS = (
     Lexicon("Anxiety", ("click", "view")),
     Lexicon("Economy", ("PURCH",)),
 )
+# some 5,000 keywords of two syllables and a consonant by a rule, dealt over the three topics
+_CONSONANTS, _VOWELS = "bcdfghjklmnpqrstvwxz", "aeiou"
+_SYLLABLES = [consonant + vowel for consonant in _CONSONANTS for vowel in _VOWELS]
+_RULED = [(a, b, c) for a in range(100) for b in range(100) for c in range(20)
+          if (7 * a + 13 * b + 31 * c) % 40 == 7]
+LONG_TOPICS = tuple(
+    Lexicon(topic.label, [_SYLLABLES[a] + _SYLLABLES[b] + _CONSONANTS[c] for a, b, c in _RULED
+                          if (a + b + c) % 3 == place])
+    for place, topic in enumerate(TOPICS))
+LONG_TOPICS_SQL = f"""
+    WITH consonants AS (
+        SELECT a, substr('{_CONSONANTS}', a + 1, 1) AS s FROM range(20) AS r(a)),
+    syllables AS (
+        SELECT a, substr('{_CONSONANTS}', a // 5 + 1, 1) || substr('{_VOWELS}', a % 5 + 1, 1) AS s
+        FROM range(100) AS r(a))
+    SELECT x.s || y.s || z.s AS word, (x.a + y.a + z.a) % 3 AS place
+    FROM syllables AS x, syllables AS y, consonants AS z
+    WHERE (7 * x.a + 13 * y.a + 31 * z.a) % 40 = 7
+"""
 POINTS = (("en", 51.5, -0.25), ("de", 52.52, 13.4), ("es", 40.42, -3.7))
 
 

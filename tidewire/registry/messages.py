@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidewire.functions import polarity, text
 from tidewire.operators import archive, archive_files, classify, dedup, places, prepare, recent
+from tidewire.operators.models import stored_classifier
 from tidewire.registry import Entry
 from tidewire.registry import inputs as given
 from tidewire.registry.inputs import table
-from tidewire.session import scratch_folder
+from tidewire.session import scratch_folder, shared_folder
 from tidewire.sources.messages import decode, read_collection
-from tidewire.sources.sinks import encode_json
+from tidewire.sources.sinks import BatchTable, encode_json
 
 # --- parsing and null handling ---------------------------------------------------------------
 
@@ -74,6 +78,16 @@ def stamp(spark, folder):
     return prepare.stamp(table(spark, folder, "events").select("event_id", "event_type"))
 
 
+def stamp_checked(spark, folder):
+    """How many rows are stamped, and whether all bear one time from after the call."""
+    before = datetime.datetime.now(datetime.timezone.utc)
+    stamped = stamp(spark, folder)
+    return stamped.agg(
+        F.count(F.lit(1)).alias("n"), F.count("processed_time").alias("n_stamped"),
+        F.count_distinct("processed_time").alias("n_times"),
+        (F.min("processed_time") >= F.lit(before)).alias("is_later"))
+
+
 def event_time(spark, folder):
     texts = table(spark, folder, "events").select(
         "event_id", F.when(F.col("event_type") == "error", "yesterday")
@@ -111,6 +125,12 @@ def topic_words(spark, folder):
         "text", given.WORD_TOPICS, match="word").alias("topic"))
 
 
+def topic_long(spark, folder):
+    """The first of three topics of together some 5,000 keywords."""
+    return documents(spark, folder).select(
+        "doc_id", polarity.topic_priority("text", given.LONG_TOPICS).alias("topic"))
+
+
 def message_category(spark, folder):
     return tagged(spark, folder).select("doc_id", "category")
 
@@ -164,10 +184,11 @@ def enrich_message(spark, folder):
 
 
 def quality_model(spark, folder):
-    """The default classifier fitted on all labelled documents."""
+    """The default classifier on all labelled documents, fitted once and then loaded."""
     labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("target"))
     examples = documents(spark, folder).select("doc_id", "text").join(labels, "doc_id")
-    return classify.train_classifier(examples.select("text", "target"))
+    return stored_classifier(spark, f"{shared_folder(spark)}/models",
+                             examples.select("text", "target"))
 
 
 QUALITY_NAMES = ("negative", "positive")
@@ -179,6 +200,20 @@ def model_score(spark, folder):
     return scored.select("doc_id", "sentiment_label", "confidence")
 
 
+def model_score_checked(spark, folder):
+    """Rows with a label and with a probability, and whether labels beat the commonest answer."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    scored = model_score(spark, folder).join(labels, "doc_id", "left").withColumn(
+        "_right", ((F.col("sentiment_label") == QUALITY_NAMES[1]) == (F.col("quality") == 1))
+        .cast("int"))
+    bounded = F.col("confidence").between(0.5, 1)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("sentiment_label").isin(*QUALITY_NAMES)).alias("n_labelled"),
+        F.count_if(bounded).alias("n_bounded"),
+        (F.avg("_right") > F.greatest(F.avg("quality"), 1 - F.avg("quality"))).alias("is_better"))
+
+
 # --- lookups, dedup, recency, archive --------------------------------------------------------
 
 
@@ -235,6 +270,34 @@ def archive_move(spark, folder):
     )
 
 
+def archive_batches(spark, folder):
+    """Three stored batches, of which the two that a snapshot names go to the archive."""
+    run = uuid.uuid4().hex
+    live, archived = BatchTable(f"live_{run}"), BatchTable(f"archived_{run}")
+    every = events(spark, folder)
+    for number in range(3):
+        live(every.filter(F.col("event_id") % 3 == number), number)
+    archived(every.filter(F.col("event_id") < 0), 0)
+    snapshot = [one for one in archive.live_batches(spark, live.table) if one[1] < 2]
+    archive.archive_batches(spark, live.table, archived.table, snapshot)
+    places = [spark.table(stored.table).select(F.lit(place).alias("place"), "event_id", "batch_id")
+              for place, stored in (("live", live), ("archive", archived))]
+    # written down, so that the tables need not outlive the call
+    after = f"{scratch_folder(spark, 'batches')}/after"
+    places[0].unionByName(places[1]).write.parquet(after)
+    for stored in (live, archived):
+        spark.sql(f"DROP TABLE {stored.table}")
+    return spark.read.parquet(after)
+
+
+def newest_exact(spark, folder):
+    """The exact cut among crowded days, one message in ten without an id."""
+    crowded = events(spark, folder).select(
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("event_id") % 10 != 0, F.col("event_id")).alias("event_id"))
+    return recent.newest_first(recent.since_newest(crowded, 1000, refine_above=0), 1000)
+
+
 def archive_by_file(spark, folder):
     """The same move between two folders of files, of which only the early ones are rewritten."""
     base = scratch_folder(spark, "by_file")
@@ -288,6 +351,9 @@ ENTRIES = {
         SELECT CAST(doc_id AS VARCHAR) AS text, source, lang AS country,
             regexp_extract_all(text, '[A-Z][a-z]{6,}')[1] AS sentiment_label FROM documents"""),
     "stamp": Entry(stamp),
+    "stamp_checked": Entry(stamp_checked, """
+        SELECT count(*) AS n, count(*) AS n_stamped, 1::BIGINT AS n_times, TRUE AS is_later
+        FROM events"""),
     "event_time": Entry(event_time, """
         SELECT event_id, CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END
             AS event_ts FROM events"""),
@@ -297,6 +363,11 @@ ENTRIES = {
         SELECT doc_id, {given.TOPIC_SQL} AS topic FROM documents"""),
     "topic_words": Entry(topic_words, f"""
         SELECT doc_id, {_TOPIC_WORDS_SQL} AS topic FROM documents"""),
+    "topic_long": Entry(topic_long, f"""
+        SELECT doc_id, CASE min(place) WHEN 0 THEN 'Work' WHEN 1 THEN 'Worry' WHEN 2 THEN 'Money'
+            ELSE 'General' END AS topic
+        FROM documents LEFT JOIN ({given.LONG_TOPICS_SQL}) ON contains(lower(text), word)
+        GROUP BY doc_id"""),
     "message_category": Entry(message_category, f"""
         SELECT doc_id, {given.CATEGORY_SQL} AS category FROM documents"""),
     "rating_polarity": Entry(rating_polarity, """
@@ -337,6 +408,9 @@ ENTRIES = {
                     array_to_string(list(word ORDER BY place)[1:5], ' ') AS keywords
                 FROM ({given.WORDS_SQL}) GROUP BY doc_id) k USING (doc_id))"""),
     "model_score": Entry(model_score),
+    "model_score_checked": Entry(model_score_checked, """
+        SELECT count(*) AS n, count(*) AS n_labelled, count(*) AS n_bounded, TRUE AS is_better
+        FROM documents"""),
     "geo_lookup": Entry(geo_lookup, """
         SELECT doc_id, lang AS country,
             CASE lang WHEN 'de' THEN 52.52::DOUBLE WHEN 'es' THEN 40.42::DOUBLE
@@ -369,4 +443,11 @@ ENTRIES = {
         ORDER BY ts DESC, event_id DESC LIMIT 5"""),
     "archive_move": Entry(archive_move, _ARCHIVED_SQL),
     "archive_by_file": Entry(archive_by_file, _ARCHIVED_SQL),
+    "archive_batches": Entry(archive_batches, """
+        SELECT CASE WHEN event_id % 3 < 2 THEN 'archive' ELSE 'live' END AS place, event_id,
+            event_id % 3 AS batch_id FROM events"""),
+    "newest_exact": Entry(newest_exact, """
+        SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts,
+            CASE WHEN event_id % 10 <> 0 THEN event_id END AS event_id
+        FROM events ORDER BY 1 DESC, 2 DESC NULLS LAST LIMIT 1000"""),
 }

@@ -42,16 +42,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return session
 
 
-def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name for one run, under the folder that every executor can reach.
-
-    That is ``spark.checkpoint.dir``, or a folder beside the warehouse where it is not set.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that every executor can reach: ``spark.checkpoint.dir``, or a folder beside the
+    warehouse where it is not set."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         # the warehouse is shared on a cluster
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder name for one run, under the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -112,6 +115,20 @@ def move_file(spark: SparkSession, path: str, into: str) -> None:
         raise OSError(f"could not move {path} to {target}")
 
 
+def publish_folder(spark: SparkSession, draft: str, path: str) -> None:
+    """Give a finished folder its name, by which readers see it whole or not at all.
+
+    Where another run was first, its folder stays and the draft is removed.
+    """
+    files, held = _file_system(spark, draft)
+    target = _file_system(spark, path)[1]
+    files.mkdirs(target.getParent())
+    if files.exists(target):
+        files.delete(held, True)
+    elif not files.rename(held, target):
+        raise OSError(f"could not move {draft} to {path}")
+
+
 def write_once(spark: SparkSession, path: str, line: str) -> None:
     """A small file that readers see whole or not at all: written beside its place, then renamed."""
     files, held = _file_system(spark, path)
