@@ -1,8 +1,10 @@
+import os
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import classify
+from tidewire.operators import classify, models
 from tidewire.plans import streams as plans
 from tidewire.sources import messages, sinks
 from tidewire.streaming import queries
@@ -52,6 +54,48 @@ def test_scored_stream(spark, model, tmp_path):
     assert all(r.processed_at for r in found.values())
 
 
+def test_a_model_is_fitted_once_for_the_same_rows_and_settings(spark, model, tmp_path):
+    examples, folder = model[1], str(tmp_path / "models")
+    fits = []
+
+    def fit(rows, **settings):
+        fits.append(settings)
+        return classify.train_classifier(rows, **settings)
+
+    def stored(rows, **settings):
+        return models.stored_model(spark, folder, rows, {"features": 64, **settings}, fit)
+
+    first = stored(examples)
+    again = stored(examples.repartition(5).orderBy(F.rand(3)))
+    assert len(fits) == 1 and again.stages[-1].coefficients == first.stages[-1].coefficients
+    assert sorted(os.listdir(folder)) == [models.fingerprint(
+        examples, {"_fit": f"{fit.__module__}.{fit.__qualname__}", "features": 64})]
+    stored(examples, regularization=0.5)
+    stored(examples.unionByName(examples))
+    stored(examples.limit(399))
+    assert len(fits) == 4 and len(os.listdir(folder)) == 4
+    scored = [classify.classify_text(examples, one, NAMES).orderBy("text").collect()
+              for one in (first, again)]
+    assert scored[0] == scored[1]
+
+
+def test_dead_letters_of_the_social_job(spark, model, tmp_path):
+    folder = str(tmp_path)
+    lines = ['{"text": "good news", "country": "Egypt"}', "nothing", '{"text": "x"']
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(
+        f"{folder}/in")
+    sent = messages.read_messages(spark, messages.LineFiles(f"{folder}/in"), position=True)
+    out, dead = sinks.BatchFolders(f"{folder}/out"), sinks.BatchFolders(f"{folder}/dead")
+    queries.run_to_end(plans.run_social(sent, model[0], NAMES, [out], f"{folder}/c",
+                                        {"availableNow": True}, dead))
+    stored = spark.read.parquet(f"{folder}/out")
+    assert [(r.text, r.country) for r in stored.collect()] == [("good news", "Egypt")]
+    assert plans.PAYLOAD not in stored.columns
+    letters = spark.read.parquet(f"{folder}/dead").collect()
+    assert {r[plans.PAYLOAD] for r in letters} == set(lines[1:])
+    assert len({r.message_id for r in letters}) == 2
+
+
 def test_python_model(spark):
     loads = spark.sparkContext.accumulator(0)
 

@@ -40,7 +40,8 @@ def test_query_without_sql_keeps_all_rows(spark, name):
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES
-                                  if "stream" not in n and n not in ("batch_metrics", "survey_board")])
+                                  if "stream" not in n and n not in (
+                                      "batch_metrics", "survey_board", "social_board")])
 def test_no_python_and_no_cross_join_in_the_plan(spark, name):
     plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for word in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoopJoin"):

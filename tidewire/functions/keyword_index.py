@@ -1,8 +1,7 @@
 """Long keyword lists: looked up by the grams of a text instead of tested one by one.
 
 Each keyword is filed under one of its grams, the one that fewest keywords hold, in the bucket of
-that gram's hash. The grams of a text name the buckets in which its keywords can stand, and only
-the keywords in those are tested. The index is one literal and the lookup one expression: texts
+that gram's hash. Only keywords filed under a gram that a text holds are tested against it. The index is one literal and the lookup one expression: texts
 are not shuffled, streams can use it, and the plan is as large as for a single keyword.
 """
 
@@ -17,8 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GRAM = 3
+GRAM = 4
 BUCKETS_PER_KEYWORD = 4
+_INDEX = "array<array<struct<gram:string,wanted:string,rank:int>>>"
 
 
 def _grams(word: str) -> set[str]:
@@ -33,7 +33,8 @@ def _filed(keywords: Sequence[tuple[str, int]], match: str) -> list[list[dict]]:
     for word, rank in keywords:
         gram = min(_grams(word), key=lambda one: (held[one], one))
         wanted = re.escape(word) if match == "word" else word
-        buckets[zlib.crc32(gram.encode()) % len(buckets)].append({"wanted": wanted, "rank": rank})
+        buckets[zlib.crc32(gram.encode()) % len(buckets)].append(
+            {"gram": gram, "wanted": wanted, "rank": rank})
     return buckets
 
 
@@ -46,15 +47,17 @@ def ranks_in(body: Column, keywords: Sequence[tuple[str, int]], match: str = "su
     looked at, some tens of bytes for each of its characters.
     """
     buckets = _filed(keywords, match)
-    index = F.from_json(F.lit(json.dumps(buckets)), "array<array<struct<wanted:string,rank:int>>>")
+    index = F.from_json(F.lit(json.dumps(buckets)), _INDEX)
     # a look-ahead finds a gram at every character
     found = [F.regexp_extract_all(body, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
              for size in sorted({min(GRAM, len(word)) for word, _ in keywords})]
     grams = found[0] if len(found) == 1 else F.concat(*found)
-    numbers = F.array_distinct(F.transform(
-        F.array_distinct(grams),
-        lambda gram: (F.crc32(gram.cast("binary")) % F.lit(len(buckets))).cast("int")))
-    near = F.flatten(F.transform(numbers, lambda number: F.get(index, number)))
+
+    def filed_under(gram: Column) -> Column:
+        bucket = (F.crc32(gram.cast("binary")) % F.lit(len(buckets))).cast("int")
+        return F.filter(F.get(index, bucket), lambda entry: entry["gram"] == gram)
+
+    near = F.flatten(F.transform(F.array_distinct(grams), filed_under))
 
     def holds(entry: Column) -> Column:
         if match == "substring":

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tidewire.operators import recent, series
+from tidewire import schemas
+from tidewire.operators import metrics, recent, series
 from tidewire.plans import boards
 from tidewire.plans import streams as plans
 from tidewire.registry import Entry
 from tidewire.registry import inputs as given
-from tidewire.registry import time_series
+from tidewire.registry import messages, time_series
 from tidewire.registry.inputs import table
 from tidewire.session import scratch_folder
 from tidewire.sources.messages import (
@@ -125,12 +127,11 @@ def _surveys(spark, folder, base):
         (F.col("n_chars") % 90).cast("int").alias("age"), F.col("source").alias("gender"))
     encode_json(documents).select(F.col("value").cast("string")).repartition(STEPS).write.text(
         f"{base}/in")
-    messages = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}),
-                             position=True)
-    queries.run_to_end(plans.run_surveys(messages, BatchFolders(f"{base}/out"),
+    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    queries.run_to_end(plans.run_surveys(sent, BatchFolders(f"{base}/out"),
                                          f"{base}/checkpoint", given.GLAD, given.SAD, trigger=ONCE))
     return read_batches(spark, f"{base}/out",
-                        plans.tagged_surveys(messages, given.GLAD, given.SAD).schema)
+                        plans.tagged_surveys(sent, given.GLAD, given.SAD).schema)
 
 
 def stream_durable_ids(spark, folder):
@@ -147,6 +148,53 @@ def survey_board(spark, folder):
                                retained=stored.count()).kpis()
 
 
+def stream_dead_letters(spark, folder):
+    """The survey job on payloads of which one in seven is no JSON and one in eleven has text for
+    a number: what is stored by country, and the rejected payloads by kind."""
+    base = scratch_folder(spark, "dead")
+    number = F.when(F.col("doc_id") % 11 == 0, F.lit('"x"')).otherwise("7")
+    payload = F.when(F.col("doc_id") % 7 == 0, "not json").otherwise(F.concat(
+        F.lit('{"country": "'), "lang", F.lit('", "text": "t", "age": '), number, F.lit("}")))
+    table(spark, folder, "documents").select(payload.alias("value")).repartition(
+        STEPS).write.text(f"{base}/in")
+    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    out, dead = BatchFolders(f"{base}/out"), BatchFolders(f"{base}/dead")
+    queries.run_to_end(plans.run_surveys(sent, out, f"{base}/checkpoint", given.GLAD, given.SAD,
+                                         trigger=ONCE, dead=dead))
+    stored = read_batches(spark, out.path, plans.tagged_surveys(sent).schema)
+    payloads = read_batches(spark, dead.path, StructType([
+        StructField(MESSAGE_ID, StringType()), StructField(plans.PAYLOAD, StringType())]))
+    kind = F.when(F.col(plans.PAYLOAD) == "not json", "broken").otherwise("mistyped")
+    parts = [stored.select(F.lit("stored").alias("place"), F.col("country").alias("kind"),
+                           MESSAGE_ID),
+             payloads.select(F.lit("rejected").alias("place"), kind.alias("kind"), MESSAGE_ID)]
+    return parts[0].unionByName(parts[1]).groupBy("place", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(MESSAGE_ID).alias("n_ids"))
+
+
+def social_board(spark, folder):
+    """From payloads to the board: the social job's output with star labels, by topic and side."""
+    base = scratch_folder(spark, "social_board")
+    documents = table(spark, folder, "documents").select(
+        "text", "source", F.col("lang").alias("country"),
+        F.lit("2024-01-01 00:00:00").alias("timestamp"))
+    encode_json(documents).select(F.col("value").cast("string")).repartition(STEPS).write.text(
+        f"{base}/in")
+    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    queries.run_to_end(plans.run_social(
+        sent, messages.quality_model(spark, folder), ("1 star", "5 stars"),
+        [BatchFolders(f"{base}/out")], f"{base}/checkpoint", trigger=ONCE))
+    stored = read_batches(spark, f"{base}/out", StructType([
+        StructField(MESSAGE_ID, StringType()), *schemas.SCORED_MESSAGE.fields]))
+    board = boards.Situation(stored, boards.SituationRules(topics=given.TOPICS),
+                             ts="processed_at", id=MESSAGE_ID)
+    sides = metrics.kpi_summary(board.current)
+    return board.topics().withColumns({
+        "total": board.total().scalar(),
+        "n_sided": sides.select(F.col("positive_count") + F.col("negative_count")).scalar(),
+        "both_sides": sides.select(F.least("positive_count", "negative_count") > 0).scalar()})
+
+
 _TAGGED = f"(SELECT {given.SENTIMENT_SQL} AS sentiment FROM documents)"
 
 ENTRIES = {
@@ -170,6 +218,17 @@ ENTRIES = {
         SELECT count(*) AS row_count, count(*) FILTER (ts < TIMESTAMP '{SPLITS[0]}'
             AND ts <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)) AS dropped_late
         FROM events"""),
+    "stream_dead_letters": Entry(stream_dead_letters, """
+        SELECT CASE WHEN doc_id % 7 = 0 OR doc_id % 11 = 0 THEN 'rejected' ELSE 'stored' END
+                AS place,
+            CASE WHEN doc_id % 7 = 0 THEN 'broken' WHEN doc_id % 11 = 0 THEN 'mistyped'
+                ELSE lang END AS kind, count(*) AS n, count(*) AS n_ids
+        FROM documents GROUP BY 1, 2"""),
+    "social_board": Entry(social_board, f"""
+        SELECT count(*) FILTER (topic = 'Work') AS work, count(*) FILTER (topic = 'Worry') AS worry,
+            count(*) FILTER (topic = 'Money') AS money, count(*) AS total, count(*) AS n_sided,
+            TRUE AS both_sides
+        FROM (SELECT {given.TOPIC_SQL} AS topic FROM documents)"""),
     "survey_board": Entry(survey_board, f"""
         SELECT count(*) AS total, count(*) FILTER (sentiment = 'positive') AS positive_count,
             count(*) FILTER (sentiment = 'negative') AS negative_count,
