@@ -10,7 +10,7 @@ from tidewire.operators.dedup import retain_latest
 from tidewire.plans import boards
 from tidewire.plans import streams as plans
 from tidewire.sources import messages
-from tidewire.sources.sinks import BatchFolders, read_batches
+from tidewire.sources.sinks import BatchFolders, read_batches, write_lines
 from tidewire.streaming import partials, queries
 from tidewire.streaming.newest import NewestSet
 from tidewire.streaming.seen import SeenIds
@@ -140,6 +140,25 @@ def test_places_in_line_files_are_ids(spark, folder):
     assert board.kpis().first().total == 5
 
 
+def test_line_files_stay_small_and_keep_every_message(spark, folder):
+    import os
+
+    payloads = spark.range(3000).select(
+        F.concat(F.lit('{"text": "same", "age": '), F.col("id") % 50, F.lit("}"))
+        .cast("binary").alias("value"))
+    files = write_lines(payloads, f"{folder}/in", 3, file_bytes=4096)
+    sizes = [os.path.getsize(f"{folder}/in/{name}") for name in os.listdir(f"{folder}/in")
+             if name.endswith(".txt")]
+    assert files == len(sizes) == -(-sum(sizes) // 4096) and max(sizes) < 2 * 4096
+    read = messages.read_messages(spark, messages.LineFiles(f"{folder}/in"), position=True)
+    queries.run_to_end(queries.for_each_batch(
+        read, BatchFolders(f"{folder}/out"), f"{folder}/checkpoint", trigger=ONCE))
+    stored = read_batches(spark, f"{folder}/out", read.schema)
+    assert stored.count() == stored.select(messages.MESSAGE_ID).distinct().count() == 3000
+    assert stored.groupBy("value").count().agg(F.min("count"), F.max("count")).first() == (60, 60)
+    assert write_lines(payloads.limit(0), f"{folder}/none", 3) == 3
+
+
 def test_places_in_a_topic_sort_as_they_arrived(spark):
     rows = spark.createDataFrame([(b"x", "t", 2, 10), (b"x", "t", 2, 9), (b"x", "t", 11, 1)],
                                  "value binary, topic string, partition int, offset long")

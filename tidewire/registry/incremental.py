@@ -21,7 +21,7 @@ from tidewire.sources.messages import (
     read_messages,
     read_table_stream,
 )
-from tidewire.sources.sinks import BatchFolders, encode_json, read_batches
+from tidewire.sources.sinks import BatchFolders, encode_json, read_batches, write_lines
 from tidewire.streaming import partials, queries, stateful
 from tidewire.streaming.newest import NewestSet
 from tidewire.streaming.progress import ProgressTable
@@ -120,14 +120,19 @@ def stream_progress(spark, folder):
                                    F.sum("dropped_late").alias("dropped_late"))
 
 
+def _sent(spark, payloads, base):
+    """Payloads as a stream of some batches of line files, with the id of their place."""
+    files = write_lines(payloads, f"{base}/in", STEPS)
+    return read_messages(spark, LineFiles(f"{base}/in", {
+        "maxFilesPerTrigger": str(-(-files // STEPS))}), position=True)
+
+
 def _surveys(spark, folder, base):
     """Documents as survey messages in line files, tagged and stored with the id of their place."""
     documents = table(spark, folder, "documents").select(
         F.col("lang").alias("country"), F.lit(2024).alias("year"), "text",
         (F.col("n_chars") % 90).cast("int").alias("age"), F.col("source").alias("gender"))
-    encode_json(documents).select(F.col("value").cast("string")).repartition(STEPS).write.text(
-        f"{base}/in")
-    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    sent = _sent(spark, encode_json(documents), base)
     queries.run_to_end(plans.run_surveys(sent, BatchFolders(f"{base}/out"),
                                          f"{base}/checkpoint", given.GLAD, given.SAD, trigger=ONCE))
     return read_batches(spark, f"{base}/out",
@@ -155,9 +160,7 @@ def stream_dead_letters(spark, folder):
     number = F.when(F.col("doc_id") % 11 == 0, F.lit('"x"')).otherwise("7")
     payload = F.when(F.col("doc_id") % 7 == 0, "not json").otherwise(F.concat(
         F.lit('{"country": "'), "lang", F.lit('", "text": "t", "age": '), number, F.lit("}")))
-    table(spark, folder, "documents").select(payload.alias("value")).repartition(
-        STEPS).write.text(f"{base}/in")
-    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    sent = _sent(spark, table(spark, folder, "documents").select(payload.alias("value")), base)
     out, dead = BatchFolders(f"{base}/out"), BatchFolders(f"{base}/dead")
     queries.run_to_end(plans.run_surveys(sent, out, f"{base}/checkpoint", given.GLAD, given.SAD,
                                          trigger=ONCE, dead=dead))
@@ -178,9 +181,7 @@ def social_board(spark, folder):
     documents = table(spark, folder, "documents").select(
         "text", "source", F.col("lang").alias("country"),
         F.lit("2024-01-01 00:00:00").alias("timestamp"))
-    encode_json(documents).select(F.col("value").cast("string")).repartition(STEPS).write.text(
-        f"{base}/in")
-    sent = read_messages(spark, LineFiles(f"{base}/in", {"maxFilesPerTrigger": "1"}), position=True)
+    sent = _sent(spark, encode_json(documents), base)
     queries.run_to_end(plans.run_social(
         sent, messages.quality_model(spark, folder), ("1 star", "5 stars"),
         [BatchFolders(f"{base}/out")], f"{base}/checkpoint", trigger=ONCE))

@@ -21,6 +21,21 @@ def encode_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.select(payload.cast("binary").alias("value"))
 
 
+#: Bytes of a line file. Files are read whole where messages take their ids from their lines.
+LINE_FILE_BYTES = 8 << 20
+
+
+def write_lines(payloads: DataFrame, path: str, least: int = 1,
+                file_bytes: int = LINE_FILE_BYTES) -> int:
+    """Payloads (``value``) as lines, dealt over files of about ``file_bytes`` each, ``least`` at
+    least; returns how many. The number of files follows the input, their size does not."""
+    lines = payloads.select(F.col("value").cast("string").alias("value"))
+    size = lines.agg(F.sum(F.octet_length("value").cast("long") + 1)).first()[0] or 0
+    files = max(least, -(-size // file_bytes))
+    lines.repartition(files).write.text(path)
+    return files
+
+
 def send(df: DataFrame, servers: str, topic: str, **options: str) -> None:
     """Write encoded rows to a broker topic."""
     (df.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
