@@ -165,3 +165,13 @@ def test_rows_without_id_are_not_copies(spark):
     assert dedup.dedup_new(incoming, events(spark, [])).count() == 3
     assert ids(dedup.retain_latest(incoming.unionByName(events(spark, [(1, 1), (0, 2)])), n=3)) == [
         1, 2, 7]
+
+
+def test_a_set_that_holds_all_is_not_ranked_in_one_task(spark):
+    """Copies collapse, rows without a time stay, and no limit sorts the ids in one place."""
+    df = events(spark, [(0, 1), (0, 1), (1, 2), (None, 3), (2, None)])
+    for n, left in ((2, [1, 2]), (3, [1, 2, 3]), (9, [1, 2, 3])):
+        kept = dedup.retain_latest(df, n=n)
+        assert sorted(ids(kept)) == left and kept.columns == df.columns
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert ("Limit" in plan) == (n < 3)

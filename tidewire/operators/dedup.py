@@ -47,7 +47,8 @@ def retain_latest(incoming: DataFrame, target: DataFrame | None = None,
 
     Sketches of the ids per hour, which need no shuffle of ids, give a time by which n distinct
     ones should be reached. An exact count confirms it when this is called; if it falls short, all
-    times are searched. The n ids are then found on (id, time) alone, and whole rows fetched last.
+    times are searched, and where there are no more than n, all are kept without a ranking. The n
+    ids are then found on (id, time) alone, and whole rows fetched last.
     """
     everything = incoming if target is None else target.unionByName(incoming)
     # messages are told apart by id: one without is none of the distinct ones and takes no place
@@ -58,6 +59,9 @@ def retain_latest(incoming: DataFrame, target: DataFrame | None = None,
         near = keys.filter(F.col(ts) >= guess.start)
         if near.agg(F.count_distinct(id)).first()[0] >= n:
             keys, everything = near, everything.filter(F.col(ts) >= guess.start)
+    elif keys.agg(F.count_distinct(id)).first()[0] <= n:
+        # all of them stay, so none has to be ranked, which would take a single task
+        return one_per_id(everything, id)
     stamped = keys.groupBy(id).agg(F.max(ts).alias(ts))
     newest = stamped.orderBy(F.col(ts).desc_nulls_last(), F.col(id).desc_nulls_last()).limit(n)
     chosen = newest.select(id)
