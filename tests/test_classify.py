@@ -32,6 +32,31 @@ def test_better_than_the_majority(spark, model):
     assert 0.5 <= bounds[0] <= bounds[1] <= 1
 
 
+def test_weights_leave_the_rows_where_they_lie(spark, monkeypatch):
+    """A shuffle by class would bring all rows of a class to one task."""
+    class Unfitted:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, rows):
+            return rows
+
+    monkeypatch.setattr(classify, "Pipeline", Unfitted)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = classify.train_classifier(spark.range(0, 1000, 1, 7).select(
+            F.col("id").cast("string").alias("text"),
+            F.when(F.col("id") % 10 > 0, (F.col("id") % 10 > 6).cast("int")).alias("target")))
+        assert rows.rdd.getNumPartitions() == 7
+        weights = {(r.target, r._weight): r["count"]
+                   for r in rows.groupBy("target", "_weight").count().collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert weights == {(0, 900 / 1200): 600, (1, 900 / 600): 300}
+
+
 def test_every_class_needs_a_label(spark, model):
     fitted, examples = model
     with pytest.raises(ValueError, match="2 classes"):

@@ -29,7 +29,8 @@ def train_classifier(examples: DataFrame, text: str = "text", target: str = "tar
     known = examples.filter(F.col(target).isNotNull()).select(text, target)
     sizes = known.groupBy(target).agg(F.count(F.lit(1)).alias("_size"))
     classes, total = sizes.agg(F.count(F.lit(1)), F.sum("_size")).first()
-    weighted = known.join(sizes, target).withColumn(
+    # one row a class, as the model has: a shuffle by class would give each class to one task
+    weighted = known.join(F.broadcast(sizes), target).withColumn(
         "_weight", F.lit(total) / (F.col("_size") * F.lit(classes))).drop("_size")
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORDS, gaps=False,
