@@ -60,6 +60,24 @@ def test_filters_of_all_sizes_miss_nothing(spark, folder):
     assert index.seen(false).count() == 0
 
 
+def test_filter_words_hold_the_bits_of_their_ids(spark, folder):
+    """Every block has all its words in order, and bits are looked up without a loop over arrays."""
+    index = SeenIds(f"{folder}/index", probes=3)
+    ids = spark.range(3000).select((F.col("id") * 7).alias("event_id"))
+    index.add(ids, "one")
+    rows = index._filters(spark, None).collect()
+    assert sorted(r.block for r in rows) == [0, 1, 2, 3] and {r.blocks for r in rows} == {4}
+    places = F.array(*index._places())
+    want = {}
+    for block, some in index._hashed(ids).select(F.pmod("_h", F.lit(4)), places).collect():
+        want.setdefault(block, set()).update(some)
+    for row in rows:
+        assert len(row.words) == 512
+        assert {64 * at + bit for at, word in enumerate(row.words) for bit in range(64)
+                if word >> bit & 1} == want[row.block]
+    assert "lambda" not in str(places) and "lambda" not in str(index._held())
+
+
 def test_new_only_with_an_index(spark, folder):
     write_to = BatchFolders(f"{folder}/out")
     index = SeenIds(f"{folder}/index", buckets=2)

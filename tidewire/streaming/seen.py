@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -10,6 +13,7 @@ from tidewire.session import ensure_checkpoint_dir, folder_exists
 
 #: Bits of one block of a filter, which is one row of 4 KB.
 BLOCK_BITS = 32_768
+BLOCK_WORDS = BLOCK_BITS // 64
 
 FILTER = StructType([
     StructField("blocks", IntegerType(), False),
@@ -43,12 +47,16 @@ class SeenIds:
                                  ).withColumn("_bucket", F.pmod(
                                      F.shiftright("_h", 40), F.lit(self.buckets)).cast("int"))
 
-    def _places(self) -> Column:
+    def _places(self) -> list[Column]:
         """The bits of an id in its block."""
         begin, step = F.pmod("_g", F.lit(BLOCK_BITS)), F.pmod(F.shiftright("_g", 20),
                                                             F.lit(BLOCK_BITS // 2)) * 2 + 1
-        return F.transform(F.sequence(F.lit(0), F.lit(self.probes - 1)),
-                           lambda probe: ((begin + probe * step) % BLOCK_BITS).cast("int"))
+        return [((begin + probe * step) % BLOCK_BITS).cast("int") for probe in range(self.probes)]
+
+    def _held(self) -> Column:
+        """Whether the words of a block have all bits of an id; the first that is missing decides."""
+        return reduce(and_, [F.getbit(F.get("words", F.shiftright(place, 6)),
+                                      place.bitwiseAND(63)) == 1 for place in self._places()])
 
     def add(self, ids: DataFrame, segment: str) -> None:
         """Store the ids of a batch. The segment can be looked up once its filter is written, last."""
@@ -62,18 +70,20 @@ class SeenIds:
         (hashed.select(self.id, F.col("_bucket").alias("bucket")).repartition("bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/ids/segment={segment}"))
         bits = hashed.select(F.pmod("_h", F.lit(blocks)).cast("int").alias("block"),
-                             F.explode(self._places()).alias("place"))
-        words = bits.groupBy("block", F.floor(F.col("place") / 64).cast("int").alias("word")).agg(
-            F.expr("bit_or(shiftleft(1L, place % 64))").alias("bits"))
-        # at most 512 words a block
+                             F.explode(F.array(*self._places())).alias("place")).select(
+            "block", F.shiftright("place", 6).alias("word"),
+            F.expr("shiftleft(1L, place & 63)").alias("bits"))
+        # every word of every block, so that a block's words only have to be put in order
+        empty = spark.range(blocks * BLOCK_WORDS).select(
+            F.floor(F.col("id") / BLOCK_WORDS).cast("int").alias("block"),
+            (F.col("id") % BLOCK_WORDS).cast("int").alias("word"),
+            F.lit(0).cast("long").alias("bits"))
+        words = bits.unionByName(empty).groupBy("block", "word").agg(
+            F.bit_or("bits").alias("bits"))
         held = words.groupBy("block").agg(
-            F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
-        every = F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1))
-        held.select(
-            F.lit(blocks).alias("blocks"), "block",
-            F.transform(every, lambda word: F.coalesce(F.col("held")[word], F.lit(0).cast("long")))
-            .alias("words")).write.mode("overwrite").parquet(
-            f"{self.path}/filters/segment={segment}")
+            F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("held"))
+        held.select(F.lit(blocks).alias("blocks"), "block", F.col("held.bits").alias("words")
+                    ).write.mode("overwrite").parquet(f"{self.path}/filters/segment={segment}")
 
     def _filters(self, spark: SparkSession, but: str | None) -> DataFrame | None:
         if not folder_exists(spark, f"{self.path}/filters"):
@@ -95,10 +105,8 @@ class SeenIds:
             return none
         asked = hashed.withColumn("_blocks", F.explode(F.array(*map(F.lit, sizes)))).withColumn(
             "_block", F.pmod("_h", F.col("_blocks")).cast("int"))
-        held = F.forall(self._places(), lambda place: F.getbit(
-            F.element_at("words", F.floor(place / 64).cast("int") + 1), place % 64) == 1)
         named = asked.join(filters, (F.col("_blocks") == F.col("blocks"))
-                           & (F.col("_block") == F.col("block")) & held)
+                           & (F.col("_block") == F.col("block")) & self._held())
         # at most one row a stored folder
         found = named.select("segment", "_bucket").distinct().collect()
         if not found:
