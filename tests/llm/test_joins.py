@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,20 @@ def prose(seed, texts=60):
     return [(text(), rng.choice(["en", "en", "de", None])) for _ in range(texts)]
 
 
+def test_rows_are_added_up_without_a_second_copy_kept():
+    parts = [pa.record_batch({"key": [2, 1, 2], "lang": ["a", "b", "a"], "n": [1, 2, 3]}),
+             pa.record_batch({"key": [1], "lang": ["b"], "n": [5]})]
+    held = list(parts)
+    assert collocations._summed(held).to_pydict() == {
+        "key": [1, 2], "lang": ["b", "a"], "n": [7, 4]}
+    assert held == []
+    many = [pa.record_batch({"key": np.arange(at, at + 50_000), "n": np.ones(50_000, np.int64)})
+            for at in range(0, 400_000, 40_000)]
+    out = list(collocations._combined(iter(many)))
+    assert max(part.num_rows for part in out) <= 2 * collocations.HELD <= 1 << 19
+    assert sum(pc.sum(part.column("n")).as_py() for part in out) == 500_000
+
+
 @pytest.mark.parametrize("seed, budget, top", [(1, 400_000, 2000), (3, 8, 10)])
 def test_collocations_equal_brute_force(spark, seed, budget, top):
     rows = prose(seed)

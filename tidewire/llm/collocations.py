@@ -22,9 +22,10 @@ BUDGET = 400_000
 #: Groups at most; beyond, the budget grows. It bounds the list of prefixes that are too heavy.
 MOST_GROUPS = 100_000
 #: Whole texts of about so many bytes are read together.
-SCAN_BYTES = 1 << 20
-#: Pairs, or suffixes, that a task counts before it passes them on.
-HELD = 1 << 20
+SCAN_BYTES = 1 << 19
+#: Pairs, or suffixes, that a task counts before it passes them on; some 50 bytes each, three times
+#: over while they are added up. What is passed on early is added up before the shuffle all the same.
+HELD = 1 << 18
 #: Bits of the filter of frequent words and pairs: so many each, within bounds (8 KB and 32 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 28
 #: Parts in which each language's best phrases are ranked before the winners meet.
@@ -53,8 +54,10 @@ def _keys(words: Words, tongue: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _summed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """One row for each key, with the sum of n."""
+    """One row for each key, with the sum of n; ``held`` is emptied, so that its rows do not stay in
+    memory beside their copy."""
     rows = pa.concat_batches(held)
+    held.clear()
     keys = rows.column("key").to_numpy()
     _, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
     n = np.bincount(inverse, rows.column("n").to_numpy()).astype(np.int64)
@@ -75,6 +78,8 @@ def _combined(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows = 0
     if held:
         yield _summed(held)
+    # the worker goes on to other tasks
+    pa.default_memory_pool().release_unused()
 
 
 def frequent(docs: DataFrame, least: int) -> DataFrame:
