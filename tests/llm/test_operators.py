@@ -1,7 +1,9 @@
 """The operators against brute force on small tables, and the edge cases that they define."""
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -20,6 +22,7 @@ from tidewire.llm import (
     quality,
     toxicity,
 )
+from tidewire.llm.keys import keyed
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, _a int"
 LONG = " ".join(f"word{n % 997}x{n % 13}" for n in range(30_000))
@@ -286,6 +289,36 @@ def test_passages_whose_parts_stand_in_other_documents_are_found(spark, monkeypa
             assert (r["start_word"], r["end_word"]) == (begin, begin + 60)
 
 
+def test_only_seeds_that_occur_again_are_kept_with_their_places(spark):
+    rng = random.Random(8)
+    alone = [" ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(400)) for _ in range(30)]
+    both = " ".join(f"v{k}" for k in range(60))
+    docs = spark.createDataFrame([*enumerate(alone), (100, f"{alone[3]} {both}"), (101, both)],
+                                 "doc_id long, text string")
+    rows = keyed(docs, "doc_id", "text")
+    every = passages.seeds(rows, 50).collect()
+    kept = passages.seeds(rows, 50, passages._repeated_seeds(rows, 50)).collect()
+    often = {seed for seed, n in Counter(r["seed"] for r in every).items() if n > 1}
+    assert often and {r["seed"] for r in kept} >= often and set(kept) <= set(every)
+    assert len(kept) < len(every) / 3
+
+
+def test_windows_of_a_block_are_those_of_its_texts(spark):
+    texts = [None, "", "a b c d", "b c d e f a b c", "x", "c d e"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = keyed(docs.coalesce(1), "doc_id", "text")
+    found = {(r["_a"], r["at"]): r["seed"] for r in passages._windows(rows, 3).collect()}
+    runs = {(id, at): tuple((text or "").split()[at:at + 3]) for id, text in enumerate(texts)
+            for at in range(len((text or "").split()) - 2)}
+    assert found.keys() == runs.keys()
+    assert all((found[x] == found[y]) == (runs[x] == runs[y]) for x in runs for y in runs)
+    held = np.zeros(8192, np.uint8)
+    place = found[2, 1] % 65536
+    held[place >> 3] = 1 << (place & 7)
+    some = passages._windows(rows, 3, spark.sparkContext.broadcast(held)).collect()
+    assert {(r["_a"], r["at"]) for r in some} >= {(2, 1), (3, 0)} and len(some) < len(runs)
+
+
 def test_open_windows_are_all_that_seeds_allow():
     rng = np.random.default_rng(4)
     for _ in range(30):

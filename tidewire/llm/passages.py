@@ -7,9 +7,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.collocations import _within, key_filter
 from tidewire.llm.keys import KEY, keyed, packed
 from tidewire.llm.words import (
     NOT_SPACE,
@@ -19,7 +22,7 @@ from tidewire.llm.words import (
     shingle_hashes,
     words_of,
 )
-from tidewire.session import ensure_checkpoint_dir
+from tidewire.session import ensure_checkpoint_dir, remove_folder, scratch_folder
 
 SEED_WORDS = 8
 WINDOW = 16
@@ -50,8 +53,9 @@ def seed_places(words: np.ndarray, seed: int = SEED_WORDS, window: int = WINDOW,
     return places, runs[places]
 
 
-def seeds(rows: DataFrame, least_words: int) -> DataFrame:
-    """no (whether the id is null), KEY, at and seed of every text that could hold a passage."""
+def seeds(rows: DataFrame, least_words: int, held: Broadcast | None = None) -> DataFrame:
+    """no (whether the id is null), KEY, at and seed of every text that could hold a passage; with a
+    filter ``held``, of the seeds that pass it."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "_text"):
             words = words_of(texts)
@@ -59,6 +63,9 @@ def seeds(rows: DataFrame, least_words: int) -> DataFrame:
             for row, (begin, end) in enumerate(zip(words.first[:-1], words.first[1:])):
                 if end - begin >= least_words:
                     places, values = seed_places(words.hash[begin:end])
+                    if held is not None:
+                        pass_ = _within(held.value, values)
+                        places, values = places[pass_], values[pass_]
                     text_of.append(np.full(len(places), row))
                     at.append(places)
                     hashes.append(values.view(np.int64))
@@ -424,32 +431,40 @@ def _asked(found: DataFrame, spans: DataFrame, words: int) -> DataFrame:
         rows, f"no boolean, _a {kind}, _b long, starts array<int>")
 
 
-def _windows(rows: DataFrame, words: int, known: np.ndarray | None = None) -> DataFrame:
+def _windows(rows: DataFrame, words: int, held: Broadcast | None = None,
+             known: np.ndarray | None = None) -> DataFrame:
     """no, KEY, at and hash of runs of ``words`` words: those at ``starts``, or else all of them
-    that are ``known`` (sorted; all if None)."""
+    that pass the filter ``held`` and are ``known`` (sorted; all if None)."""
     chosen = "starts" in rows.columns
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, "_text"):
             block = words_of(texts)
             sums = prefix_hashes(block.hash)
-            asked = batch.column("starts").to_pylist() if chosen else None
-            text_of, at, hashes = [], [], []
-            for row, (begin, end) in enumerate(zip(block.first[:-1], block.first[1:])):
-                most = max(0, int(end - begin) - words + 1)
-                places = np.array(asked[row], np.int64) if chosen else np.arange(most)
-                places = places[places < most]
-                values = run_hashes(sums, begin + places, begin + places + words).view(np.int64)
-                if known is not None and len(known):
-                    near = np.minimum(np.searchsorted(known, values), len(known) - 1)
-                    places, values = places[known[near] == values], values[known[near] == values]
-                text_of.append(np.full(len(places), row))
-                at.append(places)
-                hashes.append(values)
-            take = pa.array(np.concatenate(text_of), pa.int64())
+            sizes = np.diff(block.first)
+            if chosen:
+                asked = batch.column("starts")
+                text_of = np.repeat(np.arange(len(sizes)), pc.list_value_length(asked).to_numpy())
+                places = asked.flatten().to_numpy().astype(np.int64)
+            else:
+                text_of = np.repeat(np.arange(len(sizes)), sizes)
+                places = np.arange(len(text_of)) - (block.first[:-1] - block.first[0])[text_of]
+            inside = places + words <= sizes[text_of]
+            text_of, places = text_of[inside], places[inside]
+            start = block.first[text_of] + places
+            values = run_hashes(sums, start, start + words)
+            if held is not None:
+                pass_ = _within(held.value, values)
+                text_of, places, values = text_of[pass_], places[pass_], values[pass_]
+            values = values.view(np.int64)
+            if known is not None and len(known):
+                near = np.minimum(np.searchsorted(known, values), len(known) - 1)
+                pass_ = known[near] == values
+                text_of, places, values = text_of[pass_], places[pass_], values[pass_]
+            take = pa.array(text_of, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name).take(take) for name in ("no", *KEY)),
-                 pa.array(np.concatenate(at), pa.int32()), pa.array(np.concatenate(hashes))],
+                 pa.array(places, pa.int32()), pa.array(values)],
                 ["no", *KEY, "at", "seed"])
 
     carried = ["no", *KEY, "_text", *(["starts"] if chosen else [])]
@@ -489,20 +504,34 @@ def _whole_windows(rows: DataFrame, found: DataFrame, spans: DataFrame,
     starts = asked.drop("no")
     open_ = _windows(rows.join(F.broadcast(starts) if n_asked <= MAX_WINDOWS else starts, KEY),
                      words).distinct().checkpoint()
-    hashes, known = open_.select("seed").distinct(), None
-    if hashes.count() <= MAX_WINDOWS:
-        known = np.sort(hashes.toArrow().column("seed").to_numpy())
-    holders = _first_holders(_windows(rows, words, known)).checkpoint()
+    hashes, known = open_.select(F.col("seed").alias("key")).distinct(), None
+    n_hashes = hashes.count()
+    held = rows.sparkSession.sparkContext.broadcast(key_filter(hashes, n_hashes))
+    if n_hashes <= MAX_WINDOWS:
+        known = np.sort(hashes.toArrow().column("key").to_numpy())
+    holders = _first_holders(_windows(rows, words, held, known)).checkpoint()
     met = _met(open_, holders).checkpoint()
     return None if met.isEmpty() else _chained(met).checkpoint()
 
 
+def _repeated_seeds(rows: DataFrame, least_words: int) -> Broadcast:
+    """A filter that lets all seeds pass that occur more than once, and few others, so that only
+    these are shuffled with their places. Beyond 32 MB it only lets more pass."""
+    often = seeds(rows, least_words).groupBy(F.col("seed").alias("key")).agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("key").checkpoint()
+    return rows.sparkSession.sparkContext.broadcast(key_filter(often, often.count()))
+
+
 def _passages(rows: DataFrame, least_words: int, least_similarity: float) -> DataFrame:
     """KEY, source and spans of the passages, with _id and source_id."""
-    sown = seeds(rows, least_words)
+    spark = rows.sparkSession
+    folder = scratch_folder(spark, "seeds")
+    seeds(rows, least_words, _repeated_seeds(rows, least_words)).write.parquet(folder)
+    sown = spark.read.parquet(folder)
     # written, so that the join below can split a seed that very many texts hold
     shared = _first_holders(sown).checkpoint()
     found = _chained(_met(sown, shared)).checkpoint()
+    remove_folder(spark, folder)
     spans = _aligned(found, _regions(rows, found), least_words, least_similarity).checkpoint()
     more = _whole_windows(rows, found, spans, max(least_words, SEED_WORDS + WINDOW - 1))
     if more is not None:
