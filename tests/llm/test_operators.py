@@ -163,6 +163,27 @@ def test_cells_give_certain_links_once_and_estimated_pairs_all():
     assert two == [(0, 0, False), (0, 1, False)]
 
 
+def test_a_cell_gives_back_no_more_certain_links_than_join_its_components():
+    every = [(i, j, True) for i in range(20) for j in range(20)]
+    found = near_dedup.joining([(0, 0, False), (0, 20, False), *every], [f"a{i}" for i in range(20)],
+                               [f"b{j}" for j in range(21)])
+    assert sum(sure for *_, sure in found) == 39
+    assert [link for link in found if not link[2]] == [(0, 20, False)]
+
+
+def test_lists_of_one_group_are_compared_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "CELL", 5)
+    group = [(v, bytes([n]), 9, bytes([min(n, 20)]), 40, 20, n < 20)
+             for v in range(30) for n in range(40)]
+    other = [(99, bytes([100 + n]), 9, bytes([100 + n]), 8, 7, n < 7) for n in range(8)]
+    lists = spark.createDataFrame(group + other, "value long, node binary, n long, component binary, "
+                                                 "members long, minors long, minor boolean")
+    found = near_dedup._merged(lists).collect()
+    assert len(found) == 48 and len({r["value"] for r in found}) == 2
+    assert sorted({(r["members"], r["minors"]) for r in found}) == [(8, 7), (40, 20)]
+    assert sum(r["minor"] for r in found) == 27
+
+
 def test_near_duplicates_edges(odd, empty):
     found = near_dedup.near_duplicates(odd, shingle_words=2).collect()
     assert len(found) == odd.count()

@@ -265,6 +265,61 @@ def compared(ones: dict[str, list], others: dict[str, list], percent: int,
     return found
 
 
+def joining(found: list[tuple[int, int, bool]], own: list, their: list,
+            ) -> list[tuple[int, int, bool]]:
+    """Of the links of a cell, the certain ones that join components which those before leave apart,
+    and the estimated ones between components that no certain ones join. ``own`` and ``their`` name
+    the components of both sides."""
+    above: dict = {}
+
+    def top(part):
+        while part in above:
+            above[part] = above.get(above[part], above[part])
+            part = above[part]
+        return part
+
+    kept = []
+    for i, j, sure in sorted(found, key=lambda link: not link[2]):
+        one, other = top(own[i]), top(their[j])
+        if one != other:
+            kept.append((i, j, sure))
+            if sure:
+                above[one] = other
+    return kept
+
+
+def _dealt(members: Column, minors: Column) -> Column:
+    """Rows of a list that is dealt into cells."""
+    return members * F.ceil(minors / CELL) + minors * F.ceil(members / CELL)
+
+
+def _merged(lists: DataFrame) -> DataFrame:
+    """Long lists (value, node, n, component, members, minors, minor), those of one family as one.
+
+    The members of a large group share many lists. Lists with common members are a family; where
+    it makes no more rows to compare the whole family once, it takes the place of its lists.
+    """
+    first = lists.groupBy("value").agg(F.min("node").alias("a"))
+    links = lists.join(first, "value").select("a", F.col("node").alias("b")).filter("a != b")
+    named = lists.join(components(links).withColumnRenamed("component", "family"),
+                       "node").checkpoint()
+    members = named.select("family", "node", "n", "component").distinct()
+    parts = members.groupBy("family", "component").agg(F.count(F.lit(1)).alias("size"))
+    whole = parts.groupBy("family").agg(
+        F.sum("size").alias("members"), (F.sum("size") - F.max("size")).alias("minors"),
+        F.max_by("component", F.struct("size", "component")).alias("major"))
+    apart = named.groupBy("family", "value").agg(
+        F.first(_dealt(F.col("members"), F.col("minors"))).alias("rows")).groupBy("family").agg(
+        F.sum("rows").alias("rows"))
+    once = whole.join(apart, "family").filter(
+        _dealt(F.col("members"), F.col("minors")) <= F.col("rows")).drop("rows").checkpoint()
+    columns = ["value", "node", "n", "component", "members", "minors", "minor"]
+    families = members.join(once, "family").withColumns({
+        "value": F.xxhash64("family"), "minor": F.col("component") != F.col("major")})
+    rest = named.join(once.select("family"), "family", "left_anti")
+    return families.select(columns).union(rest.select(columns))
+
+
 def _cell_pairs(lists: DataFrame, docs: DataFrame, nodes: DataFrame, *, percent: int,
                 shingle_words: int, id: str, text: str) -> DataFrame:
     """(a, b, certain) from long lists: members outside a list's largest component meet all others.
@@ -294,6 +349,7 @@ def _cell_pairs(lists: DataFrame, docs: DataFrame, nodes: DataFrame, *, percent:
                              table.filter(pc.invert(table.column("one"))))]
         ones, others = held
         found = compared(ones, others, percent) if ones["n"] and others["n"] else []
+        found = joining(found, ones["component"], others["component"])
         ends = [sorted((ones["node"][i], others["node"][j])) for i, j, _ in found]
         return pa.table({"a": pa.array([a for a, _ in ends], pa.binary()),
                          "b": pa.array([b for _, b in ends], pa.binary()),
@@ -310,7 +366,7 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_wo
     The members of a list are first compared with a few of them, which connects a large group of
     copies with a number of comparisons that grows with its members only. What then remains are
     pairs of one list in different components; all of these are compared, those of long lists in
-    cells that give back links only.
+    cells that give back links only, once for all lists of a large group.
     """
     given = dict(percent=percent, shingle_words=shingle_words, id=id, text=text, size=size)
     similarity = percent / 100
@@ -323,7 +379,7 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, *, percent: int, shingle_wo
     pairs = _open_pairs(lists.filter(F.col("members") <= LONG_LIST), similarity)
     found = [] if links is None else [links]
     if not crowded.isEmpty():
-        cells = _cell_pairs(crowded, docs, nodes, percent=percent, shingle_words=shingle_words,
+        cells = _cell_pairs(_merged(crowded).checkpoint(), docs, nodes, percent=percent, shingle_words=shingle_words,
                             id=id, text=text).distinct().checkpoint()
         found.append(cells.filter("certain").select("a", "b"))
         pairs = pairs.union(cells.filter("NOT certain").select("a", "b"))
