@@ -10,26 +10,37 @@ from tidewire.llm import decontaminate, mixing, near_dedup, passages, toxicity
 from tidewire.session import ensure_checkpoint_dir
 
 TOXIC_FROM = 0.7
+#: Rows that Python tasks get at a time. Rows hold whole texts, and both sides of the pipe keep what
+#: a batch took: 10,000 rows are some 20 MB of text, held several times over by each task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
+    small_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model, TOXIC_FROM)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
+    small_batches(spark)
     return near_dedup.drop_near_duplicates(docs, shingle_words=5)
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier ones hold."""
+    small_batches(spark)
     return passages.drop_repeated(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
