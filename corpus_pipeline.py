@@ -10,9 +10,9 @@ from tidewire.llm import decontaminate, mixing, near_dedup, passages, toxicity
 from tidewire.session import ensure_checkpoint_dir
 
 TOXIC_FROM = 0.7
-#: Rows that Python tasks get at a time. Rows hold whole texts, and both sides of the pipe keep what
-#: a batch took: 10,000 rows are some 20 MB of text, held several times over by each task.
-BATCH_ROWS = 1000
+#: Rows that Python tasks get at a time. Rows hold whole texts or all chains of one, and both sides of
+#: the pipe keep what a batch took, several times over. 128 texts are about a block (`words.blocks`).
+BATCH_ROWS = 128
 
 
 def small_batches(spark: SparkSession) -> None:
